@@ -73,8 +73,11 @@ def harmonise(df: DataFrame, factors: DataFrame, keys: Sequence[str], value: str
     """Convert to the standard unit by the factor table (keys, factor, standard_unit).
 
     The value and unit as received stay beside the result; ``harmonised`` says if a factor was found.
+    The factors are written out first, so that the join knows their size: measurements would
+    otherwise be shuffled by unit, of which there are few.
     """
-    found = df.join(factors.select(*keys, "factor", "standard_unit"), list(keys), "left")
+    known = materialise(factors.select(*keys, "factor", "standard_unit"))
+    found = df.join(known, list(keys), "left")
     return (
         found.withColumn(f"raw_{value}", F.col(value))
         .withColumn(f"raw_{unit}", F.col(unit))
@@ -103,7 +106,7 @@ def trim(
     for name, (new_low, new_high) in (overrides or {}).items():
         low = low if new_low is None else F.when(F.col(key) == name, F.lit(float(new_low))).otherwise(low)
         high = high if new_high is None else F.when(F.col(key) == name, F.lit(float(new_high))).otherwise(high)
-    limits = bounds.select(key, low.alias("_low"), high.alias("_high"))
+    limits = materialise(bounds.select(key, low.alias("_low"), high.alias("_high")))
     v = F.col(value)
     kept = df.filter(~v.isin(list(missing_values)))
     if site and drop_sites:
@@ -114,6 +117,7 @@ def trim(
 
 def unit_distribution(df: DataFrame, keys: Sequence[str], value: str, entity: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Statistics per unit, and the entities behind them."""
+    df = materialise(df.select(*keys, value, entity))
     stats = describe_by(df, keys, value, (0.25, 0.5, 0.75), hot_rows=hot_rows)
     people = df.groupBy(*keys).agg(F.count_distinct(entity).alias("n_pids"))
     return stats.join(people, list(keys))

@@ -101,8 +101,8 @@ def allocate_controls(
     if not twice:
         return ranked.withColumn("plate", F.col("_up").cast("int")).drop("_up")
     drawn_count = ranked.agg(F.count(F.lit(1))).scalar()
-    both = F.array(F.col("_up"), 2 * drawn_count - F.col("_up") + 1)
-    return ranked.withColumn("plate", F.explode(F.transform(both, lambda p: p.cast("int")))).drop("_up")
+    both = F.array(F.col("_up").cast("int"), (2 * drawn_count - F.col("_up") + 1).cast("int"))
+    return ranked.withColumn("plate", F.explode(both)).drop("_up")
 
 
 def control_volume(controls: DataFrame, volume: str, aliquots: int) -> DataFrame:

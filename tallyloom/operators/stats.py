@@ -26,15 +26,15 @@ def describe_by(
     distinct: bool = False,
     exact: bool = True,
     hot_rows: int = HOT_ROWS,
+    pin: bool = False,
 ) -> DataFrame:
     """n, mean, min, max, sd and quantiles per group; ``keys=[]`` describes the whole column.
 
     ``distinct`` describes the distinct values instead. ``exact=False`` takes the quantiles from a
-    sketch in the same single pass.
+    sketch in the same single pass. ``pin`` writes the key and value columns out first: exact
+    quantiles read their input two or three times, which a joined input should not be made to.
     """
-    rows = values_of(df, keys, value)
-    if distinct:
-        rows = rows.distinct()
+    rows = _input(df, keys, value, distinct, pin and exact)
     if exact:
         described = describe_values(rows, keys, quantiles, hot_rows=hot_rows)
     else:
@@ -46,11 +46,18 @@ def describe_by(
     return described.select(*keys, "n", "mean", "min", "max", *named, "sd")
 
 
-def box_stats(df: DataFrame, keys: Sequence[str], value: str, distinct: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Quartiles, mean, and the outermost values within 1.5 times the quartile range."""
+def _input(df: DataFrame, keys: Sequence[str], value: str, distinct: bool, pin: bool) -> DataFrame:
     rows = values_of(df, keys, value)
     if distinct:
-        rows = rows.distinct()
+        return materialise(rows.distinct())
+    return materialise(rows) if pin else rows
+
+
+def box_stats(
+    df: DataFrame, keys: Sequence[str], value: str, distinct: bool = False, hot_rows: int = HOT_ROWS, pin: bool = False
+) -> DataFrame:
+    """Quartiles, mean, and the outermost values within 1.5 times the quartile range."""
+    rows = _input(df, keys, value, distinct, pin)
     quartiles = materialise(
         describe_values(rows, keys, (0.25, 0.5, 0.75), hot_rows=hot_rows).select(
             *keys, "n", "mean", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
@@ -140,15 +147,19 @@ def latest(df: DataFrame, entity: str, ts: str, columns: Sequence[str], ties: st
     """The newest value of every entity.
 
     ``first``: one row, of several at the same time the largest. ``all``: every value at that time,
-    ordered, joined by ', '. For ``all`` values are gathered per (entity, time), so an entity with
-    very many rows is spread over its times, and only the newest list is kept.
+    ordered, joined by ', '. The newest time comes from a map-side combined maximum, and rows meet it
+    by (entity, time), so an entity with very many rows is spread over its times and only the values
+    that end up in the text are gathered.
     """
     present = df.filter(F.col(entity).isNotNull() & F.col(ts).isNotNull())
     if ties == "first":
         newest = F.max(F.struct(ts, *columns)).alias("_newest")
         return present.groupBy(entity).agg(newest).select(entity, *[F.col(f"_newest.{c}").alias(c) for c in columns])
-    at_time = present.groupBy(entity, ts).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("_values"))
-    newest = at_time.groupBy(entity).agg(F.max_by("_values", ts).alias("_values"))
+    newest_time = present.groupBy(entity).agg(F.max(ts).alias(ts))
+    newest = (
+        present.select(entity, ts, *columns).join(newest_time, [entity, ts])
+        .groupBy(entity).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("_values"))
+    )
     types = dict(df.dtypes)
 
     def joined(column: str) -> Column:
@@ -173,8 +184,13 @@ def entity_summary(
     unit: str,
     quantiles: Sequence[float] = REPORT_PROBS,
     hot_rows: int = HOT_ROWS,
+    pin: bool = False,
 ) -> DataFrame:
-    """Per entity: statistics, all values and units at the newest time, number of distinct values."""
+    """Per entity: statistics, all values and units at the newest time, number of distinct values.
+
+    ``pin`` writes the four columns out first, as they are read several times.
+    """
+    df = materialise(df.select(entity, value, ts, unit)) if pin else df
     rows = values_of(df, [entity], value)
     described = describe_values(rows, [entity], quantiles, distinct_values=True, hot_rows=hot_rows)
     named = [F.col("q")[i].alias(quantile_name(p)) for i, p in enumerate(quantiles)]
@@ -187,8 +203,11 @@ def entity_summary(
     )
 
 
-def entity_range(df: DataFrame, entity: str, value: str, ts: str, unit: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def entity_range(
+    df: DataFrame, entity: str, value: str, ts: str, unit: str, hot_rows: int = HOT_ROWS, pin: bool = False
+) -> DataFrame:
     """Per entity: min, median, max, mean, count, list of units, one newest value."""
+    df = materialise(df.select(entity, value, ts, unit)) if pin else df
     described = describe_values(values_of(df, [entity], value), [entity], (0.5,), hot_rows=hot_rows)
     stats = described.select(entity, "min", F.col("q")[0].alias("median"), "max", "mean", F.col("n").alias("count"))
     units = distinct_list(df, entity, unit, "units")

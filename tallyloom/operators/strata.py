@@ -11,14 +11,21 @@ from ..functions import count_text, number_text, round_half_even
 from .shares import share
 
 
-def _by_sets(long: DataFrame, fixed: Sequence[str], sets: Sequence[Sequence[str]], *sums: Column) -> DataFrame:
-    """Sums for every set of attributes in one pass, with the set's name in ``stratum``.
+def _by_sets(
+    long: DataFrame, fixed: Sequence[str], sets: Sequence[Sequence[str]], sums: Mapping[str, Column]
+) -> DataFrame:
+    """Sums for every set of attributes, with the set's name in ``stratum``.
 
-    An unknown attribute is a category of its own; ``grouping`` tells it from one left out.
+    The rows are summed once by all attributes together; the sets are then formed from that short
+    table, so entity rows are not copied once per set. An unknown attribute is a category of its
+    own; ``grouping`` tells it from one left out.
     """
     strata = list(dict.fromkeys(c for s in sets for c in s))
+    finest = long.groupBy(*fixed, *strata).agg(*[F.sum(value).alias(name) for name, value in sums.items()])
     left_out = [F.grouping(c).alias(f"_off_{c}") for c in strata]
-    grouped = long.groupingSets([[*fixed, *s] for s in sets], *fixed, *strata).agg(*sums, *left_out)
+    grouped = finest.groupingSets([[*fixed, *s] for s in sets], *fixed, *strata).agg(
+        *[F.sum(name).alias(name) for name in sums], *left_out
+    )
     name = F.concat_ws(" x ", *[F.when(F.col(f"_off_{c}") == 0, F.lit(c)) for c in strata])
     return grouped.withColumn("stratum", name).drop(*[f"_off_{c}" for c in strata])
 
@@ -41,15 +48,14 @@ def case_control_counts(
     """Cases and controls by attribute set, for every concept column, with their class totals.
 
     ``wide`` and ``attributes`` have one row per entity. They are joined before the wide table is
-    made long, so the join does not grow with the number of concepts, and the grouping sets are
-    combined map-side.
+    made long, so the join does not grow with the number of concepts.
     """
     strata = list(dict.fromkeys(c for s in sets for c in s))
     joined = wide.join(attributes.select(entity, *strata).distinct(), entity)
     long = long_form(
         joined.select(entity, *strata, *[F.col(c).cast("boolean").alias(c) for c in concepts]), entity, concepts, strata, "concept"
     ).withColumn("class", F.when(F.col("value"), "Cases").otherwise("Controls"))
-    counts = _by_sets(long, ["concept", "class"], sets, F.count(F.lit(1)).alias("n_pids"))
+    counts = _by_sets(long, ["concept", "class"], sets, {"n_pids": F.lit(1)})
     total = F.sum("n_pids").over(Window.partitionBy("stratum", "concept", "class"))
     return with_percent(counts.withColumn("numerator", total)).select(
         "stratum", "concept", *strata, "class", "n_pids", "numerator", "pct", "label"
@@ -74,7 +80,7 @@ def measure_counts(
     joined = wide.join(attributes.select(entity, *strata).distinct(), entity).select(entity, *strata, *measures)
     with_nulls = joined.unpivot([entity, *strata], list(measures), "measure", "value")
     flagged = with_nulls.select("measure", *strata, F.col("value").isNotNull().cast("int").alias("_has"))
-    grouped = _by_sets(flagged, ["measure"], sets, F.sum("_has").alias("n_pids"), F.count(F.lit(1)).alias("_all"))
+    grouped = _by_sets(flagged, ["measure"], sets, {"n_pids": F.col("_has"), "_all": F.lit(1)})
     numerator = F.lit(None).cast("bigint")
     for stratum, of in denominators.items():
         if of == "overall":

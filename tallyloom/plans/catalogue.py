@@ -14,7 +14,7 @@ from ..functions import (
 )
 from ..operators import crosstab, flags, history, measures, plates, reshape, stats, strata
 from ..operators.shares import order_columns, position, share, share_of_sum
-from ..runtime import shared_folder
+from ..runtime import materialise, shared_folder
 from ..sources import files
 from . import extracts, fixed_values
 from .bindings import (
@@ -405,7 +405,7 @@ def measure_counts(t):
 
 @query
 def site_statistics(t):
-    return rounded(stats.describe_by(lines(t), ["site"], "l_extendedprice"))
+    return rounded(stats.describe_by(lines(t), ["site"], "l_extendedprice", pin=True))
 
 
 @query
@@ -452,12 +452,12 @@ def latest_with_unit_list(t):
 
 @query
 def entity_summary(t):
-    return rounded(stats.entity_summary(lines(t), "person_id", "l_quantity", "l_shipdate", "l_returnflag"))
+    return rounded(stats.entity_summary(lines(t), "person_id", "l_quantity", "l_shipdate", "l_returnflag", pin=True))
 
 
 @query
 def entity_range(t):
-    return rounded(stats.entity_range(lines(t), "person_id", "l_quantity", "l_shipdate", "l_returnflag"))
+    return rounded(stats.entity_range(lines(t), "person_id", "l_quantity", "l_shipdate", "l_returnflag", pin=True))
 
 
 def _measured(t) -> DataFrame:
@@ -606,7 +606,7 @@ def _modular(key: str) -> Column:
 def _batch(t) -> DataFrame:
     tests = _samples(t).filter(F.col("negative_control") == "No")
     earlier = plates.next_batch(tests, 500, "sample_id", "collected")
-    return plates.next_batch(tests, 900, "sample_id", "collected", exclude=earlier)
+    return materialise(plates.next_batch(tests, 900, "sample_id", "collected", exclude=earlier))
 
 
 @query
@@ -631,14 +631,14 @@ def seeded_sample(t):
     return plates.seeded_sample(_samples(t).select("sample_id", "state"), 250, "sample_id", seed=7)
 
 
-def _controls(t) -> DataFrame:
+def _controls(t, batch: DataFrame) -> DataFrame:
     pool = _samples(t).filter(F.col("negative_control") == "Yes")
-    return plates.allocate_controls(pool, 10, "sample_id", _modular("sample_id"), match=(_batch(t), "state"))
+    return plates.allocate_controls(pool, 10, "sample_id", _modular("sample_id"), match=(batch, "state"))
 
 
 @query
 def control_plates(t):
-    return _controls(t).withColumn("collected", F.col("collected").cast("string"))
+    return _controls(t, _batch(t)).withColumn("collected", F.col("collected").cast("string"))
 
 
 @query
@@ -668,8 +668,9 @@ def control_volume(t):
 
 
 def _final(t) -> DataFrame:
-    tests = plates.allocate_plates(_batch(t), 94, ["state", _modular("sample_id"), "sample_id"])
-    return plates.append_all(tests, _controls(t), _positives(t))
+    batch = _batch(t)
+    tests = plates.allocate_plates(batch, 94, ["state", _modular("sample_id"), "sample_id"])
+    return plates.append_all(tests, _controls(t, batch), _positives(t))
 
 
 @query
@@ -684,8 +685,9 @@ def sample_qc(t):
 
 @query
 def share_by_plate(t):
-    by_plate = plates.share_by(_final(t), "participant_id", "state", "plate").filter(F.col("plate") == 1)
-    overall = plates.share_by(_final(t), "participant_id", "state").withColumn("plate", F.lit(None).cast("int"))
+    final = _final(t)
+    by_plate = plates.share_by(final, "participant_id", "state", "plate").filter(F.col("plate") == 1)
+    overall = plates.share_by(final, "participant_id", "state").withColumn("plate", F.lit(None).cast("int"))
     return rounded(by_plate.unionByName(overall), 6)
 
 

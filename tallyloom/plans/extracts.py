@@ -135,14 +135,11 @@ def history_demographics(tables: Tables) -> DataFrame:
         "gender_identity": "gender_identity", "educational_attainment": "education", "employment": "employment",
     }
     codes = {name: fixed.QUESTIONS[q] for name, q in questions.items()}
-    concept = tables["concept"]
     asked = tables["observation"].filter(F.col("observation_source_concept_id").isin(list(codes.values())))
-    named = asked.join(concept, asked["value_source_concept_id"] == concept["concept_id"]).select(
-        "person_id", "observation_source_concept_id", F.lower("concept_name").alias("_value")
-    )
-    answers = _answer_ends(named, codes, "observation_source_concept_id", "_value")
-    ethnicity = tables["concept"].select(
-        F.col("concept_id").alias("ethnicity_concept_id"), F.lower("concept_name").alias("ethnicity")
+    said = _role(_used_concepts(tables, asked, ["value_source_concept_id"]), "value_source_concept_id", "_value")
+    answers = _answer_ends(asked.join(said, "value_source_concept_id"), codes, "observation_source_concept_id", "_value")
+    ethnicity = _role(
+        _used_concepts(tables, tables["person"], ["ethnicity_concept_id"]), "ethnicity_concept_id", "ethnicity"
     )
     age = tables["cb_search_person"].select("person_id", F.col("age_at_cdr").cast("int").alias("age_at_cdr"))
     people = (
@@ -243,6 +240,7 @@ def mediated_records(tables: Tables) -> DataFrame:
 def headline_sources(tables: Tables) -> dict[str, DataFrame]:
     """The labelled id tables of the headline summary."""
     survey, conduct = tables["ds_survey"], tables["survey_conduct"]
+    label = fixed.HEADLINES
     descendants = tables["concept_ancestor"].filter(F.col("ancestor_concept_id") == fixed.LIFE_FUNCTIONING_SURVEY)
     observed = tables["observation"]
     functioning = observed.join(
@@ -251,17 +249,17 @@ def headline_sources(tables: Tables) -> dict[str, DataFrame]:
     remote = tables["measurement"].filter(F.col("measurement_type_concept_id") == fixed.SELF_REPORTED_TYPE)
     remote = remote.join(tables["person_ext"].select("person_id"), "person_id", "left_semi")
     return {
-        "Total in CDR": tables["person"],
-        "AIAN Race Ethnicity": survey_cohort(tables, fixed.QUESTIONS["race"], fixed.AIAN_ANSWER),
-        "Disability or Life Functioning Survey ": functioning,
-        "Life Functioning Survey": conduct.filter(F.col("survey_source_concept_id") == fixed.LIFE_FUNCTIONING_SURVEY),
-        "CareEvolution PPI": with_source(tables, "survey_conduct", "survey_conduct_id").filter(F.lower("src_id").endswith("tpc")),
-        "Wear Consent": consent_cohort(tables),
-        "Healthpro Deceased": tables["deaths"].filter(F.lower("src_id").contains("healthpro")),
-        "Remote self-Reported Height PM": remote.filter(F.col("measurement_source_concept_id") == fixed.SELF_REPORTED_HEIGHT),
-        "Remote self-Reported Weight PM": remote.filter(F.col("measurement_source_concept_id") == fixed.SELF_REPORTED_WEIGHT),
-        "Mediated EHR data": mediated_records(tables),
-        "Self-Reported Racial/Ethnicity Subcategories": survey.filter(F.col("question_concept_id").isin(fixed.SUBCATEGORY_QUESTIONS)),
+        label["total"]: tables["person"],
+        label["aian"]: survey_cohort(tables, fixed.QUESTIONS["race"], fixed.AIAN_ANSWER),
+        label["functioning"]: functioning,
+        label["functioning_survey"]: conduct.filter(F.col("survey_source_concept_id") == fixed.LIFE_FUNCTIONING_SURVEY),
+        label["partner_survey"]: with_source(tables, "survey_conduct", "survey_conduct_id").filter(F.lower("src_id").endswith(fixed.PARTNER_SOURCE)),
+        label["wear"]: consent_cohort(tables),
+        label["deceased"]: tables["deaths"].filter(F.lower("src_id").contains(fixed.DEATH_SOURCE)),
+        label["height"]: remote.filter(F.col("measurement_source_concept_id") == fixed.SELF_REPORTED_HEIGHT),
+        label["weight"]: remote.filter(F.col("measurement_source_concept_id") == fixed.SELF_REPORTED_WEIGHT),
+        label["mediated"]: mediated_records(tables),
+        label["subcategories"]: survey.filter(F.col("question_concept_id").isin(fixed.SUBCATEGORY_QUESTIONS)),
     }
 
 
@@ -269,13 +267,21 @@ def headline_sources(tables: Tables) -> dict[str, DataFrame]:
 
 
 def domain_records(tables: Tables, with_vocabulary: bool = True) -> DataFrame:
-    """Records of all domains from care sites: person, domain, site, vocabulary, start, end."""
+    """Records of all domains from care sites: person, domain, site, vocabulary, start, end.
+
+    The vocabularies of the concepts in use are looked up once for all domains and written out: the
+    records then meet a table of known, small size instead of being shuffled by concept.
+    """
+    if with_vocabulary:
+        used = [tables[d[1]].select(F.col(d[3]).alias("concept_id")).distinct() for d in fixed.RECORD_DOMAINS]
+        ids = reduce(DataFrame.unionByName, used).distinct()
+        concept = tables["concept"].select("concept_id", F.col("vocabulary_id").alias("vocabulary"))
+        vocabularies = materialise(concept.join(ids, "concept_id", "left_semi"))
 
     def one(label: str, table: str, key: str, concept_id: str, start: str, end: str) -> DataFrame:
         records = with_source(tables, table, key).filter(F.lower("src_id").startswith("ehr site"))
         if with_vocabulary:
-            concept = tables["concept"].select(F.col("concept_id").alias(concept_id), F.col("vocabulary_id").alias("vocabulary"))
-            records = records.join(concept, concept_id)
+            records = records.join(vocabularies.withColumnRenamed("concept_id", concept_id), concept_id)
         extra = ["vocabulary"] if with_vocabulary else []
         return records.select(
             "person_id", F.lit(label).alias("domain"), F.col("src_id").alias("site"), *extra,

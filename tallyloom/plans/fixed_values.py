@@ -143,6 +143,23 @@ SELF_REPORTED_TYPE = 32865
 SELF_REPORTED_HEIGHT = 903133
 SELF_REPORTED_WEIGHT = 903121
 MEDIATED_SOURCE = "participant mediated ehr"
+PARTNER_SOURCE = "tpc"
+DEATH_SOURCE = "healthpro"
+
+# Labels of the headline counts.
+HEADLINES = {
+    "total": "Total in CDR",
+    "aian": "AIAN Race Ethnicity",
+    "functioning": "Disability or Life Functioning Survey ",
+    "functioning_survey": "Life Functioning Survey",
+    "partner_survey": "CareEvolution PPI",
+    "wear": "Wear Consent",
+    "deceased": "Healthpro Deceased",
+    "height": "Remote self-Reported Height PM",
+    "weight": "Remote self-Reported Weight PM",
+    "mediated": "Mediated EHR data",
+    "subcategories": "Self-Reported Racial/Ethnicity Subcategories",
+}
 
 # Answers that say nothing, and the codes of under-represented groups.
 NULL_CODES = ["Null", "No matching concept", "PMI_Skip", "PMI_PreferNotToAnswer", "AoUDRC_NoneIndicated"]

@@ -14,6 +14,7 @@ from ..operators.flags import (
 )
 from ..operators.history import cumulative_entities, first_seen, periods, years_of_data, years_stats
 from ..operators.shares import position
+from ..runtime import materialise
 from . import extracts, fixed_values as fixed
 
 Tables = Mapping[str, DataFrame]
@@ -85,10 +86,15 @@ def genomics_report(tables: Tables, name: str) -> tuple[DataFrame, DataFrame]:
 
 
 def record_history(tables: Tables) -> DataFrame:
-    """Periods of data per person, domain, site and vocabulary, and over any domain."""
-    return periods(
-        extracts.domain_records(tables), "person_id", ["domain", "site", "vocabulary"], "start", "end",
-        extracts.data_cutoff(tables), fixed.ANY_DOMAIN,
+    """Periods of data per person, domain, site and vocabulary, and over any domain.
+
+    Written out, as all history reports start from it.
+    """
+    return materialise(
+        periods(
+            extracts.domain_records(tables), "person_id", ["domain", "site", "vocabulary"], "start", "end",
+            extracts.data_cutoff(tables), fixed.ANY_DOMAIN,
+        )
     )
 
 
