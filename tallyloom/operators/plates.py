@@ -17,6 +17,7 @@ from ..functions import recode
 from ..runtime import materialise
 from .shares import share
 
+TOP_N = 100_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -48,6 +49,18 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "posit
     )
 
 
+def first_rows(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:
+    """The first ``n`` rows of a total order.
+
+    A top-n keeps n rows per task and merges them in one; more than ``TOP_N`` are cut off a global
+    order instead, which stays distributed.
+    """
+    if n <= TOP_N:
+        return df.orderBy(*order).limit(n)
+    ranked = global_rank(df, order, "_position")
+    return ranked.filter(F.col("_position") <= n).drop("_position")
+
+
 def next_batch(
     samples: DataFrame, n: int, key: str, newest: str, exclude: DataFrame | None = None, columns: Sequence[str] | None = None
 ) -> DataFrame:
@@ -55,12 +68,12 @@ def next_batch(
     pool = samples.select(*columns).distinct() if columns else samples.distinct()
     if exclude is not None:
         pool = pool.join(exclude.select(key), key, "left_anti")
-    return pool.orderBy(F.desc(newest), F.col(key)).limit(n)
+    return first_rows(pool, n, [F.desc(newest), F.col(key)])
 
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int, order: Column | None = None) -> DataFrame:
     """``n`` random rows; with ``n`` as large as the table, a shuffle of all rows."""
-    return df.orderBy(seeded_order(key, seed) if order is None else order, F.col(key)).limit(n)
+    return first_rows(df, n, [seeded_order(key, seed) if order is None else order, F.col(key)])
 
 
 def allocate_plates(df: DataFrame, wells: int, order: Sequence[Column | str], name: str = "plate") -> DataFrame:
@@ -96,7 +109,7 @@ def allocate_controls(
     if match is not None:
         batch, column = match
         pool = pool.join(batch.select(column).distinct(), column, "left_semi")
-    drawn = pool.orderBy(order, F.col(key)).limit(plates // 2 if twice else plates)
+    drawn = first_rows(pool, plates // 2 if twice else plates, [order, F.col(key)])
     ranked = global_rank(drawn, [key], "_up")
     if not twice:
         return ranked.withColumn("plate", F.col("_up").cast("int")).drop("_up")

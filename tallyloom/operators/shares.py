@@ -56,10 +56,16 @@ def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     return spark.createDataFrame([tuple(r) for r in rows], schema)
 
 
-def position(value: Column, order: Sequence[str]) -> Column:
-    """1-based place of a value in a fixed list, null if it is not listed."""
-    places = F.array_position(F.array(*[F.lit(v) for v in order]), value)
-    return F.when(places > 0, places.cast("int"))
+def position(value: Column, order: Sequence[str], exact: bool = True) -> Column:
+    """1-based place of a value in a fixed list, null if it is not listed.
+
+    With ``exact=False`` the first entry that occurs in the value counts, whatever the case.
+    """
+    if exact:
+        places = F.array_position(F.array(*[F.lit(v) for v in order]), value)
+        return F.when(places > 0, places.cast("int"))
+    hits = [F.when(F.contains(F.lower(value), F.lit(v.lower())), F.lit(i + 1)) for i, v in enumerate(order)]
+    return F.coalesce(*hits)
 
 
 def order_columns(df: DataFrame, first: Sequence[str], order: Sequence[str], separator: str = "__") -> DataFrame:

@@ -12,13 +12,13 @@ from .shares import share
 
 
 def _by_sets(
-    long: DataFrame, fixed: Sequence[str], sets: Sequence[Sequence[str]], sums: Mapping[str, Column]
+    long: DataFrame, fixed: Sequence[str], sets: Sequence[Sequence[str]], sums: Mapping[str, Column], known_only: bool
 ) -> DataFrame:
     """Sums for every set of attributes, with the set's name in ``stratum``.
 
     The rows are summed once by all attributes together; the sets are then formed from that short
     table, so entity rows are not copied once per set. An unknown attribute is a category of its
-    own; ``grouping`` tells it from one left out.
+    own (``grouping`` tells it from one left out), or with ``known_only`` keeps a row out of the set.
     """
     strata = list(dict.fromkeys(c for s in sets for c in s))
     finest = long.groupBy(*fixed, *strata).agg(*[F.sum(value).alias(name) for name, value in sums.items()])
@@ -26,6 +26,9 @@ def _by_sets(
     grouped = finest.groupingSets([[*fixed, *s] for s in sets], *fixed, *strata).agg(
         *[F.sum(name).alias(name) for name in sums], *left_out
     )
+    if known_only:
+        for c in strata:
+            grouped = grouped.filter((F.col(f"_off_{c}") == 1) | F.col(c).isNotNull())
     name = F.concat_ws(" x ", *[F.when(F.col(f"_off_{c}") == 0, F.lit(c)) for c in strata])
     return grouped.withColumn("stratum", name).drop(*[f"_off_{c}" for c in strata])
 
@@ -43,7 +46,12 @@ def with_percent(counts: DataFrame, n: str = "n_pids", of: str = "numerator") ->
 
 
 def case_control_counts(
-    wide: DataFrame, entity: str, concepts: Sequence[str], attributes: DataFrame, sets: Sequence[Sequence[str]]
+    wide: DataFrame,
+    entity: str,
+    concepts: Sequence[str],
+    attributes: DataFrame,
+    sets: Sequence[Sequence[str]],
+    known_only: bool = False,
 ) -> DataFrame:
     """Cases and controls by attribute set, for every concept column, with their class totals.
 
@@ -55,7 +63,7 @@ def case_control_counts(
     long = long_form(
         joined.select(entity, *strata, *[F.col(c).cast("boolean").alias(c) for c in concepts]), entity, concepts, strata, "concept"
     ).withColumn("class", F.when(F.col("value"), "Cases").otherwise("Controls"))
-    counts = _by_sets(long, ["concept", "class"], sets, {"n_pids": F.lit(1)})
+    counts = _by_sets(long, ["concept", "class"], sets, {"n_pids": F.lit(1)}, known_only)
     total = F.sum("n_pids").over(Window.partitionBy("stratum", "concept", "class"))
     return with_percent(counts.withColumn("numerator", total)).select(
         "stratum", "concept", *strata, "class", "n_pids", "numerator", "pct", "label"
@@ -69,6 +77,7 @@ def measure_counts(
     attributes: DataFrame,
     sets: Sequence[Sequence[str]],
     denominators: Mapping[str, Sequence[str] | str],
+    known_only: bool = False,
 ) -> DataFrame:
     """Entities with a value by attribute set, for every measure column.
 
@@ -80,7 +89,7 @@ def measure_counts(
     joined = wide.join(attributes.select(entity, *strata).distinct(), entity).select(entity, *strata, *measures)
     with_nulls = joined.unpivot([entity, *strata], list(measures), "measure", "value")
     flagged = with_nulls.select("measure", *strata, F.col("value").isNotNull().cast("int").alias("_has"))
-    grouped = _by_sets(flagged, ["measure"], sets, {"n_pids": F.col("_has"), "_all": F.lit(1)})
+    grouped = _by_sets(flagged, ["measure"], sets, {"n_pids": F.col("_has"), "_all": F.lit(1)}, known_only)
     numerator = F.lit(None).cast("bigint")
     for stratum, of in denominators.items():
         if of == "overall":

@@ -375,6 +375,14 @@ def case_control_by_two(t):
     ).filter(F.col("stratum") == "lang x source")
 
 
+@query
+def case_control_five_sets(t):
+    length = band(F.col("n_chars"), [0, 999, 4_999], ["short", "middle", "long"])
+    attributes = t["documents"].select("doc_id", "lang", "source", length.alias("length"))
+    sets = [["length"], ["lang"], ["source"], ["lang", "source"], ["length", "source"]]
+    return strata.case_control_counts(t["labels"], "doc_id", ["quality", "toxic"], attributes, sets)
+
+
 @query
 def class_share(t):
     """Counts with the total of their class beside each row."""
@@ -725,6 +733,15 @@ def suppressed_report(t):
     )
 
 
+@query
+def formatted_columns(t):
+    """A finished table as text, its counts hidden if small, and split back into numbers."""
+    table = _priority_counts(t).withColumnRenamed("o_orderpriority", "priority").withColumnRenamed("o_orderstatus", "status")
+    cells = table.withColumn("cell", count_pct(F.col("n"), F.col("ratio"))).withColumn("shown", F.col("n"))
+    text = reshape.suppress_columns(reshape.format_columns(cells, ["n"], ["ratio"]), ["shown"])
+    return reshape.split_columns(text, ["cell"])
+
+
 @query
 def split_count_pct_cells(t):
     cells = _priority_counts(t).select("c_nationkey", "o_orderpriority", "o_orderstatus", count_pct(F.col("n"), F.col("ratio")).alias("cell"))

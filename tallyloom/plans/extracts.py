@@ -407,15 +407,15 @@ def phenotype_index(
 ) -> DataFrame:
     """A row per concept column of a wide phenotype table: name, short name, report name, persons.
 
-    ``by`` says whether the columns are named by ``concept_id`` or ``concept_code``. The counts come
-    from one pass over the table for all columns.
+    ``by`` says whether the columns are named by ``concept_id`` or ``concept_code``. The table has one
+    row per person, so the counts of all columns are row counts from one pass, combined map-side.
     """
     columns = [c for c in phenotypes.columns if c != entity]
     ids = fixed_table(phenotypes.sparkSession, [(c,) for c in columns], f"`{by}` string")
     concept = tables["concept"].select(F.col(by).cast("string").alias(by), F.lower("concept_name").alias("concept_name"))
     people = long_form(
         phenotypes.select(entity, *[F.col(f"`{c}`").cast("string").alias(c) for c in columns]), entity, columns, name=by
-    ).groupBy(by).agg(F.count_distinct(entity).alias("n_pids"))
+    ).groupBy(by).agg(F.count(F.lit(1)).alias("n_pids"))
     index = ids.join(concept.distinct(), by).join(people, by, "left").na.fill({"n_pids": 0})
     short = strip_parts(F.col("concept_name"), name_parts)
     return index.withColumn("short_name", short).withColumn("report_name", report_name(kind, F.col(by)))

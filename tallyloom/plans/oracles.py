@@ -156,8 +156,8 @@ def percent_label(table: str) -> str:
 FROM (SELECT *, coalesce(round_even(n_pids / numerator * 100 * 100, 0) / 100, 0.0) AS pct FROM ({table}))"""
 
 
-def stratum(keys: list[str]) -> str:
-    picked = ", ".join(f"{k if k in keys else 'NULL'} AS {k}" for k in ("lang", "source"))
+def stratum(keys: list[str], attributes: tuple[str, ...] = ("lang", "source")) -> str:
+    picked = ", ".join(f"{k if k in keys else 'NULL'} AS {k}" for k in attributes)
     name = " x ".join(keys)
     return f"""SELECT '{name}' AS stratum, concept, {picked}, class, count(DISTINCT doc_id) AS n_pids,
   (sum(count(DISTINCT doc_id)) OVER (PARTITION BY concept, class))::BIGINT AS numerator
@@ -385,6 +385,12 @@ SELECT *, n / (SELECT count(*) FROM customer) AS ratio FROM a""",
 SELECT *, max(CASE WHEN col = 'Any EHR' THEN n END) OVER (PARTITION BY "row") AS row_total FROM x""",
     "case_control_by_one": f"WITH {CLASSES} {percent_label(stratum(['lang']) + ' UNION ALL ' + stratum(['source']))}",
     "case_control_by_two": f"WITH {CLASSES} {percent_label(stratum(['lang', 'source']))}",
+    "case_control_five_sets": f"""WITH w AS (
+  SELECT doc_id, lang, source, concept, CASE WHEN flag = 1 THEN 'Cases' ELSE 'Controls' END AS class,
+         CASE WHEN n_chars > 4999 THEN 'long' WHEN n_chars > 999 THEN 'middle' ELSE 'short' END AS length
+  FROM (SELECT doc_id, 'quality' AS concept, quality AS flag FROM labels UNION ALL SELECT doc_id, 'toxic', toxic FROM labels)
+  JOIN documents USING (doc_id))
+{percent_label(" UNION ALL ".join(stratum(s, ("length", "lang", "source")) for s in (["length"], ["lang"], ["source"], ["lang", "source"], ["length", "source"])))}""",
     "class_share": """WITH c AS (SELECT lang, CASE WHEN quality = 1 THEN 'Cases' ELSE 'Controls' END AS class, count(DISTINCT doc_id) AS n
   FROM labels JOIN documents USING (doc_id) GROUP BY ALL)
 SELECT *, n / sum(n) OVER (PARTITION BY class) AS ratio FROM c""",
@@ -513,6 +519,9 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
     "suppressed_report": f"""WITH {PRIORITY_COUNTS}, t AS (SELECT *, {CELL} AS plain, CAST(n - 18 AS VARCHAR) AS moved FROM pcount)
 SELECT c_nationkey, o_orderpriority, o_orderstatus, n, plain, {SUPPRESSED} AS suppressed, printf('%.1f%%', ratio * 100) AS one_decimal,
        {hidden('plain')} AS hidden_text, {hidden('moved')} AS hidden_number FROM t""",
+    "formatted_columns": f"""WITH {PRIORITY_COUNTS} SELECT c_nationkey, o_orderpriority AS priority, o_orderstatus AS status, format('{{:,}}', n) AS n,
+  printf('%.1f%%', ratio * 100) AS ratio, CASE WHEN n < 20 THEN '<20' ELSE CAST(n AS VARCHAR) END AS shown, n AS cell_count,
+  CAST(printf('%.2f', ratio * 100) AS DOUBLE) AS cell_pct FROM pcount""",
     "split_count_pct_cells": f"""WITH {PRIORITY_COUNTS} SELECT c_nationkey, o_orderpriority, o_orderstatus, n AS count,
   CAST(printf('%.2f', ratio * 100) AS DOUBLE) AS pct FROM pcount""",
     "threshold_dimension": """WITH r AS (

@@ -13,8 +13,10 @@ from ..operators.flags import (
     combo_groups, count_by_flag, count_by_flag_combo, flag_counts_by_population, flag_intersections, flag_matrix,
 )
 from ..operators.history import cumulative_entities, first_seen, periods, years_of_data, years_stats
-from ..operators.shares import position
+from ..operators.shares import fixed_table, position
 from ..runtime import materialise
+from ..operators.stats import box_stats, describe_by, entity_summary, histogram
+from ..operators.strata import case_control_counts, measure_counts
 from . import extracts, fixed_values as fixed
 
 Tables = Mapping[str, DataFrame]
@@ -71,7 +73,8 @@ def demographic_report(tables: Tables, demographic: str) -> DataFrame:
         fixed.DATA_TYPE_COHORTS, {"Whole CDR": None, "AIAN": "AIAN", "WEAR": "WEAR"},
         DEMOGRAPHIC_ORDERS[demographic], multi_counted=several,
     )
-    return table.withColumn("label", count_pct(F.col("n"), F.col("ratio")))
+    title = F.lit(fixed.DEMOGRAPHIC_TITLES[demographic])
+    return table.withColumn("variable", title).withColumn("label", count_pct(F.col("n"), F.col("ratio")))
 
 
 def genomics_report(tables: Tables, name: str) -> tuple[DataFrame, DataFrame]:
@@ -114,7 +117,7 @@ def growth_report(tables: Tables, from_year: int = 2010) -> DataFrame:
 def demographic_history_report(tables: Tables, history: DataFrame, variable: str) -> DataFrame:
     """Persons per category and domain, suppressed, in report order; unlisted categories left out."""
     table = domain_cross_tab(extracts.history_demographics(tables), history, "person_id", variable, "domain")
-    place = position(F.col("category"), fixed.HISTORY_ORDERS[variable])
+    place = position(F.col("category"), fixed.HISTORY_ORDERS[variable], exact=False)
     shown = table.withColumn("sort_ord", place).filter(place.isNotNull())
     return shown.withColumn("label", suppressed_count_pct(F.col("n"), F.col("ratio")))
 
@@ -136,3 +139,58 @@ def site_report(history: DataFrame, denominator: DataFrame, which: str = "domain
         grouped = history.withColumn("vocabulary", extracts.vocabulary_group(F.col("vocabulary")))
         matrix = entity_matrix(grouped, "person_id", "site", "vocabulary", denominator)
     return by_row_total(matrix).withColumn("label", suppressed_count_pct(F.col("n"), F.col("ratio")))
+
+
+STRATA = [["age_group"], ["sex_at_birth"], ["ancestry"], ["sex_at_birth", "ancestry"], ["age_group", "ancestry"]]
+
+
+def person_strata(demographics: DataFrame, ancestry: DataFrame) -> DataFrame:
+    """Age group, sex and ancestry per person; null if the person is not in the table.
+
+    A person who is in the table without a value belongs to the category 'NA'.
+    """
+
+    def filled(table: DataFrame, columns: list[str]) -> DataFrame:
+        return table.select("person_id", *[F.coalesce(c, F.lit("NA")).alias(c) for c in columns])
+
+    return filled(demographics, ["age_group", "sex_at_birth"]).join(filled(ancestry, ["ancestry"]), "person_id", "full")
+
+
+def case_control_report(tables: Tables, phenotypes: DataFrame, strata: DataFrame) -> DataFrame:
+    """Cases and controls of every concept of a phenotype table by the five breakdowns, with its name.
+
+    A person counts in a breakdown if it is in the tables the breakdown needs.
+    """
+    concepts = [c for c in phenotypes.columns if c != "person_id"]
+    counts = case_control_counts(phenotypes, "person_id", concepts, strata, STRATA, known_only=True)
+    ids = fixed_table(phenotypes.sparkSession, [(c,) for c in concepts], "concept string")
+    return counts.join(extracts.concept_names(tables, ids, "concept"), "concept", "left")
+
+
+def measure_report(measures: DataFrame, strata: DataFrame) -> DataFrame:
+    """Persons with a value of every measure by the five breakdowns."""
+    columns = [c for c in measures.columns if c != "person_id"]
+    of = {
+        "age_group": "measure", "sex_at_birth": "measure", "ancestry": "measure",
+        "sex_at_birth x ancestry": ["ancestry"], "age_group x ancestry": ["ancestry"],
+    }
+    return measure_counts(measures, "person_id", columns, strata, STRATA, of, known_only=True)
+
+
+def lab_report(tables: Tables, ancestors: list[int], bins: int = 20) -> dict[str, DataFrame]:
+    """Everything about a lab in four tables, for all given concepts together.
+
+    The extract is written out once; ``people`` is what ``write_by_concept`` delivers.
+    """
+    rows = materialise(extracts.lab_extract(tables, ancestors).withColumnRenamed("ancestor_concept_name", "lab"))
+    sites = rows.withColumn("site", F.replace("src_id", F.lit("EHR site "), F.lit("#")))
+    who = F.struct("lab", "person_id")
+    people = entity_summary(
+        rows.withColumn("who", who), "who", "value_as_number", "measurement_datetime", "unit_concept_name"
+    )
+    return {
+        "statistics": describe_by(sites, ["lab", "site"], "value_as_number"),
+        "boxes": box_stats(sites, ["lab", "site"], "value_as_number"),
+        "histogram": histogram(rows, "value_as_number", bins, ["lab"]),
+        "people": people.select("who.lab", "who.person_id", *[c for c in people.columns if c != "who"]),
+    }

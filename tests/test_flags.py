@@ -105,3 +105,12 @@ def test_absent_categories_keep_their_label(spark):
     part = spark.createDataFrame([("a", 2, 1.0)], "c string, n long, ratio double")
     table = crosstab.align_populations({"Whole": whole, "Part": part}, "c", "Whole")
     assert ("b", 0, 0.0, "Part") in rows(table)
+
+
+def test_position_by_part(spark):
+    from tallyloom.operators.shares import position
+
+    df = spark.createDataFrame([("sex at birth none of these",), ("Woman",), ("Man",), ("else",)], "v string")
+    order = ["Woman", "Man", "None Of These"]
+    assert rows(df.select("v", position(F.col("v"), order).alias("exact"), position(F.col("v"), order, exact=False).alias("part"))) == [
+        ("Man", 2, 2), ("Woman", 1, 1), ("else", None, None), ("sex at birth none of these", None, 3)]

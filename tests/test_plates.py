@@ -80,3 +80,9 @@ def test_share_by_plate(spark):
     df = spark.createDataFrame([(1, "x", 1), (1, "x", 1), (2, "y", 1), (3, "x", 2), (4, None, 2)], "p long, state string, plate int")
     assert rows(plates.share_by(df, "p", "state", "plate")) == [(1, "x", 1, 50.0), (1, "y", 1, 50.0), (2, "x", 1, 50.0)]
     assert rows(plates.share_by(df, "p", "state")) == [("x", 2, 50.0), ("y", 1, 25.0)]
+
+
+def test_large_batches_are_cut_off_a_global_order(spark, monkeypatch):
+    top = rows(plates.next_batch(samples(spark), 300, "id", "day"))
+    monkeypatch.setattr(plates, "TOP_N", 10)
+    assert rows(plates.next_batch(samples(spark), 300, "id", "day")) == top

@@ -139,3 +139,29 @@ def test_catalog_tables(spark, tables):
     tables["person"].createOrReplaceTempView("person")
     found = extracts.CatalogTables(spark, names={"deaths": "person"})
     assert found["person"].count() == 5 and found["deaths"].count() == 5
+
+
+def test_phenotype_reports(spark, tables):
+    demographics = spark.createDataFrame([(1, "18-29", "F"), (2, "18-29", "M"), (3, "90+", "F")], "person_id long, age_group string, sex_at_birth string")
+    ancestry = spark.createDataFrame([(1, "EUR"), (2, "AFR"), (4, "EUR")], "person_id long, ancestry string")
+    strata = reports.person_strata(demographics, ancestry)
+    wide = spark.createDataFrame([(1, True, None), (2, False, True), (3, True, False), (4, True, True)], "person_id long, `J11` boolean, `40` boolean")
+    got = {(r.stratum, r.concept, r.age_group, r.sex_at_birth, r.ancestry, r["class"]): r for r in reports.case_control_report(tables, wide, strata).collect()}
+    row = got[("age_group", "J11", "18-29", None, None, "Cases")]
+    assert (row.n_pids, row.numerator, row.pct, row.label, row.concept_name) == (1, 2, 50.0, "1 (50%)", "Flu")
+    row = got[("ancestry", "J11", None, None, "EUR", "Cases")]
+    assert (row.n_pids, row.numerator) == (2, 2)
+    assert got[("sex_at_birth x ancestry", "40", None, "M", "AFR", "Cases")].numerator == 1
+
+    values = spark.createDataFrame([(1, 60.0, 1.7), (2, 70.0, None), (3, None, 1.6)], "person_id long, weight double, height double")
+    got = {(r.stratum, r.measure, r.sex_at_birth, r.ancestry): (r.n_pids, r.numerator) for r in reports.measure_report(values, strata).collect()}
+    assert got[("sex_at_birth", "weight", "F", None)] == (1, 2) and got[("sex_at_birth", "height", "F", None)] == (2, 2)
+    assert got[("sex_at_birth x ancestry", "weight", "M", "AFR")] == (1, 1)
+
+
+def test_lab_report(tables):
+    report = reports.lab_report(tables, [11], bins=4)
+    assert rows(report["statistics"].select("lab", "site", "n", "mean")) == [("blood panel", "#1", 1, 40.0), ("blood panel", "ehr site 2", 1, 41.0)]
+    (person,) = report["people"].collect()
+    assert (person.lab, person.person_id, person.values_count, person.latest_value, person.latest_value_unit) == ("blood panel", 1, 2, "41", "NA")
+    assert sum(r.n for r in report["histogram"].collect()) == 2 and report["boxes"].count() == 2
