@@ -201,8 +201,10 @@ def sample_qc(
     parts = [facts, undated]
     for column, fact in ((plate, "plates"), (specimen, "specimens")):
         if column:
-            counted = samples.agg(F.count_distinct(column).cast("string").alias("value"))
-            parts.append(counted.select(F.lit("all").alias("class"), F.lit(fact).alias("fact"), "value"))
+            counted = samples.agg(
+                F.count_distinct(column).cast("string").alias(fact), F.count(column).cast("string").alias(f"{fact}_rows")
+            )
+            parts.append(counted.withColumn("class", F.lit("all")).unpivot("class", [fact, f"{fact}_rows"], "fact", "value"))
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part)

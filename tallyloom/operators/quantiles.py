@@ -71,21 +71,15 @@ def _split(rows: DataFrame, keys: list[str], probs: Sequence[float], distinct_va
     margin = max(1e-4, 3.0 / hot_rows)
     accuracy = int(4 / margin) + 1
     k = len(probs)
-
-    def sketch(points: list[float]) -> Column:
-        return F.percentile_approx("_v", [min(max(p, 0.0), 1.0) for p in points], accuracy)
-
-    groups = materialise(
-        rows.groupBy(*keys).agg(
-            *_moments(), sketch([p - margin for p in probs]).alias("_low"), sketch([p + margin for p in probs]).alias("_high")
-        )
-    )
-    low = [F.lit(float("-inf")) if p - margin <= 0 else F.col("_low")[i] for i, p in enumerate(probs)]
-    high = [F.lit(float("inf")) if p + margin >= 1 else F.col("_high")[i] for i, p in enumerate(probs)]
+    points = [min(max(p + side * margin, 0.0), 1.0) for side in (-1, 1) for p in probs]
+    sketch = F.percentile_approx("_v", points, accuracy).alias("_ends")
+    groups = materialise(rows.groupBy(*keys).agg(*_moments(), sketch))
+    low = [F.lit(float("-inf")) if p - margin <= 0 else F.col("_ends")[i] for i, p in enumerate(probs)]
+    high = [F.lit(float("inf")) if p + margin >= 1 else F.col("_ends")[k + i] for i, p in enumerate(probs)]
     inside = reduce(lambda a, b: a | b, [F.col("_v").between(low[i], high[i]) for i in range(k)])
     passed = reduce(lambda a, b: a + b, [F.when(high[i] < F.col("_v"), 1).otherwise(0) for i in range(k)])
 
-    bounds = groups.select(*keys, "_low", "_high")
+    bounds = groups.select(*keys, "_ends")
     placed = _join(rows, bounds, keys).select(
         *keys, "_v", inside.alias("_in"), (passed * 2 + inside.cast("int")).alias("_seg")
     )

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.flags import flag_matrix
 from ..operators.history import Domain
@@ -15,14 +16,20 @@ HIGH_VALUE = 490_000
 HIGH_BALANCE = 5_000
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class ParquetTables(Mapping):
-    """``name`` -> the parquet file of that name."""
+    """``name`` -> the parquet file of that name; its schema is read from the file once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self._folder = spark, folder
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        path = f"{self._folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def __iter__(self) -> Iterator[str]:
         return iter(())

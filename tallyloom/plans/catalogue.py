@@ -308,6 +308,13 @@ def domain_cross_tab(t):
     return table.withColumn("label", suppressed_count_pct(F.col("n"), F.col("ratio")))
 
 
+@query
+def domain_cross_tab_wide(t):
+    """The same with a column per domain, absent cells 0."""
+    wide = reshape.to_wide(domain_cross_tab(t), ["category"], "domain", [*EVENT_TYPES, "No Data", "All Pids"], "n")
+    return wide.withColumnsRenamed({"No Data": "no_data", "All Pids": "all_pids"})
+
+
 def _groups(t) -> DataFrame:
     """Yes/no rules per customer; rows per order, one 'yes' is enough."""
     segment = F.col("c_mktsegment")
@@ -343,6 +350,13 @@ def site_domain_matrix(t):
     return matrix.withColumn("label", suppressed_count_pct(F.col("n"), F.col("ratio")))
 
 
+@query
+def site_domain_matrix_wide(t):
+    """The same with a column per domain, absent cells 0, the largest site first."""
+    wide = reshape.to_wide(site_domain_matrix(t), ["row"], "col", ["A", "N", "R", "Any EHR"], "n")
+    return wide.withColumnRenamed("Any EHR", "any_ehr").orderBy(F.desc("any_ehr"), "row")
+
+
 @query
 def site_vocabulary_matrix(t):
     groups = {"ECONOMY": "Others", "STANDARD": "Others", "LARGE": "Big", "PROMO": "PROMO"}

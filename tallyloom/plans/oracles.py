@@ -371,6 +371,10 @@ SELECT person_id, domain, CAST(min(year) AS INTEGER) AS year FROM y GROUP BY ALL
     "domain_cross_tab": f"""WITH {EVENT_DOMAINS}, c AS (SELECT domain, c_mktsegment AS category, count(*) AS n FROM dom JOIN customer ON person_id = c_custkey GROUP BY ALL),
 a AS (SELECT * FROM c UNION ALL SELECT domain, 'TOTAL', sum(n)::BIGINT FROM c GROUP BY domain)
 SELECT *, {SUPPRESSED} AS label FROM (SELECT *, n / (SELECT count(*) FROM customer) AS ratio FROM a)""",
+    "domain_cross_tab_wide": f"""WITH {EVENT_DOMAINS}, c AS (SELECT domain, c_mktsegment AS category, count(*) AS n FROM dom JOIN customer ON person_id = c_custkey GROUP BY ALL),
+a AS (SELECT * FROM c UNION ALL SELECT domain, 'TOTAL', sum(n)::BIGINT FROM c GROUP BY domain)
+SELECT category, {", ".join(f"coalesce(max(CASE WHEN domain = '{d}' THEN n END), 0) AS {d.lower().replace(' ', '_')}" for d in ("click", "view", "error", "signup", "purchase", "No Data", "All Pids"))}
+FROM a GROUP BY category""",
     "diversity_flags": f"WITH {GROUPS} SELECT * FROM gg",
     "diversity_cross_tab": f"""WITH {GROUPS}, {EVENT_DOMAINS}, v AS (
   {" UNION ALL ".join(f"SELECT person_id, '{n}' AS diversity_category, CASE grp_{n.replace(' ', '_')} WHEN 'yes' THEN 'UBR' ELSE 'RBR' END AS category FROM gg" for n in ("segment", "balance", "pressing order", "overall"))}),
@@ -380,6 +384,9 @@ z AS (SELECT diversity_category, domain, category, coalesce(n, 0) AS n FROM e LE
 a AS (SELECT * FROM z UNION ALL SELECT diversity_category, domain, 'TOTAL', sum(n)::BIGINT FROM z GROUP BY diversity_category, domain)
 SELECT *, n / (SELECT count(*) FROM customer) AS ratio FROM a""",
     "site_domain_matrix": matrix('SELECT person_id, site AS "row", l_returnflag AS col FROM l') + f" SELECT *, {SUPPRESSED} AS label FROM x",
+    "site_domain_matrix_wide": matrix('SELECT person_id, site AS "row", l_returnflag AS col FROM l') + """ SELECT "row", """ + ", ".join(
+        f"coalesce(max(CASE WHEN col = '{c}' THEN n END), 0) AS {a}" for c, a in (("A", "A"), ("N", "N"), ("R", "R"), ("Any EHR", "any_ehr"))
+    ) + ' FROM x GROUP BY "row"',
     "site_vocabulary_matrix": matrix("""SELECT person_id, site AS "row", CASE concept WHEN 'SMALL' THEN NULL WHEN 'ECONOMY' THEN 'Others'
   WHEN 'STANDARD' THEN 'Others' WHEN 'LARGE' THEN 'Big' ELSE concept END AS col FROM tl""") + """
 SELECT *, max(CASE WHEN col = 'Any EHR' THEN n END) OVER (PARTITION BY "row") AS row_total FROM x""",
@@ -503,7 +510,8 @@ z AS (SELECT * FROM q UNION ALL SELECT 'all', sum(u), sum(n), min(a), max(b) FRO
 SELECT class || '_unique' AS metric, CAST(u AS VARCHAR) AS value FROM z UNION ALL SELECT class || '_count', CAST(n AS VARCHAR) FROM z
 UNION ALL SELECT class || '_first_day', a FROM z UNION ALL SELECT class || '_last_day', b FROM z
 UNION ALL SELECT 'test_unique_without_day', CAST(count(DISTINCT id) AS VARCHAR) FROM k WHERE class = 'test' AND collected IS NULL
-UNION ALL SELECT 'all_plates', CAST(count(DISTINCT plate) AS VARCHAR) FROM c""",
+UNION ALL SELECT 'all_plates', CAST(count(DISTINCT plate) AS VARCHAR) FROM c
+UNION ALL SELECT 'all_plates_rows', CAST(count(plate) AS VARCHAR) FROM c""",
     "share_by_plate": f"""WITH {FINAL}
 SELECT plate, state, count(DISTINCT participant_id) AS n,
        round(count(DISTINCT participant_id) / (SELECT count(DISTINCT participant_id) FROM fin WHERE plate = 1) * 100, 6) AS pct

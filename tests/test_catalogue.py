@@ -24,16 +24,17 @@ def test_every_sql_has_its_query():
     assert set(QUERIES) - set(ORACLES) == {"seeded_sample"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
-def test_matches_sql(spark, folder, con, name):
-    assert compare(QUERIES[name](spark, folder), con, ORACLES[name]) is None
-
-
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plan_keeps_the_rules(spark, folder, name):
-    plan = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+def test_query(spark, folder, con, name):
+    """The result equals the SQL; the plan has no cross join and leaves the JVM nowhere."""
+    df = QUERIES[name](spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython"):
         assert banned not in plan, banned
+    if name in ORACLES:
+        assert compare(df, con, ORACLES[name]) is None
+    else:
+        assert df.count() > 0
 
 
 def test_scans_read_only_used_columns(spark, folder):
