@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import count_text, pct_text, split_count_pct, suppress_cell
+from ..runtime import materialise
 
 WHOLE = ("tinyint", "smallint", "int", "bigint")
 REAL = ("double", "float")
@@ -43,6 +44,15 @@ def threshold_dimension(
     return small.unionByName(bigger).withColumn("fpl_200", F.col("fpl") * 2)
 
 
+def with_threshold(people: DataFrame, dimension: DataFrame, keys: Sequence[str] = ("year", "state", "household_size")) -> DataFrame:
+    """Attach the thresholds to people with a year, area and household size.
+
+    The dimension is written out first: its keys are few and skewed, and people should not be
+    shuffled by them if it is small.
+    """
+    return people.join(materialise(dimension), list(keys))
+
+
 def format_columns(
     df: DataFrame, counts: Sequence[str] | None = None, percents: Sequence[str] | None = None, digits: int = 1
 ) -> DataFrame:

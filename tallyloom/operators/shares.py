@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def share(n: Column, total: Column) -> Column:
@@ -52,8 +54,14 @@ def total_and_share(
 
 
 def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A table of literal rows (category orders, bounds); its size is known when it is written."""
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+    """A table of literal rows (category orders, bounds).
+
+    Made from an Arrow table it is a local relation, whose size Catalyst knows; from a list of
+    tuples it would count as endless and be joined by sorting.
+    """
+    fields = StructType.fromDDL(schema)
+    columns = {field.name: [row[i] for row in rows] for i, field in enumerate(fields)}
+    return spark.createDataFrame(pa.table(columns), fields)
 
 
 def position(value: Column, order: Sequence[str], exact: bool = True) -> Column:

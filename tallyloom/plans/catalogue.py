@@ -781,7 +781,7 @@ def threshold_dimension(t):
     yearly = rows.groupBy("person_id", "state", "year").agg(
         F.count(F.lit(1)).cast("int").alias("household_size"), F.sum("o_totalprice").alias("spent")
     )
-    known = yearly.join(dimension, ["year", "state", "household_size"])
+    known = reshape.with_threshold(yearly, dimension)
     return known.groupBy("year", "state", "household_size", "fpl", "fpl_200").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("spent") < F.col("fpl_200"), 1).otherwise(0)).alias("below")
     )
