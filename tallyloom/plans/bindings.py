@@ -142,7 +142,8 @@ def record_tables(t: ParquetTables) -> dict[str, DataFrame]:
         operator.cast("bigint").alias("operator_concept_id"), answer.cast("bigint").alias("value_as_concept_id"),
         F.col("l_shipdate").alias("measurement_datetime"),
     )
-    source = F.when(F.col("l_suppkey") % 7 == 0, F.lit("Portal")).otherwise(F.concat(F.lit("EHR site "), (F.col("l_suppkey") % 5).cast("string")))
+    number = F.col("l_linenumber")
+    source = F.when(number == 7, F.lit("Portal")).otherwise(F.concat(F.lit("EHR site "), number.cast("string")))
     return {
         "measurement": measured,
         "measurement_ext": t["lineitem"].select(key.alias("measurement_id"), source.alias("src_id")),

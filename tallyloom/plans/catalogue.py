@@ -242,7 +242,7 @@ def multi_answer_columns(t):
 @query
 def combo_groups(t):
     answers = t["orders"].filter(F.col("o_totalprice") > 400_000).select("o_custkey", F.col("o_orderstatus").alias("status"))
-    everyone = t["customer"].select(F.col("c_custkey").alias("o_custkey")).join(answers, "o_custkey", "left")
+    everyone = t["customer"].select(F.col("c_custkey").alias("o_custkey")).join(answers.distinct(), "o_custkey", "left")
     main = ["F", "O", "P", "F,O", "F,P", "None"]
     return flags.combo_groups(everyone, "o_custkey", "status", main)
 
@@ -316,17 +316,23 @@ def domain_cross_tab_wide(t):
 
 
 def _groups(t) -> DataFrame:
-    """Yes/no rules per customer; rows per order, one 'yes' is enough."""
+    """Yes/no rules per customer; of several orders one 'yes' is enough.
+
+    Orders are reduced to one row per customer before they meet the customers, so one who placed a
+    third of all orders is one row in the join.
+    """
     segment = F.col("c_mktsegment")
-    rows = t["customer"].join(t["orders"], F.col("c_custkey") == F.col("o_custkey"), "left").select(
-        F.col("c_custkey").alias("person_id"),
+    pressing = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > HIGH_VALUE)
+    orders = t["orders"].select(F.col("o_custkey").alias("person_id"), yes_no(pressing).alias("grp_pressing_order"))
+    per_person = flags.any_yes(orders, "person_id", ["grp_pressing_order"])
+    people = t["customer"].withColumnRenamed("c_custkey", "person_id").join(per_person, "person_id", "left").select(
+        "person_id",
         yes_no(segment.isNotNull() & ~segment.isin("BUILDING", "MACHINERY")).alias("grp_segment"),
         yes_no((F.col("c_acctbal") < 0) | (F.col("c_acctbal") >= 9_000)).alias("grp_balance"),
-        yes_no((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > HIGH_VALUE)).alias("grp_pressing_order"),
+        F.coalesce("grp_pressing_order", F.lit("no")).alias("grp_pressing_order"),
     )
     names = ["grp_segment", "grp_balance", "grp_pressing_order"]
-    per_person = flags.any_yes(rows, "person_id", names)
-    return per_person.withColumn("grp_overall", any_of([F.col(n) for n in names]))
+    return people.withColumn("grp_overall", any_of([F.col(n) for n in names]))
 
 
 @query
@@ -512,11 +518,10 @@ def clean_measure(t):
 
 
 def _with_outliers(t) -> DataFrame:
-    """Values per brand and segment class; the largest of some groups is blown up, some are negative."""
-    price = F.col("p_retailprice")
-    value = F.when(F.col("p_partkey") % 97 == 0, price * 6).when(F.col("p_partkey") % 89 == 0, -price * 9)
-    small = F.when(F.col("p_partkey") % 83 == 0, F.lit(-1.0)).otherwise(price)
-    return t["part"].select("p_partkey", "p_brand", "p_type", F.coalesce(value, small).alias("value"))
+    """Prices per brand and type; those of the largest sizes are blown up or negative."""
+    price, size = F.col("p_retailprice"), F.col("p_size")
+    value = F.when(size == 50, price * 6).when(size == 49, -price * 9).when(size == 48, -1.0).otherwise(price)
+    return t["part"].select("p_partkey", "p_brand", "p_type", value.alias("value"))
 
 
 @query
@@ -770,17 +775,16 @@ def threshold_dimension(t):
 
     The number of orders a customer placed in the year stands for the household size.
     """
-    orders = t["orders"].join(customers(t).select("person_id", F.col("r_name").alias("state")), F.col("o_custkey") == F.col("person_id"))
-    rows = orders.select("person_id", "state", F.year("o_orderdate").alias("year"), "o_totalprice")
-    base = rows.groupBy("year", "state").agg(F.floor(F.min("o_totalprice")).alias("low"))
+    per_year = t["orders"].groupBy(F.col("o_custkey").alias("person_id"), F.year("o_orderdate").alias("year")).agg(
+        F.count(F.lit(1)).cast("int").alias("household_size"), F.sum("o_totalprice").alias("spent"), F.min("o_totalprice").alias("least")
+    )
+    yearly = per_year.join(customers(t).select("person_id", F.col("r_name").alias("state")), "person_id")
+    base = yearly.groupBy("year", "state").agg(F.floor(F.min("least")).alias("low"))
     guideline = base.select("year", "state", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("household_size"), "low").withColumn(
         "income", F.col("low") * F.col("household_size")
     )
     large = base.select("year", "state", (F.col("low") * 8).alias("eight_persons"), (F.col("low") + 10).alias("each_additional"))
     dimension = reshape.threshold_dimension(guideline, large)
-    yearly = rows.groupBy("person_id", "state", "year").agg(
-        F.count(F.lit(1)).cast("int").alias("household_size"), F.sum("o_totalprice").alias("spent")
-    )
     known = reshape.with_threshold(yearly, dimension)
     return known.groupBy("year", "state", "household_size", "fpl", "fpl_200").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("spent") < F.col("fpl_200"), 1).otherwise(0)).alias("below")

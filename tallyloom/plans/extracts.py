@@ -241,11 +241,8 @@ def headline_sources(tables: Tables) -> dict[str, DataFrame]:
     """The labelled id tables of the headline summary."""
     survey, conduct = tables["ds_survey"], tables["survey_conduct"]
     label = fixed.HEADLINES
-    descendants = tables["concept_ancestor"].filter(F.col("ancestor_concept_id") == fixed.LIFE_FUNCTIONING_SURVEY)
-    observed = tables["observation"]
-    functioning = observed.join(
-        descendants, observed["observation_concept_id"] == descendants["descendant_concept_id"], "left_semi"
-    )
+    asked = descendants(tables, [fixed.LIFE_FUNCTIONING_SURVEY], "observation_concept_id")
+    functioning = tables["observation"].join(asked, "observation_concept_id", "left_semi")
     remote = tables["measurement"].filter(F.col("measurement_type_concept_id") == fixed.SELF_REPORTED_TYPE)
     remote = remote.join(tables["person_ext"].select("person_id"), "person_id", "left_semi")
     return {
@@ -304,12 +301,10 @@ def vocabulary_group(vocabulary: Column) -> Column:
 # Measurements and concepts
 
 
-def descendants(tables: Tables, ancestors: Sequence[int]) -> DataFrame:
+def descendants(tables: Tables, ancestors: Sequence[int], name: str = "measurement_concept_id") -> DataFrame:
     """Concepts under the ancestors. Written out first, so the join knows its true size."""
     closure = tables["concept_ancestor"].filter(F.col("ancestor_concept_id").isin(list(ancestors)))
-    return materialise(
-        closure.select("ancestor_concept_id", F.col("descendant_concept_id").alias("measurement_concept_id")).distinct()
-    )
+    return materialise(closure.select("ancestor_concept_id", F.col("descendant_concept_id").alias(name)).distinct())
 
 
 def _used_concepts(tables: Tables, rows: DataFrame, columns: Sequence[str]) -> DataFrame:

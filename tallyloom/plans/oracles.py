@@ -177,8 +177,8 @@ MEASURED = TYPED_LINES + """, me AS (
 
 OUTLIERS = """ov AS (
   SELECT p_partkey, p_brand, p_type,
-         CASE WHEN p_partkey % 97 = 0 THEN p_retailprice * 6 WHEN p_partkey % 89 = 0 THEN -p_retailprice * 9
-              WHEN p_partkey % 83 = 0 THEN -1.0 ELSE p_retailprice END AS value FROM part),
+         CASE p_size WHEN 50 THEN p_retailprice * 6 WHEN 49 THEN -p_retailprice * 9 WHEN 48 THEN -1.0
+              ELSE p_retailprice END AS value FROM part),
 top AS (SELECT p_brand, p_type, max(value) AS hi, min(value) AS lo FROM ov GROUP BY ALL),
 sec AS (SELECT p_brand, p_type, any_value(hi) AS hi, any_value(lo) AS lo, max(CASE WHEN value < hi THEN value END) AS hi2,
                min(CASE WHEN value > lo THEN value END) AS lo2
@@ -208,7 +208,7 @@ meas AS (
          l_returnflag AS unit_source_value, CAST(CASE WHEN l_linestatus = 'O' THEN 2001 END AS BIGINT) AS operator_concept_id,
          CAST(CASE WHEN l_linenumber = 1 THEN 3001 END AS BIGINT) AS value_as_concept_id,
          CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS measurement_datetime,
-         CASE WHEN l_suppkey % 7 = 0 THEN 'Portal' ELSE 'EHR site ' || (l_suppkey % 5) END AS src_id
+         CASE WHEN l_linenumber = 7 THEN 'Portal' ELSE 'EHR site ' || l_linenumber END AS src_id
   FROM l JOIN nation n ON s_nationkey = n.n_nationkey)"""
 
 SAMPLES = """sam AS (

@@ -44,8 +44,11 @@ def population_flags(tables: Tables) -> DataFrame:
 
 
 def data_type_report(tables: Tables, combinations: bool = False) -> DataFrame:
-    """Persons per data type (or per combination) for the whole data and both sub-populations."""
-    people = population_flags(tables)
+    """Persons per data type (or per combination) for the whole data and both sub-populations.
+
+    The flags are written out once for the three tables.
+    """
+    people = materialise(population_flags(tables))
     populations = {"Whole CDR": people, "AIAN": people.filter("AIAN = 1"), "WEAR": people.filter("WEAR = 1")}
     count = count_by_flag_combo if combinations else count_by_flag
     keys = ["label", "combo"] if combinations else ["data_type"]

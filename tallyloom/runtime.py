@@ -31,8 +31,10 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster that folder would exist
     on one machine alone.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        context = spark.sparkContext
+        folder = context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
