@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import materialise
 
-HOT_ROWS = 1_000_000
+HOT_ROWS = 200_000
 MOMENTS = ("n", "mean", "min", "max", "sd")
 
 

@@ -13,6 +13,7 @@ from ..functions import (
     split_count_pct, suppress_cell, suppressed_count_pct, yes_no,
 )
 from ..operators import crosstab, flags, history, measures, plates, reshape, stats, strata
+from ..operators.answers import recode_distinct
 from ..operators.shares import order_columns, position, share, share_of_sum
 from ..runtime import materialise, shared_folder
 from ..sources import files
@@ -212,12 +213,13 @@ def _raw_answers(t) -> DataFrame:
 @query
 def answer_cleaning(t):
     """Clean, then collapse several answers per person and year."""
-    cleaned = clean_answer(
-        F.lower(answer_text(F.col("answer"))), refused=["prefer not to answer"], names={"Less 1-UrgentK O'B": "Urgent"}
-    )
-    answers = _raw_answers(t).select(F.struct("person_id", "year").alias("who"), cleaned.alias("answer"))
-    one = flags.multi_answer(answers, "who", "answer")
-    return one.groupBy("answer").agg(F.count(F.lit(1)).alias("n"))
+
+    def clean(answer: Column) -> Column:
+        return clean_answer(F.lower(answer_text(answer)), refused=["prefer not to answer"], names={"Less 1-UrgentK O'B": "Urgent"})
+
+    cleaned = recode_distinct(_raw_answers(t), "answer", clean, "cleaned")
+    one = flags.multi_answer(cleaned.select(F.struct("person_id", "year").alias("who"), "cleaned"), "who", "cleaned")
+    return one.groupBy(F.col("cleaned").alias("answer")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -225,8 +227,9 @@ def answer_cleaning_stem_last(t):
     """Collapse on the raw text, then drop the stem and clean."""
     raw = _raw_answers(t).select(F.struct("person_id", "year").alias("who"), "answer")
     one = flags.multi_answer(raw, "who", "answer")
+    counts = one.groupBy("answer").agg(F.count(F.lit(1)).alias("_n"))
     cleaned = clean_answer_stem_last(F.col("answer"), {"Prefer Not To Answer": "Not Specified"})
-    return one.groupBy(cleaned.alias("answer")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(cleaned.alias("answer")).agg(F.sum("_n").alias("n"))
 
 
 @query

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import answer_text, any_of, band, clean_answer, clean_answer_stem_last, recode, strip_parts, yes_no
+from ..operators.answers import recode_distinct
 from ..operators.flags import multi_answer_columns
 from ..operators.shares import fixed_table
 from ..operators.strata import long_form
@@ -97,18 +98,19 @@ def _answer_ends(rows: DataFrame, questions: Mapping[str, int], question: str, v
 def demographics(tables: Tables) -> DataFrame:
     """One row per person: cleaned race, ethnicity, age and six survey answers."""
     names = [n for n in fixed.QUESTIONS if n != "race"]
-    text = F.lower(answer_text(F.col("answer")))
-    orientation = F.col("question_concept_id") == fixed.QUESTIONS["sexual_orientation"]
-    text = F.when(orientation, F.replace(text, F.lit("none"), F.lit("none of these"))).otherwise(text)
 
     def clean(value: Column) -> Column:
         return clean_answer(value, refused=fixed.REFUSED_ANSWERS, names=fixed.ANSWER_NAMES)
 
+    def clean_asked(asked: Column) -> Column:
+        text = F.lower(answer_text(asked["answer"]))
+        orientation = asked["question"] == fixed.QUESTIONS["sexual_orientation"]
+        return clean(F.when(orientation, F.replace(text, F.lit("none"), F.lit("none of these"))).otherwise(text))
+
     asked = tables["ds_survey"].filter(F.col("question_concept_id").isin([fixed.QUESTIONS[n] for n in names]))
-    answers = _answer_ends(
-        asked.select("person_id", "question_concept_id", clean(text).alias("_clean")),
-        {n: fixed.QUESTIONS[n] for n in names}, "question_concept_id", "_clean",
-    )
+    given = asked.select("person_id", F.struct(F.col("question_concept_id").alias("question"), "answer").alias("_given"))
+    cleaned = recode_distinct(given, "_given", clean_asked, "_clean_answer").withColumn("_question", F.col("_given.question"))
+    answers = _answer_ends(cleaned, {n: fixed.QUESTIONS[n] for n in names}, "_question", "_clean_answer")
     search = tables["cb_search_person"].select(
         "person_id", F.lower("race").alias("race"), F.lower("ethnicity").alias("ethnicity"),
         F.col("age_at_cdr").cast("int").alias("age_at_cdr"),
