@@ -79,11 +79,23 @@ def periods(
 def years_of_data(spans: DataFrame, entity: str, domain: str, start: str = "start", end: str = "end") -> DataFrame:
     """Years between the first start and the last end, in whole elapsed days, at least one day."""
     ends = spans.groupBy(entity, domain).agg(F.min(start).alias("_start"), F.max(end).alias("_end"))
-    elapsed = F.timestamp_diff("MICROSECOND", F.col("_start").cast("timestamp"), F.col("_end").cast("timestamp"))
-    days = F.abs(F.floor(elapsed / MICROS_PER_DAY))
+    days = F.abs(_elapsed_days(dict(ends.dtypes)["_start"]))
     return ends.select(entity, domain, (F.when(days == 0, 1).otherwise(days) / 365).alias("years"))
 
 
+def _elapsed_days(kind: str) -> Column:
+    """Whole days from ``_start`` to ``_end``, rounded down.
+
+    Times without a zone are compared by calendar day and time of day, so no clock change of the
+    session's time zone shifts them.
+    """
+    start, end = F.col("_start"), F.col("_end")
+    if kind == "timestamp":
+        return F.floor(F.timestamp_diff("MICROSECOND", start, end.cast(kind)) / MICROS_PER_DAY)
+    earlier_in_day = F.date_format(end, "HHmmssSSSSSS") < F.date_format(start, "HHmmssSSSSSS")
+    return F.date_diff(end, start) - F.when(earlier_in_day, 1).otherwise(0)
+
+
 def years_stats(years: DataFrame, domain: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Entities and years per domain: mean, median, min, max, standard deviation, two decimals.
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.flags import flag_matrix
 from ..operators.history import Domain
+from ..operators.shares import fixed_table
+from . import fixed_values as fixed
 
 FLAGS = ["has_events", "household", "high_balance", "high_value_order", "has_urgent"]
 HIGH_VALUE = 490_000
@@ -160,3 +162,131 @@ def record_tables(t: ParquetTables) -> dict[str, DataFrame]:
             F.concat(F.lit("Operator "), F.col("operator_concept_id").cast("string")).alias("operator_concept_name"),
         ),
     }
+
+
+# Health-records tables from the order tables: every order is an answer, every line a record.
+
+QUESTION_OF = {"1-URGENT": "race", "2-HIGH": "sex_at_birth", "3-MEDIUM": "income", "4-NOT SPECIFIED": "education", "5-LOW": "sexual_orientation"}
+STATUSES = ["F", "O", "P"]
+ANSWERS = {
+    "race": ["What Race Ethnicity: White", "What Race Ethnicity: AIAN", "PMI: Skip"],
+    "sex_at_birth": ["Sex At Birth: Female", "Sex At Birth: Male", "Sex At Birth: Sex At Birth None Of These"],
+    "income": ["Annual Income: less 10k", "Annual Income: 10k 25k", "PMI: Prefer Not To Answer"],
+    "education": ["Highest Grade: College Graduate", "Highest Grade: Never Attended", "PMI: Skip"],
+    "sexual_orientation": ["Sexual Orientation: none", "Sexual Orientation: Straight", "Sexual Orientation: Gay"],
+}
+CODES = {
+    "race": ["WhatRaceEthnicity_White", "WhatRaceEthnicity_AIAN", "PMI_Skip"],
+    "sex_at_birth": ["SexAtBirth_Female", "SexAtBirth_Male", "SexAtBirth_SexAtBirthNoneOfThese"],
+    "income": ["AnnualIncome_more200k", "AnnualIncome_10k25k", "PMI_Skip"],
+    "education": ["HighestGrade_CollegeGraduate", "HighestGrade_NeverAttended", "PMI_Skip"],
+    "sexual_orientation": ["PMI_Skip", "SexualOrientation_Straight", "SexualOrientation_Gay"],
+}
+VOCABULARIES = ["LOINC", "ICD10CM", "ICD10PCS", "RxNorm Extension", "Visit", "NDC", "None"]
+
+
+def _case(column: str, values: dict, kind: str = "string") -> Column:
+    chosen = F.lit(None).cast(kind)
+    for value, result in values.items():
+        chosen = F.when(F.col(column) == value, F.lit(result)).otherwise(chosen)
+    return chosen
+
+
+def _by_answer(texts: dict[str, list]) -> Column:
+    chosen = F.lit(None).cast("string")
+    for priority, question in QUESTION_OF.items():
+        for status, text in zip(STATUSES, texts[question]):
+            hit = (F.col("o_orderpriority") == priority) & (F.col("o_orderstatus") == status)
+            chosen = F.when(hit, F.lit(text)).otherwise(chosen)
+    return chosen
+
+
+def survey_tables(t: ParquetTables) -> dict[str, DataFrame]:
+    """Customers as persons, their orders as survey answers and coded observations."""
+    people = customers(t).join(
+        customer_flags(t).select("person_id", "has_urgent", "household", "has_events", "high_balance", "high_value_order", "in_asia"), "person_id"
+    )
+    balance = F.col("c_acctbal")
+    age = F.floor(F.abs(balance) / 100).cast("int")
+    question = _case("o_orderpriority", {p: fixed.QUESTIONS[q] for p, q in QUESTION_OF.items()}, "bigint")
+    concept_id = 7000 + F.substring("o_orderpriority", 1, 1).cast("bigint") * 10 + _case("o_orderstatus", {"F": 0, "O": 1, "P": 2}, "bigint")
+    orders = t["orders"]
+    answers = [
+        (7000 + 10 * (i + 1) + j, text, f"a{i}{j}", "PPI", "Answer")
+        for i, q in enumerate(QUESTION_OF.values()) for j, text in enumerate(ANSWERS[q])
+    ]
+    ethnicities = [(901, "Not Hispanic or Latino", "nh", "Ethnicity", "Ethnicity"), (902, "Hispanic or Latino", "h", "Ethnicity", "Ethnicity")]
+    return {
+        "person": people.select(
+            "person_id",
+            _case("c_mktsegment", {"BUILDING": "WhatRaceEthnicity_White", "MACHINERY": "WhatRaceEthnicity_Black", "HOUSEHOLD": "PMI_Skip", "AUTOMOBILE": "WhatRaceEthnicity_Asian"}).alias("race_source_value"),
+            _case("r_name", {"ASIA": "WhatRaceEthnicity_Hispanic"}).alias("ethnicity_source_value"),
+            F.when(balance < 0, "SexAtBirth_Intersex").when(balance < 4000, "SexAtBirth_Female").when(balance < 9000, "SexAtBirth_Male").alias("sex_at_birth_source_value"),
+            _case("r_name", {"AFRICA": "GenderIdentity_Woman", "AMERICA": "GenderIdentity_Man", "ASIA": "GenderIdentity_NonBinary", "EUROPE": "PMI_Skip"}).alias("gender_source_value"),
+            F.when(F.col("r_name").isin("ASIA", "EUROPE"), 902).otherwise(901).cast("bigint").alias("ethnicity_concept_id"),
+        ),
+        "cb_search_person": people.select(
+            "person_id",
+            _case("c_mktsegment", {"BUILDING": "White", "MACHINERY": "Black or African American", "HOUSEHOLD": "None of these", "AUTOMOBILE": "I prefer not to answer"}).alias("race"),
+            F.when(F.col("r_name") == "ASIA", "Hispanic or Latino").when(F.col("r_name") == "EUROPE", "No matching concept").otherwise("Not Hispanic or Latino").alias("ethnicity"),
+            age.alias("age_at_cdr"), (age - 1).alias("age_at_consent"),
+            F.col("has_urgent").alias("has_ppi_survey_data"), F.col("household").alias("has_physical_measurement_data"),
+            F.col("has_events").alias("has_ehr_data"), F.col("high_balance").alias("has_fitbit"),
+            F.col("high_value_order").alias("has_whole_genome_variant"), F.when(F.col("in_asia") == 1, 1).alias("has_array_data"),
+        ),
+        "wear_study": people.select("person_id", F.when(balance > 8000, "Yes").otherwise("No").alias("resultsconsent_wear")),
+        "ds_survey": orders.select(
+            F.col("o_custkey").alias("person_id"), question.alias("question_concept_id"), _by_answer(ANSWERS).alias("answer")
+        ),
+        "observation": orders.select(
+            F.col("o_custkey").alias("person_id"), question.alias("observation_source_concept_id"),
+            concept_id.alias("value_source_concept_id"), _by_answer(CODES).alias("value_source_value"),
+        ),
+        "concept": fixed_table(
+            t.spark, answers + ethnicities, "concept_id bigint, concept_name string, concept_code string, vocabulary_id string, domain_id string"
+        ),
+    }
+
+
+def domain_tables(t: ParquetTables) -> dict[str, DataFrame]:
+    """Lines, orders and events as the records of seven domains, each with its table of sources."""
+    orders, events = t["orders"], t["events"]
+    keys = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("person_id"))
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    number = F.col("l_linenumber")
+    line_rows = t["lineitem"].join(keys, "l_orderkey").select(
+        key.alias("id"), "person_id", number.cast("bigint").alias("concept"), F.col("l_shipdate").alias("start"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("end"), F.col("l_returnflag").alias("part"),
+    )
+    line_sources = t["lineitem"].select(
+        key.alias("id"), F.when(number == 7, "Portal").otherwise(F.concat(F.lit("EHR site "), number.cast("string"))).alias("src_id"),
+        F.col("l_returnflag").alias("part"),
+    )
+    digit = F.substring("o_orderpriority", 1, 1)
+    order_rows = orders.select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("person_id"), digit.cast("bigint").alias("concept"),
+        F.col("o_orderdate").alias("start"), F.col("o_orderdate").alias("end"), F.col("o_orderstatus").alias("part"),
+    )
+    order_sources = orders.select(F.col("o_orderkey").alias("id"), F.concat(F.lit("EHR site "), digit).alias("src_id"), F.col("o_orderstatus").alias("part"))
+    event_rows = events.select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("person_id"), F.lit(5).cast("bigint").alias("concept"),
+        F.col("ts").alias("start"), F.col("ts").alias("end"), F.lit("E").alias("part"),
+    )
+    event_sources = events.select(F.col("event_id").alias("id"), F.lit("EHR site 9").alias("src_id"), F.lit("E").alias("part"))
+    parts = [
+        (line_rows, line_sources, "A"), (line_rows, line_sources, "N"), (line_rows, line_sources, "R"), (order_rows, order_sources, "F"),
+        (order_rows, order_sources, "O"), (order_rows, order_sources, "P"), (event_rows, event_sources, "E"),
+    ]
+    tables = {}
+    for (_, table, key_name, concept, start, end), (rows, sources, part) in zip(fixed.RECORD_DOMAINS, parts):
+        ends = [] if start == end else [F.col("end").alias(end)]
+        mine = F.col("part") == part
+        tables[table] = rows.filter(mine).select(
+            F.col("id").alias(key_name), "person_id", F.col("concept").alias(concept), F.col("start").alias(start), *ends
+        )
+        tables[f"{table}_ext"] = sources.filter(mine).select(F.col("id").alias(key_name), "src_id")
+    concepts = [(i + 1, v) for i, v in enumerate(VOCABULARIES)]
+    tables["concept"] = fixed_table(t.spark, concepts, "concept_id bigint, vocabulary_id string")
+    tables["_cdr_metadata"] = t["lineitem"].agg(F.max("l_shipdate").alias("ehr_cutoff_date"))
+    tables["person"] = t["customer"].select(F.col("c_custkey").alias("person_id"))
+    return tables

@@ -17,10 +17,10 @@ from ..operators.answers import recode_distinct
 from ..operators.shares import order_columns, position, share, share_of_sum
 from ..runtime import materialise, shared_folder
 from ..sources import files
-from . import extracts, fixed_values
+from . import extracts, fixed_values, reports
 from .bindings import (
-    FLAGS, HISTORY_DOMAINS, HIGH_BALANCE, HIGH_VALUE, ParquetTables, customer_flags, customers, cutoff, history_tables, lines,
-    record_tables, typed_lines,
+    FLAGS, HISTORY_DOMAINS, HIGH_BALANCE, HIGH_VALUE, ParquetTables, customer_flags, customers, cutoff, domain_tables,
+    history_tables, lines, record_tables, survey_tables, typed_lines,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -854,3 +854,79 @@ def flat_file_round_trip(t):
     return rounded(
         joined.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.max("c_acctbal").alias("largest")), 2
     )
+
+
+# Health-records extracts and reports
+
+
+@query
+def survey_demographics(t):
+    return extracts.demographics(survey_tables(t))
+
+
+@query
+def history_demographics(t):
+    return extracts.history_demographics(survey_tables(t))
+
+
+@query
+def under_represented_groups(t):
+    return extracts.group_flags(survey_tables(t))
+
+
+@query
+def survey_cohorts(t):
+    """Persons by an answer, by consent and by data-type flag."""
+    tables = survey_tables(t)
+    return reports.population_flags(tables)
+
+
+@query
+def demographic_report(t):
+    return reports.demographic_report(survey_tables(t), "income")
+
+
+@query
+def genomic_race_groups(t):
+    return reports.genomics_report(survey_tables(t), "WGS")[0]
+
+
+@query
+def genomic_combinations(t):
+    return reports.genomics_report(survey_tables(t), "WGS and Array")[1]
+
+
+@query
+def data_type_report(t):
+    return reports.data_type_report(survey_tables(t))
+
+
+@query
+def record_history(t):
+    history = reports.record_history(domain_tables(t))
+    return history.withColumns({c: F.col(c).cast("date").cast("string") for c in ("start", "end")})
+
+
+@query
+def record_years(t):
+    return reports.years_report(reports.record_history(domain_tables(t)))
+
+
+@query
+def record_growth(t):
+    return reports.growth_report(domain_tables(t), from_year=1996)
+
+
+@query
+def record_sites(t):
+    tables = domain_tables(t)
+    size = tables["person"].agg(F.count_distinct("person_id"))
+    return reports.site_report(reports.record_history(tables), size, "vocabulary")
+
+
+@query
+def group_history_report(t):
+    """Under-represented groups by domain, from answers and records together."""
+    tables = domain_tables(t)
+    survey = survey_tables(t)
+    return reports.group_history_report(survey, reports.record_history(tables).filter(F.col("domain") != "Visit"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .bindings import HIGH_BALANCE, HIGH_VALUE
+from .bindings import ANSWERS, CODES, HIGH_BALANCE, HIGH_VALUE, QUESTION_OF, STATUSES
 
 FLAG_ROWS = f"""
 f AS (
@@ -557,3 +557,189 @@ SELECT combo, {", ".join(f"coalesce(max(CASE WHEN name = '{n}' THEN cell END), '
 FROM events WHERE event_type LIKE 'p%' OR event_type IN ('view', 'click') GROUP BY 1""",
     "flat_file_round_trip": "SELECT c_mktsegment, count(*) AS n, round(max(c_acctbal), 2) AS largest FROM customer GROUP BY 1",
 }
+
+
+# Health-records extracts and reports
+
+
+def survey_case(texts: dict[str, list[str]]) -> str:
+    """The text an order stands for, by its priority and status."""
+    whens = " ".join(
+        f"WHEN o_orderpriority = '{p}' AND o_orderstatus = '{s}' THEN '{text}'"
+        for p, q in QUESTION_OF.items() for s, text in zip(STATUSES, texts[q])
+    )
+    return f"CASE {whens} END"
+
+
+SURVEY = f"""{FLAG_ROWS},
+per AS (
+  SELECT c_custkey AS person_id, c_mktsegment AS seg, r_name, c_acctbal AS bal, CAST(floor(abs(c_acctbal) / 100) AS INTEGER) AS age
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+ans AS (SELECT o_custkey AS person_id, o_orderpriority AS q, {survey_case(ANSWERS)} AS answer, {survey_case(CODES)} AS code FROM orders)"""
+
+
+def folded(text: str) -> str:
+    return f"""CASE WHEN {text} IS NULL THEN 'not specified' WHEN {text} LIKE '%none of these%' THEN 'none of these'
+  WHEN {text} IN ('prefer not to answer', 'i prefer not to answer', 'none indicated', 'no matching concept') THEN 'not specified' ELSE {text} END"""
+
+
+def collapsed(question: str, text: str) -> str:
+    hit = f"CASE WHEN q = '{question}' THEN {text} END"
+    return f"CASE WHEN count(DISTINCT {hit}) > 1 THEN 'Multiple Selections' ELSE min({hit}) END"
+
+
+DEMOGRAPHICS = SURVEY + f""",
+low AS (SELECT person_id, q, CASE WHEN q = '5-LOW' THEN replace(lower(split_part(answer, ': ', 2)), 'none', 'none of these')
+        ELSE lower(split_part(answer, ': ', 2)) END AS v FROM ans),
+cl AS (SELECT person_id, q, {title(folded('v'))} AS t FROM low),
+col AS (SELECT person_id, {collapsed('2-HIGH', 't')} AS sex_at_birth, {collapsed('3-MEDIUM', 't')} AS income,
+               {collapsed('4-NOT SPECIFIED', 't')} AS education, {collapsed('5-LOW', 't')} AS sexual_orientation FROM cl GROUP BY 1),
+demo AS (
+  SELECT per.person_id,
+         CASE seg WHEN 'BUILDING' THEN 'White' WHEN 'MACHINERY' THEN 'Black' WHEN 'HOUSEHOLD' THEN 'None Of These' ELSE 'Not Specified' END AS race,
+         CASE r_name WHEN 'ASIA' THEN 'Hispanic Or Latino' WHEN 'EUROPE' THEN 'Not Specified' ELSE 'Not Hispanic Or Latino' END AS ethnicity,
+         age AS age_at_cdr,
+         CASE WHEN age > 89 THEN '90+' WHEN age > 79 THEN '80-89' WHEN age > 69 THEN '70-79' WHEN age > 59 THEN '60-69' WHEN age > 49 THEN '50-59'
+              WHEN age > 39 THEN '40-49' WHEN age > 29 THEN '30-39' ELSE '18-29' END AS age_group,
+         coalesce(sex_at_birth, 'Not Specified') AS sex_at_birth, 'Not Specified' AS gender_identity, coalesce(income, 'Not Specified') AS income,
+         coalesce(education, 'Not Specified') AS education, 'Not Specified' AS employment,
+         coalesce(sexual_orientation, 'Not Specified') AS sexual_orientation
+  FROM per LEFT JOIN col USING (person_id)),
+ty AS (SELECT person_id, has_urgent AS "PPI", household AS "PM", has_events AS "EHR", high_balance AS "Fitbit", high_value_order AS "WGS", in_asia AS "Array",
+              CAST(person_id IN (SELECT person_id FROM ans WHERE answer = 'What Race Ethnicity: AIAN') AS INTEGER) AS "AIAN",
+              CAST(bal > 8000 AS INTEGER) AS "WEAR" FROM f JOIN per USING (person_id))"""
+
+HISTORY_NAMES = """CASE v WHEN 'Prefer Not To Answer' THEN 'Not Specified' WHEN 'Sex At Birth None Of These' THEN 'None Of These'
+  WHEN 'None' THEN 'None Of These' ELSE v END"""
+
+
+def after_stem(question: str) -> str:
+    """Collapse on the raw text, then drop the stem, title case and rename."""
+    raw = f"coalesce({collapsed(question, 'lower(answer)')}, 'Not Specified')"
+    cut = f"CASE WHEN contains({raw}, ': ') THEN split_part({raw}, ': ', 2) ELSE {raw} END"
+    return f"(SELECT {HISTORY_NAMES} FROM (SELECT {title('c')} AS v FROM (SELECT {cut} AS c FROM ans a WHERE a.person_id = per.person_id)))"
+
+
+MINORITY = """(gender IN ('GenderIdentity_NonBinary')
+  OR (gender = 'GenderIdentity_Woman' AND sex <> 'SexAtBirth_Female') OR (gender = 'GenderIdentity_Man' AND sex <> 'SexAtBirth_Male')
+  OR person_id IN (SELECT person_id FROM ans WHERE q = '5-LOW' AND code NOT IN ('PMI_Skip', 'SexualOrientation_Straight')))"""
+UNDER_REPRESENTED = SURVEY + f""",
+raw AS (
+  SELECT *, CASE WHEN bal < 0 THEN 'SexAtBirth_Intersex' WHEN bal < 4000 THEN 'SexAtBirth_Female' WHEN bal < 9000 THEN 'SexAtBirth_Male' END AS sex,
+         CASE r_name WHEN 'AFRICA' THEN 'GenderIdentity_Woman' WHEN 'AMERICA' THEN 'GenderIdentity_Man' WHEN 'ASIA' THEN 'GenderIdentity_NonBinary' WHEN 'EUROPE' THEN 'PMI_Skip' END AS gender
+  FROM per),
+six AS (
+  SELECT person_id, CASE WHEN seg IN ('MACHINERY', 'AUTOMOBILE') OR r_name = 'ASIA' THEN 'yes' ELSE 'no' END AS ubr_race_ethnicity,
+         CASE WHEN age - 1 < 18 OR age - 1 >= 65 THEN 'yes' ELSE 'no' END AS ubr_age,
+         CASE WHEN bal < 0 THEN 'yes' ELSE 'no' END AS ubr_sex_assigned_at_birth,
+         CASE WHEN person_id IN (SELECT person_id FROM ans WHERE code = 'AnnualIncome_10k25k') THEN 'yes' ELSE 'no' END AS ubr_annual_income,
+         CASE WHEN person_id IN (SELECT person_id FROM ans WHERE code = 'HighestGrade_NeverAttended') THEN 'yes' ELSE 'no' END AS ubr_educational_attainment,
+         CASE WHEN {MINORITY} THEN 'yes' ELSE 'no' END AS ubr_sexual_and_gender_minorities
+  FROM raw),
+ubr AS (SELECT *, greatest(ubr_race_ethnicity, ubr_age, ubr_sex_assigned_at_birth, ubr_annual_income, ubr_educational_attainment,
+                           ubr_sexual_and_gender_minorities) AS ubr_overall FROM six)"""
+
+INCOME_ORDER = ["Less 10K", "10K 25K", "25K 35K", "35K 50K", "50K 75K", "75K 100K", "100K 150K", "150K 200K", "More 200K", "Skip", "Not Specified", "Multiple Selections"]
+COHORT_FLAGS = {"OVERALL": "TRUE", **{c.upper(): f'"{c}" = 1' for c in ("PPI", "PM", "Fitbit", "WGS", "Array", "EHR")}}
+POPULATION_FLAGS = {"Whole CDR": "TRUE", "AIAN": '"AIAN" = 1', "WEAR": '"WEAR" = 1'}
+INCOME_CELLS = " UNION ALL ".join(
+    f"SELECT '{p}' AS population, '{c}' AS cohort, person_id, income AS category FROM demo JOIN ty USING (person_id) WHERE {pf} AND {cf}"
+    for p, pf in POPULATION_FLAGS.items() for c, cf in COHORT_FLAGS.items()
+)
+INCOME_FRAME = ", ".join(
+    f"('{p}', '{c}', '{name}', {10000 if name == 'TOTAL' else i + 1})"
+    for p in POPULATION_FLAGS for c in COHORT_FLAGS for i, name in enumerate([*INCOME_ORDER, "TOTAL"])
+)
+TYPE_NAMES = ["PPI", "PM", "EHR", "Fitbit", "WGS", "Array"]
+
+
+def type_counts(population: str, condition: str) -> str:
+    rows = [f"SELECT '{n}' AS data_type, count(*) AS n FROM ty WHERE {condition} AND \"{n}\" = 1" for n in TYPE_NAMES]
+    rows.append(f"SELECT 'None', count(*) FROM ty WHERE {condition} AND " + " AND ".join(f'"{n}" = 0' for n in TYPE_NAMES))
+    size = f"(SELECT count(*) FROM ty WHERE {condition})"
+    return f"SELECT data_type, '{population}' AS name, {CELL} AS cell FROM (SELECT data_type, n, n / {size} AS ratio FROM ({' UNION ALL '.join(rows)}) WHERE n > 0)"
+
+
+COMBINATIONS = [
+    [], ["PPI"], ["PPI", "PM"], ["EHR"], ["PPI", "EHR"], ["PPI", "EHR", "PM"], ["Fitbit"], ["PPI", "Fitbit"], ["PPI", "PM", "Fitbit"],
+    ["Fitbit", "PPI", "EHR"], ["PPI", "EHR", "PM", "Fitbit"],
+]
+RECORD_ROWS = """rec AS (
+  SELECT o_custkey AS person_id, CASE l_returnflag WHEN 'A' THEN 'Measurement' WHEN 'N' THEN 'Condition' ELSE 'Device' END AS domain,
+         'EHR site ' || l_linenumber AS site, l_linenumber AS concept, l_shipdate AS t0,
+         CASE WHEN l_returnflag = 'A' OR l_linestatus = 'F' THEN l_shipdate END AS t1
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber <> 7
+  UNION ALL SELECT o_custkey, CASE o_orderstatus WHEN 'F' THEN 'Drug' WHEN 'O' THEN 'Observation' ELSE 'Procedure' END,
+         'EHR site ' || o_orderpriority[1], CAST(o_orderpriority[1] AS INTEGER), o_orderdate, o_orderdate FROM orders
+  UNION ALL SELECT user_id, 'Visit', 'EHR site 9', 5, ts, ts FROM events),
+hist0 AS (SELECT person_id, domain, site, ['LOINC', 'ICD10CM', 'ICD10PCS', 'RxNorm Extension', 'Visit', 'NDC', 'None'][concept] AS vocabulary,
+                 min(t0) AS t0, coalesce(max(t1), (SELECT max(l_shipdate) FROM lineitem)) AS t1 FROM rec GROUP BY ALL),
+hist AS (SELECT * FROM hist0 UNION ALL SELECT DISTINCT person_id, 'Any EHR', site, vocabulary, t0, t1 FROM hist0)"""
+SITE_GROUPS = """CASE WHEN vocabulary IN ('Visit', 'None') THEN NULL WHEN vocabulary = 'NDC' THEN 'Others' WHEN vocabulary LIKE 'ICD10%' THEN 'ICD10'
+  WHEN vocabulary LIKE 'RxNorm%' THEN 'RxNorm' ELSE vocabulary END"""
+GROUP_NAMES = ["race_ethnicity", "age", "sex_assigned_at_birth", "annual_income", "educational_attainment", "sexual_and_gender_minorities", "overall"]
+
+ORACLES |= {
+    "survey_demographics": f"WITH {DEMOGRAPHICS} SELECT * FROM demo",
+    "history_demographics": f"""WITH {SURVEY} SELECT person_id,
+  CASE WHEN age > 89 THEN '90+' WHEN age > 79 THEN '80-89' WHEN age > 69 THEN '70-79' WHEN age > 59 THEN '60-69' WHEN age > 49 THEN '50-59'
+       WHEN age > 39 THEN '40-49' WHEN age > 29 THEN '30-39' WHEN age >= 18 THEN '18-29' END AS age_group,
+  CASE WHEN r_name IN ('ASIA', 'EUROPE') THEN 'Hispanic Or Latino' ELSE 'Not Hispanic Or Latino' END AS ethnicity,
+  {after_stem('1-URGENT')} AS race, {after_stem('2-HIGH')} AS sex_assigned_at_birth, {after_stem('3-MEDIUM')} AS annual_income,
+  'Not Specified' AS gender_identity, {after_stem('4-NOT SPECIFIED')} AS educational_attainment, 'Not Specified' AS employment FROM per""",
+    "under_represented_groups": f"WITH {UNDER_REPRESENTED} SELECT * FROM ubr",
+    "survey_cohorts": f"WITH {DEMOGRAPHICS} SELECT * FROM ty",
+    "demographic_report": f"""WITH {DEMOGRAPHICS}, cells AS ({INCOME_CELLS}),
+cnt AS (SELECT population, cohort, category, count(*) AS n FROM cells GROUP BY ALL),
+tot AS (SELECT population, cohort, 'TOTAL' AS category, sum(n)::BIGINT AS n FROM cnt GROUP BY population, cohort),
+fr AS (SELECT * FROM (VALUES {INCOME_FRAME}) v(population, cohort, category, sort_ord)),
+x AS (SELECT population, cohort, category, CAST(sort_ord AS INTEGER) AS sort_ord, coalesce(a.n, 0) AS n, coalesce(a.n / nullif(tot.n, 0), 0.0) AS ratio
+      FROM fr LEFT JOIN (SELECT * FROM cnt UNION ALL SELECT * FROM tot) a USING (population, cohort, category) LEFT JOIN tot USING (population, cohort)
+      QUALIFY category <> 'Multiple Selections' OR max(coalesce(a.n, 0)) OVER (PARTITION BY category) > 0)
+SELECT *, {CELL} AS label, 'Self-Reported Income' AS variable FROM x""".replace(
+        "SELECT population, cohort, category, CAST(sort_ord", "SELECT population, cohort, fr.category, CAST(sort_ord").replace(
+        "QUALIFY category", "QUALIFY fr.category").replace("PARTITION BY category", "PARTITION BY fr.category"),
+    "genomic_race_groups": f"""WITH {DEMOGRAPHICS},
+r AS (SELECT person_id, CASE WHEN answer LIKE 'PMI%' THEN 'Skip' ELSE split_part(answer, ': ', 2) END AS race FROM ans WHERE q = '1-URGENT'),
+g AS (SELECT person_id, coalesce(string_agg(DISTINCT race, ',' ORDER BY race), 'None') AS g FROM ty LEFT JOIN r USING (person_id) WHERE "WGS" = 1 GROUP BY 1),
+c AS (SELECT CASE WHEN g IN ('AIAN', 'AIAN,White', 'White', 'Skip') THEN g ELSE 'Other' END AS "group", count(*) AS n FROM g GROUP BY 1),
+z AS (SELECT * FROM c UNION ALL SELECT v.g, 0 FROM (VALUES ('Other'), ('Skip')) v(g) WHERE v.g NOT IN (SELECT "group" FROM c)),
+u AS (SELECT "group", CAST(CASE "group" WHEN 'Other' THEN 1 WHEN 'Skip' THEN 2 ELSE 0 END AS INTEGER) AS sort_ord, n FROM z
+      UNION ALL SELECT 'Total', 3, sum(n)::BIGINT FROM z)
+SELECT "group", sort_ord, n, n / (SELECT count(*) FROM ty WHERE "WGS" = 1) AS ratio FROM u""",
+    "genomic_combinations": f"WITH {DEMOGRAPHICS} " + " UNION ALL ".join(
+        f"SELECT '{' and '.join(['WGS and Array', *combo])}' AS combination, count(*) AS n FROM ty WHERE "
+        + " AND ".join(f'"{c}" = 1' for c in ["WGS", "Array", *combo]) for combo in COMBINATIONS
+    ),
+    "data_type_report": f"""WITH {DEMOGRAPHICS}, k AS ({" UNION ALL ".join(type_counts(p, c) for p, c in POPULATION_FLAGS.items())})
+SELECT data_type, {", ".join(f"coalesce(max(CASE WHEN name = '{p}' THEN cell END), '-') AS \"{p}\"" for p in POPULATION_FLAGS)} FROM k GROUP BY 1""",
+    "record_history": f"""WITH {RECORD_ROWS} SELECT person_id, domain, site, vocabulary, CAST(CAST(t0 AS DATE) AS VARCHAR) AS start,
+  CAST(CAST(t1 AS DATE) AS VARCHAR) AS "end" FROM hist""",
+    "record_years": f"""WITH {RECORD_ROWS}, y AS (
+  SELECT person_id, domain, greatest(abs(floor(date_diff('microsecond', min(t0), max(t1)) / 86400000000.0)), 1) / 365 AS years FROM hist GROUP BY ALL)
+SELECT domain, count(*) AS n, """ + ", ".join(
+        f"round_even({a} * 100, 0) / 100 AS {n}" for n, a in (
+            ("mean", "avg(years)"), ("median", "quantile_cont(years, 0.5)"), ("min", "min(years)"), ("max", "max(years)"), ("std", "stddev_samp(years)"))
+    ) + " FROM y GROUP BY domain",
+    "record_growth": f"""WITH {RECORD_ROWS}, fy AS (SELECT person_id, domain, min(year(t0)) AS year FROM rec GROUP BY ALL),
+two AS (SELECT * FROM fy UNION ALL SELECT person_id, 'Any EHR', year FROM fy),
+ff AS (SELECT domain, person_id, min(year) AS year FROM two GROUP BY ALL), seen AS (SELECT DISTINCT domain, year FROM two),
+new AS (SELECT domain, year, count(person_id) AS n_new FROM seen LEFT JOIN ff USING (domain, year) GROUP BY ALL),
+cum AS (SELECT domain, CAST(year AS INTEGER) AS year, n_new, (sum(n_new) OVER (PARTITION BY domain ORDER BY year))::BIGINT AS cum_n FROM new)
+SELECT *, round_even(cum_n / (SELECT count(*) FROM customer) * 100 * 100, 0) / 100 AS cum_pct FROM cum WHERE year >= 1996""",
+    "record_sites": f"""WITH {RECORD_ROWS}, b AS (SELECT DISTINCT person_id, site AS "row", {SITE_GROUPS} AS col FROM hist),
+k AS (SELECT person_id, "row", col FROM b WHERE col IS NOT NULL UNION SELECT person_id, 'TOTAL PIDS', col FROM b WHERE col IS NOT NULL
+      UNION SELECT person_id, "row", 'Any EHR' FROM b UNION SELECT person_id, 'TOTAL PIDS', 'Any EHR' FROM b),
+x AS (SELECT "row", col, count(*) AS n, count(*) / (SELECT count(*) FROM customer) AS ratio FROM k GROUP BY ALL)
+SELECT *, max(CASE WHEN col = 'Any EHR' THEN n END) OVER (PARTITION BY "row") AS row_total, {SUPPRESSED} AS label FROM x""",
+    "group_history_report": f"""WITH {UNDER_REPRESENTED}, {RECORD_ROWS},
+dm AS (SELECT person_id, coalesce(domain, 'No Data') AS domain FROM per LEFT JOIN (SELECT DISTINCT person_id, domain FROM hist WHERE domain <> 'Visit') USING (person_id)
+       UNION ALL SELECT person_id, 'All Pids' FROM per),
+v AS ({" UNION ALL ".join(f"SELECT person_id, '{n.replace('_', ' ')}' AS diversity_category, CASE ubr_{n} WHEN 'yes' THEN 'UBR' ELSE 'RBR' END AS category FROM ubr" for n in GROUP_NAMES)}),
+c AS (SELECT diversity_category, domain, category, count(*) AS n FROM v JOIN dm USING (person_id) GROUP BY ALL),
+e AS (SELECT DISTINCT d.diversity_category, dd.domain, x.category FROM (SELECT DISTINCT diversity_category FROM v) d, (SELECT DISTINCT domain FROM dm) dd,
+      (VALUES ('UBR'), ('RBR')) x(category)),
+z AS (SELECT diversity_category, domain, category, coalesce(n, 0) AS n FROM e LEFT JOIN c USING (diversity_category, domain, category)),
+a AS (SELECT * FROM z UNION ALL SELECT diversity_category, domain, 'TOTAL', sum(n)::BIGINT FROM z GROUP BY diversity_category, domain)
+SELECT *, {SUPPRESSED} AS label FROM (SELECT *, n / (SELECT count(*) FROM customer) AS ratio FROM a)""",
+}
