@@ -18,6 +18,7 @@ HEADLINE = [
     "entity_summary", "entity_range", "measure_qc_values", "clean_measure", "drop_extremes", "unit_distribution",
     "ancestor_extract", "concept_name_map", "allocate_plates", "final_samples", "sample_qc", "suppressed_report",
     "threshold_dimension",
+    "demographic_report", "record_history", "group_history_report",
 ]
 
 

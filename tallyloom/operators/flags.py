@@ -17,6 +17,7 @@ from ..functions import suppressed_count
 from .shares import fixed_table, position, share, total_and_share
 
 TOTAL_LABEL = "TOTAL PARTICIPANTS"
+ZERO_LABEL = "Participants with 0 Data Type(s)"
 
 
 def flag_matrix(base: DataFrame, entity: str, members: Mapping[str, DataFrame]) -> DataFrame:
@@ -74,9 +75,9 @@ def count_by_flag(df: DataFrame, entity: str, flags: Sequence[str], none: str =
     return rows.select("data_type", "n", share(F.col("n"), F.col("_all")).alias("ratio")).orderBy("n", "data_type")
 
 
-def _n_flags_label(n: Column, n_flags: int) -> Column:
+def _n_flags_label(n: Column, n_flags: int, zero: str) -> Column:
     return (
-        F.when(n == 0, "Participants with 0 Data Type(s)")
+        F.when(n == 0, zero)
         .when(n == n_flags, f"Participants with all {n_flags} Data Type(s)")
         .otherwise(F.concat(F.lit("Participants with ONLY "), n.cast("string"), F.lit(" Data Type(s)")))
     )
@@ -86,12 +87,14 @@ def _n_set(flags: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, [F.col(f) for f in flags]).cast("int")
 
 
-def count_by_n_flags(df: DataFrame, entity: str, flags: Sequence[str], unique: bool = False) -> DataFrame:
+def count_by_n_flags(
+    df: DataFrame, entity: str, flags: Sequence[str], unique: bool = False, total: str = TOTAL_LABEL, zero: str = ZERO_LABEL
+) -> DataFrame:
     """Entities by the number of flags they have, with a total row."""
     people = entity_flags(df, entity, flags, unique)
     counts = people.groupBy(_n_set(flags).alias("n_flags")).agg(F.count(F.lit(1)).alias("n"))
-    labelled = counts.withColumn("label", _n_flags_label(F.col("n_flags"), len(flags)))
-    return total_and_share(labelled, "label", TOTAL_LABEL)
+    labelled = counts.withColumn("label", _n_flags_label(F.col("n_flags"), len(flags), zero))
+    return total_and_share(labelled, "label", total)
 
 
 def combination(flags: Sequence[str], joiner: str = " and ", none: str = "None") -> Column:
@@ -100,14 +103,16 @@ def combination(flags: Sequence[str], joiner: str = " and ", none: str = "None")
     return F.when(names == "", none).otherwise(names)
 
 
-def count_by_flag_combo(df: DataFrame, entity: str, flags: Sequence[str], unique: bool = False) -> DataFrame:
+def count_by_flag_combo(
+    df: DataFrame, entity: str, flags: Sequence[str], unique: bool = False, total: str = TOTAL_LABEL, zero: str = ZERO_LABEL
+) -> DataFrame:
     """Entities by the exact set of flags they have, with a total row."""
     people = entity_flags(df, entity, flags, unique)
     counts = people.groupBy(_n_set(flags).alias("n_flags"), combination(flags).alias("combo")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    labelled = counts.withColumn("label", _n_flags_label(F.col("n_flags"), len(flags)))
-    return total_and_share(labelled, "combo", TOTAL_LABEL)
+    labelled = counts.withColumn("label", _n_flags_label(F.col("n_flags"), len(flags), zero))
+    return total_and_share(labelled, "combo", total)
 
 
 def flag_tables(df: DataFrame, entity: str, flags: Sequence[str], unique: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -103,20 +103,23 @@ def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) ->
     )
 
 
-def pretty_histogram(df: DataFrame, value: str) -> DataFrame:
+def pretty_histogram(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Histogram over round breaks: about log2(n) + 1 bins, right-closed, the lowest value included.
 
     Breaks are multiples of 1, 2, 5 or 10 times a power of ten that cover the range, the usual
     default of statistical plots.
     """
-    rows = values_of(df, [], value)
-    facts = rows.agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    keys = list(keys)
+    rows = values_of(df, keys, value)
+    facts = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
+    ).filter(F.col("_n") > 0)
     wanted = F.ceil(F.log2("_n") + 1)
     span = F.col("_max") - F.col("_min")
     rough = F.when(span > 0, span / wanted).otherwise(F.greatest(F.abs(F.col("_max")), F.lit(1.0)) / wanted)
     power = F.pow(F.lit(10.0), F.floor(F.log10(rough)))
     lead = rough / power
-    # A candidate step is taken once the rough step passes the bias-weighted midpoint below it.
+    # A larger step is taken once the rough one is past the biased midpoint between the two.
     step = power * (
         F.when(10 - lead < 1.5 * (lead - 5), 10.0)
         .when(5 - lead < 2.75 * (lead - 2), 5.0)
@@ -127,15 +130,18 @@ def pretty_histogram(df: DataFrame, value: str) -> DataFrame:
         facts.withColumn("_step", step)
         .withColumn("_from", F.floor(F.col("_min") / F.col("_step") + 1e-7))
         .withColumn("_to", F.greatest(F.ceil(F.col("_max") / F.col("_step") - 1e-7), F.col("_from") + 1))
+        .select(*keys, "_step", "_from", "_to")
     )
-    grid_value = {c: grid.select(c).scalar() for c in ("_step", "_from")}
-    slot = F.ceil(F.col("_v") / F.col("_step") - 1e-7) - F.col("_from")
-    counts = rows.withColumns(grid_value).groupBy(F.greatest(slot, F.lit(1)).cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    if keys:
+        placed = rows.join(grid, keys)
+    else:
+        placed = rows.withColumns({c: grid.select(c).scalar() for c in ("_step", "_from")})
+    slot = F.greatest(F.ceil(F.col("_v") / F.col("_step") - 1e-7) - F.col("_from"), F.lit(1)).cast("int")
+    counts = placed.groupBy(*keys, slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     numbers = F.sequence(F.lit(1), (F.col("_to") - F.col("_from")).cast("int"))
-    bins = grid.select("_step", "_from", F.explode(numbers).alias("bin"))
-    return bins.join(counts, "bin", "left").select(
+    bins = grid.select(*keys, "_step", "_from", F.explode(numbers).alias("bin"))
+    return bins.join(counts, [*keys, "bin"], "left").select(
+        *keys,
         "bin",
         ((F.col("_from") + F.col("bin") - 1) * F.col("_step")).alias("lo"),
         ((F.col("_from") + F.col("bin")) * F.col("_step")).alias("hi"),

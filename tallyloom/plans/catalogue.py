@@ -471,6 +471,12 @@ def pretty_histogram(t):
     return stats.pretty_histogram(t["customer"], "c_acctbal")
 
 
+@query
+def pretty_histogram_by_site(t):
+    quantities = lines(t).select("site", "l_extendedprice")
+    return rounded(stats.pretty_histogram(quantities, "l_extendedprice", ["site"]))
+
+
 @query
 def latest_value(t):
     return stats.latest(lines(t), "person_id", "l_shipdate", ["l_extendedprice"])

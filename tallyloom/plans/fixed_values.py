@@ -114,6 +114,10 @@ DATA_TYPE_COHORTS = {
     "OVERALL": None, "PPI": "PPI", "PM": "PM", "FITBIT": "Fitbit", "WGS": "WGS", "ARRAY": "Array", "EHR": "EHR",
 }
 
+# Row labels of the data-type tables.
+ALL_PARTICIPANTS = "TOTAL PARTICIPANTS IN CDR"
+NO_DATA_TYPES = "Participants with 0 Data Types"
+
 # Flag columns of the search table and their short names.
 DATA_TYPE_FLAGS = {
     "PPI": "has_ppi_survey_data",

@@ -434,6 +434,13 @@ e AS (SELECT *, CAST(floor(a / step + 1e-7) AS BIGINT) AS i0, CAST(ceil(b / step
 c AS (SELECT CAST(greatest(ceil(c_acctbal / step - 1e-7) - i0, 1) AS INTEGER) AS bin, count(*) AS n FROM customer, e GROUP BY 1),
 g AS (SELECT CAST(unnest(range(1, i1 - i0 + 1)) AS INTEGER) AS bin, i0, step FROM e)
 SELECT bin, (i0 + bin - 1) * step AS lo, (i0 + bin) * step AS hi, coalesce(n, 0) AS n FROM g LEFT JOIN c USING (bin)""",
+    "pretty_histogram_by_site": f"""WITH {LINES},
+m AS (SELECT site, min(l_extendedprice) AS a, max(l_extendedprice) AS b, (max(l_extendedprice) - min(l_extendedprice)) / ceil(log2(count(*)) + 1) AS rough FROM l GROUP BY 1),
+p AS (SELECT *, pow(10.0, floor(log10(rough))) AS pw FROM m), st AS (SELECT *, {histogram_step()} AS step FROM p),
+e AS (SELECT *, CAST(floor(a / step + 1e-7) AS BIGINT) AS i0, CAST(ceil(b / step - 1e-7) AS BIGINT) AS i1 FROM st),
+c AS (SELECT site, CAST(greatest(ceil(l_extendedprice / step - 1e-7) - i0, 1) AS INTEGER) AS bin, count(*) AS n FROM l JOIN e USING (site) GROUP BY ALL),
+g AS (SELECT site, CAST(unnest(range(1, i1 - i0 + 1)) AS INTEGER) AS bin, i0, step FROM e)
+SELECT site, bin, round((i0 + bin - 1) * step, 4) AS lo, round((i0 + bin) * step, 4) AS hi, coalesce(n, 0) AS n FROM g LEFT JOIN c USING (site, bin)""",
     "latest_value": f"""WITH {LINES} SELECT person_id, l_extendedprice FROM l
 QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY l_shipdate DESC, l_extendedprice DESC) = 1""",
     "latest_with_unit_list": f"""WITH {LINES}, n AS (SELECT * FROM l QUALIFY rank() OVER (PARTITION BY person_id ORDER BY l_shipdate DESC) = 1)

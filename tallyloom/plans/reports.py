@@ -15,7 +15,7 @@ from ..operators.flags import (
 from ..operators.history import cumulative_entities, first_seen, periods, years_of_data, years_stats
 from ..operators.shares import fixed_table, position
 from ..runtime import materialise
-from ..operators.stats import box_stats, describe_by, entity_summary, histogram
+from ..operators.stats import box_stats, describe_by, entity_summary, pretty_histogram
 from ..operators.strata import case_control_counts, measure_counts
 from . import extracts, fixed_values as fixed
 
@@ -50,13 +50,15 @@ def data_type_report(tables: Tables, combinations: bool = False) -> DataFrame:
     """
     people = materialise(population_flags(tables))
     populations = {"Whole CDR": people, "AIAN": people.filter("AIAN = 1"), "WEAR": people.filter("WEAR = 1")}
-    count = count_by_flag_combo if combinations else count_by_flag
     keys = ["label", "combo"] if combinations else ["data_type"]
     cell = count_pct(F.col("n"), F.col("ratio")).alias("cell")
-    parts = {
-        name: count(rows, "person_id", DATA_TYPES, unique=True).select(*keys, cell) for name, rows in populations.items()
-    }
-    return side_by_side(parts, keys, "cell")
+
+    def count(rows: DataFrame) -> DataFrame:
+        if combinations:
+            return count_by_flag_combo(rows, "person_id", DATA_TYPES, True, fixed.ALL_PARTICIPANTS, fixed.NO_DATA_TYPES)
+        return count_by_flag(rows, "person_id", DATA_TYPES, unique=True)
+
+    return side_by_side({name: count(rows).select(*keys, cell) for name, rows in populations.items()}, keys, "cell")
 
 
 def add_on_report(tables: Tables) -> DataFrame:
@@ -180,7 +182,7 @@ def measure_report(measures: DataFrame, strata: DataFrame) -> DataFrame:
     return measure_counts(measures, "person_id", columns, strata, STRATA, of, known_only=True)
 
 
-def lab_report(tables: Tables, ancestors: list[int], bins: int = 20) -> dict[str, DataFrame]:
+def lab_report(tables: Tables, ancestors: list[int]) -> dict[str, DataFrame]:
     """Everything about a lab in four tables, for all given concepts together.
 
     The extract is written out once; ``people`` is what ``write_by_concept`` delivers.
@@ -194,6 +196,6 @@ def lab_report(tables: Tables, ancestors: list[int], bins: int = 20) -> dict[str
     return {
         "statistics": describe_by(sites, ["lab", "site"], "value_as_number"),
         "boxes": box_stats(sites, ["lab", "site"], "value_as_number"),
-        "histogram": histogram(rows, "value_as_number", bins, ["lab"]),
+        "histogram": pretty_histogram(rows, "value_as_number", ["lab"]),
         "people": people.select("who.lab", "who.person_id", *[c for c in people.columns if c != "who"]),
     }

@@ -69,6 +69,11 @@ def test_pretty_histogram_breaks(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     bins = sorted((r.lo, r.hi, r.n) for r in stats.pretty_histogram(df, "v").collect())
     assert bins[0] == (0.0, 10.0, 11) and bins[-1] == (90.0, 100.0, 10) and len(bins) == 10
+    both = df.selectExpr("'a' AS g", "v").unionByName(df.selectExpr("'b' AS g", "v / 1000 AS v")).unionByName(df.selectExpr("'c' AS g", "7D AS v"))
+    keyed = stats.pretty_histogram(both, "v", ["g"]).collect()
+    assert sorted((r.lo, r.hi, r.n) for r in keyed if r.g == "a") == bins
+    assert [r.n for r in sorted((r for r in keyed if r.g == "b"), key=lambda r: r.bin)] == [n for _, _, n in bins]
+    assert sum(r.n for r in keyed if r.g == "c") == 101
 
 
 def test_latest_and_summary(spark):

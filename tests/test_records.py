@@ -160,7 +160,7 @@ def test_phenotype_reports(spark, tables):
 
 
 def test_lab_report(tables):
-    report = reports.lab_report(tables, [11], bins=4)
+    report = reports.lab_report(tables, [11])
     assert rows(report["statistics"].select("lab", "site", "n", "mean")) == [("blood panel", "#1", 1, 40.0), ("blood panel", "ehr site 2", 1, 41.0)]
     (person,) = report["people"].collect()
     assert (person.lab, person.person_id, person.values_count, person.latest_value, person.latest_value_unit) == ("blood panel", 1, 2, "41", "NA")
