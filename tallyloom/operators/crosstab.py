@@ -37,6 +37,7 @@ def cross_tab(
     multi_counted: bool = False,
     keep_unlisted: bool = False,
     total: str = "TOTAL",
+    one_answer: bool = False,
 ) -> DataFrame:
     """Entities per category for every population and cohort, with share and a total row.
 
@@ -44,13 +45,19 @@ def cross_tab(
     (None: everybody). Each population x cohort cell is a conditional sum, so 3 populations of 7
     denominators cost one aggregation with map-side combine instead of 21 passes. An entity with
     several answers goes to ``several``, or with ``multi_counted`` into each of its categories.
+    ``one_answer`` says that the answers are one row per entity already, which saves an aggregation.
 
     Listed categories always appear, with 0 if need be (``several`` only if it occurs); others
     count towards the total but are shown only with ``keep_unlisted``.
     """
     flags = [f for f in [*cohorts.values(), *populations.values()] if f]
     members = entity_flags(people, entity, list(dict.fromkeys(flags)), unique=True)
-    one = answers.select(entity, category).distinct() if multi_counted else multi_answer(answers, entity, category)
+    if one_answer:
+        one = answers.select(entity, category)
+    elif multi_counted:
+        one = answers.select(entity, category).distinct()
+    else:
+        one = multi_answer(answers, entity, category)
     joined = members.join(one, entity, "left").withColumn(category, F.coalesce(category, F.lit(missing)))
 
     sums, entries = _cells(cohorts, populations)

@@ -153,7 +153,7 @@ def headline_counts(t):
 def category_cross_tab(t):
     answers = t["customer"].select(F.col("c_custkey").alias("person_id"), F.initcap("c_mktsegment").alias("segment"))
     order = ["Building", "Household", "Machinery", "Furniture", "Never Seen"]
-    return crosstab.cross_tab(customer_flags(t), answers, "person_id", "segment", COHORTS, POPULATIONS, order)
+    return crosstab.cross_tab(customer_flags(t), answers, "person_id", "segment", COHORTS, POPULATIONS, order, one_answer=True)
 
 
 def _priorities(t) -> DataFrame:

@@ -76,7 +76,7 @@ def demographic_report(tables: Tables, demographic: str) -> DataFrame:
     table = cross_tab(
         population_flags(tables), answers.select("person_id", demographic), "person_id", demographic,
         fixed.DATA_TYPE_COHORTS, {"Whole CDR": None, "AIAN": "AIAN", "WEAR": "WEAR"},
-        DEMOGRAPHIC_ORDERS[demographic], multi_counted=several,
+        DEMOGRAPHIC_ORDERS[demographic], multi_counted=several, one_answer=not several,
     )
     title = F.lit(fixed.DEMOGRAPHIC_TITLES[demographic])
     return table.withColumn("variable", title).withColumn("label", count_pct(F.col("n"), F.col("ratio")))
