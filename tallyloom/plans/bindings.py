@@ -137,7 +137,8 @@ def record_tables(t: ParquetTables) -> dict[str, DataFrame]:
     )
     measured = rows.select(
         key.alias("measurement_id"), "person_id", (F.col("s_nationkey") + 100).cast("bigint").alias("measurement_concept_id"),
-        F.col("l_partkey").alias("measurement_source_concept_id"), F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("measurement_source_value"),
+        F.col("l_partkey").alias("measurement_source_concept_id"),
+        F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("measurement_source_value"),
         F.when(F.col("l_quantity") > 2, F.col("l_extendedprice")).alias("value_as_number"),
         F.col("l_discount").alias("range_low"), F.col("l_tax").alias("range_high"),
         unit.cast("bigint").alias("unit_concept_id"), F.col("l_returnflag").alias("unit_source_value"),
@@ -166,7 +167,10 @@ def record_tables(t: ParquetTables) -> dict[str, DataFrame]:
 
 # Health-records tables from the order tables: every order is an answer, every line a record.
 
-QUESTION_OF = {"1-URGENT": "race", "2-HIGH": "sex_at_birth", "3-MEDIUM": "income", "4-NOT SPECIFIED": "education", "5-LOW": "sexual_orientation"}
+QUESTION_OF = {
+    "1-URGENT": "race", "2-HIGH": "sex_at_birth", "3-MEDIUM": "income", "4-NOT SPECIFIED": "education",
+    "5-LOW": "sexual_orientation",
+}
 STATUSES = ["F", "O", "P"]
 ANSWERS = {
     "race": ["What Race Ethnicity: White", "What Race Ethnicity: AIAN", "PMI: Skip"],
@@ -182,6 +186,17 @@ CODES = {
     "education": ["HighestGrade_CollegeGraduate", "HighestGrade_NeverAttended", "PMI_Skip"],
     "sexual_orientation": ["PMI_Skip", "SexualOrientation_Straight", "SexualOrientation_Gay"],
 }
+RACE_CODES = {
+    "BUILDING": "WhatRaceEthnicity_White", "MACHINERY": "WhatRaceEthnicity_Black", "HOUSEHOLD": "PMI_Skip",
+    "AUTOMOBILE": "WhatRaceEthnicity_Asian",
+}
+RACES = {
+    "BUILDING": "White", "MACHINERY": "Black or African American", "HOUSEHOLD": "None of these",
+    "AUTOMOBILE": "I prefer not to answer",
+}
+GENDER_CODES = {
+    "AFRICA": "GenderIdentity_Woman", "AMERICA": "GenderIdentity_Man", "ASIA": "GenderIdentity_NonBinary", "EUROPE": "PMI_Skip",
+}
 VOCABULARIES = ["LOINC", "ICD10CM", "ICD10PCS", "RxNorm Extension", "Visit", "NDC", "None"]
 
 
@@ -203,32 +218,37 @@ def _by_answer(texts: dict[str, list]) -> Column:
 
 def survey_tables(t: ParquetTables) -> dict[str, DataFrame]:
     """Customers as persons, their orders as survey answers and coded observations."""
-    people = customers(t).join(
-        customer_flags(t).select("person_id", "has_urgent", "household", "has_events", "high_balance", "high_value_order", "in_asia"), "person_id"
-    )
+    flags = customer_flags(t).select("person_id", *FLAGS, "in_asia")
+    people = customers(t).join(flags, "person_id")
     balance = F.col("c_acctbal")
     age = F.floor(F.abs(balance) / 100).cast("int")
     question = _case("o_orderpriority", {p: fixed.QUESTIONS[q] for p, q in QUESTION_OF.items()}, "bigint")
-    concept_id = 7000 + F.substring("o_orderpriority", 1, 1).cast("bigint") * 10 + _case("o_orderstatus", {"F": 0, "O": 1, "P": 2}, "bigint")
+    status = _case("o_orderstatus", {"F": 0, "O": 1, "P": 2}, "bigint")
+    concept_id = 7000 + F.substring("o_orderpriority", 1, 1).cast("bigint") * 10 + status
     orders = t["orders"]
     answers = [
         (7000 + 10 * (i + 1) + j, text, f"a{i}{j}", "PPI", "Answer")
         for i, q in enumerate(QUESTION_OF.values()) for j, text in enumerate(ANSWERS[q])
     ]
-    ethnicities = [(901, "Not Hispanic or Latino", "nh", "Ethnicity", "Ethnicity"), (902, "Hispanic or Latino", "h", "Ethnicity", "Ethnicity")]
+    ethnicities = [
+        (901, "Not Hispanic or Latino", "nh", "Ethnicity", "Ethnicity"), (902, "Hispanic or Latino", "h", "Ethnicity", "Ethnicity"),
+    ]
+    region = F.col("r_name")
+    sex = F.when(balance < 0, "SexAtBirth_Intersex").when(balance < 4000, "SexAtBirth_Female").when(balance < 9000, "SexAtBirth_Male")
+    ethnicity = F.when(region == "ASIA", "Hispanic or Latino").when(region == "EUROPE", "No matching concept")
     return {
         "person": people.select(
             "person_id",
-            _case("c_mktsegment", {"BUILDING": "WhatRaceEthnicity_White", "MACHINERY": "WhatRaceEthnicity_Black", "HOUSEHOLD": "PMI_Skip", "AUTOMOBILE": "WhatRaceEthnicity_Asian"}).alias("race_source_value"),
+            _case("c_mktsegment", RACE_CODES).alias("race_source_value"),
             _case("r_name", {"ASIA": "WhatRaceEthnicity_Hispanic"}).alias("ethnicity_source_value"),
-            F.when(balance < 0, "SexAtBirth_Intersex").when(balance < 4000, "SexAtBirth_Female").when(balance < 9000, "SexAtBirth_Male").alias("sex_at_birth_source_value"),
-            _case("r_name", {"AFRICA": "GenderIdentity_Woman", "AMERICA": "GenderIdentity_Man", "ASIA": "GenderIdentity_NonBinary", "EUROPE": "PMI_Skip"}).alias("gender_source_value"),
-            F.when(F.col("r_name").isin("ASIA", "EUROPE"), 902).otherwise(901).cast("bigint").alias("ethnicity_concept_id"),
+            sex.alias("sex_at_birth_source_value"),
+            _case("r_name", GENDER_CODES).alias("gender_source_value"),
+            F.when(region.isin("ASIA", "EUROPE"), 902).otherwise(901).cast("bigint").alias("ethnicity_concept_id"),
         ),
         "cb_search_person": people.select(
             "person_id",
-            _case("c_mktsegment", {"BUILDING": "White", "MACHINERY": "Black or African American", "HOUSEHOLD": "None of these", "AUTOMOBILE": "I prefer not to answer"}).alias("race"),
-            F.when(F.col("r_name") == "ASIA", "Hispanic or Latino").when(F.col("r_name") == "EUROPE", "No matching concept").otherwise("Not Hispanic or Latino").alias("ethnicity"),
+            _case("c_mktsegment", RACES).alias("race"),
+            ethnicity.otherwise("Not Hispanic or Latino").alias("ethnicity"),
             age.alias("age_at_cdr"), (age - 1).alias("age_at_consent"),
             F.col("has_urgent").alias("has_ppi_survey_data"), F.col("household").alias("has_physical_measurement_data"),
             F.col("has_events").alias("has_ehr_data"), F.col("high_balance").alias("has_fitbit"),
@@ -243,7 +263,8 @@ def survey_tables(t: ParquetTables) -> dict[str, DataFrame]:
             concept_id.alias("value_source_concept_id"), _by_answer(CODES).alias("value_source_value"),
         ),
         "concept": fixed_table(
-            t.spark, answers + ethnicities, "concept_id bigint, concept_name string, concept_code string, vocabulary_id string, domain_id string"
+            t.spark, answers + ethnicities,
+            "concept_id bigint, concept_name string, concept_code string, vocabulary_id string, domain_id string",
         ),
     }
 
@@ -267,7 +288,9 @@ def domain_tables(t: ParquetTables) -> dict[str, DataFrame]:
         F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("person_id"), digit.cast("bigint").alias("concept"),
         F.col("o_orderdate").alias("start"), F.col("o_orderdate").alias("end"), F.col("o_orderstatus").alias("part"),
     )
-    order_sources = orders.select(F.col("o_orderkey").alias("id"), F.concat(F.lit("EHR site "), digit).alias("src_id"), F.col("o_orderstatus").alias("part"))
+    order_sources = orders.select(
+        F.col("o_orderkey").alias("id"), F.concat(F.lit("EHR site "), digit).alias("src_id"), F.col("o_orderstatus").alias("part")
+    )
     event_rows = events.select(
         F.col("event_id").alias("id"), F.col("user_id").alias("person_id"), F.lit(5).cast("bigint").alias("concept"),
         F.col("ts").alias("start"), F.col("ts").alias("end"), F.lit("E").alias("part"),

@@ -131,12 +131,14 @@ def cohort_flags(t):
 def headline_counts(t):
     orders, events = t["orders"], t["events"]
     person = F.col("o_custkey").alias("person_id")
-    asia = t["nation"].join(t["region"].filter(F.lower("r_name") == "asia"), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
-    status = orders["o_orderstatus"]
+    region = t["region"].filter(F.lower("r_name") == "asia")
+    asia = t["nation"].join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
+    customer = F.col("c_custkey").alias("person_id")
+    status, priority = orders["o_orderstatus"], F.lower("o_orderpriority")
     sources = {
-        "Total": t["customer"].select(F.col("c_custkey").alias("person_id")),
-        "In Asia": t["customer"].join(asia, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select(F.col("c_custkey").alias("person_id")),
-        "Low or unspecified priority": orders.filter(F.lower("o_orderpriority").endswith("low") | F.lower("o_orderpriority").contains("not spec")).select(person),
+        "Total": t["customer"].select(customer),
+        "In Asia": t["customer"].join(asia, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select(customer),
+        "Low or unspecified priority": orders.filter(priority.endswith("low") | priority.contains("not spec")).select(person),
         "Not finished": orders.filter(~status.isin("F") & status.isNotNull()).select(person),
         "Any activity": orders.select(person).unionByName(events.select(F.col("user_id").alias("person_id"))).distinct(),
         "Purchase": events.filter(F.lower("event_type").startswith("purch")).select(F.col("user_id").alias("person_id")),
