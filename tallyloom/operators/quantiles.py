@@ -73,13 +73,16 @@ def _split(rows: DataFrame, keys: list[str], probs: Sequence[float], distinct_va
     k = len(probs)
     points = [min(max(p + side * margin, 0.0), 1.0) for side in (-1, 1) for p in probs]
     sketch = F.percentile_approx("_v", points, accuracy).alias("_ends")
-    groups = materialise(rows.groupBy(*keys).agg(*_moments(), sketch))
-    low = [F.lit(float("-inf")) if p - margin <= 0 else F.col("_ends")[i] for i, p in enumerate(probs)]
-    high = [F.lit(float("inf")) if p + margin >= 1 else F.col("_ends")[k + i] for i, p in enumerate(probs)]
+    ends = [
+        *[(F.lit(float("-inf")) if p - margin <= 0 else F.col("_ends")[i]).alias(f"_low{i}") for i, p in enumerate(probs)],
+        *[(F.lit(float("inf")) if p + margin >= 1 else F.col("_ends")[k + i]).alias(f"_high{i}") for i, p in enumerate(probs)],
+    ]
+    groups = materialise(rows.groupBy(*keys).agg(*_moments(), sketch).select(*keys, *MOMENTS, *ends))
+    low, high = ([F.col(f"_{side}{i}") for i in range(k)] for side in ("low", "high"))
     inside = reduce(lambda a, b: a | b, [F.col("_v").between(low[i], high[i]) for i in range(k)])
     passed = reduce(lambda a, b: a + b, [F.when(high[i] < F.col("_v"), 1).otherwise(0) for i in range(k)])
 
-    bounds = groups.select(*keys, "_ends")
+    bounds = groups.select(*keys, *low, *high)
     placed = _join(rows, bounds, keys).select(
         *keys, "_v", inside.alias("_in"), (passed * 2 + inside.cast("int")).alias("_seg")
     )
