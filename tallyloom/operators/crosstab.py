@@ -153,12 +153,13 @@ def entity_matrix(
     ``col`` counts towards the any-column only.
     """
     base = records.select(entity, F.col(row).alias("row"), F.col(col).alias("col")).distinct()
-    if total_row:
-        base = base.withColumn("row", F.explode(F.array(F.col("row"), F.lit(total_row))))
-    if any_col:
-        base = base.withColumn("col", F.explode(F.array(F.col("col"), F.lit(any_col))))
+    rows = [F.col("row"), *([F.lit(total_row)] if total_row else [])]
+    cols = [F.col("col"), *([F.lit(any_col)] if any_col else [])]
+    cells = F.array(*[F.struct(r.alias("row"), c.alias("col")) for r in rows for c in cols])
     counts = (
-        base.filter(F.col("row").isNotNull() & F.col("col").isNotNull())
+        base.select(entity, F.explode(cells).alias("_cell"))
+        .select(entity, "_cell.row", "_cell.col")
+        .filter(F.col("row").isNotNull() & F.col("col").isNotNull())
         .groupBy("row", "col")
         .agg(F.count_distinct(entity).alias("n"))
     )
