@@ -246,10 +246,10 @@ def multi_answer_columns(t):
 
 @query
 def combo_groups(t):
-    answers = t["orders"].filter(F.col("o_totalprice") > 400_000).select("o_custkey", F.col("o_orderstatus").alias("status"))
-    everyone = t["customer"].select(F.col("c_custkey").alias("o_custkey")).join(answers.distinct(), "o_custkey", "left")
-    main = ["F", "O", "P", "F,O", "F,P", "None"]
-    return flags.combo_groups(everyone, "o_custkey", "status", main)
+    """Orders by the list of return flags of their lines."""
+    answers = t["lineitem"].select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag").distinct()
+    everyone = t["orders"].select("o_orderkey").join(answers, "o_orderkey", "left")
+    return flags.combo_groups(everyone, "o_orderkey", "l_returnflag", ["A", "N", "R", "A,N", "A,N,R", "None"])
 
 
 # History
@@ -724,7 +724,7 @@ def sample_qc(t):
 @query
 def share_by_plate(t):
     final = _final(t)
-    by_plate = plates.share_by(final, "participant_id", "state", "plate").filter(F.col("plate") == 1)
+    by_plate = plates.share_by(final, "participant_id", "state", "plate")
     overall = plates.share_by(final, "participant_id", "state").withColumn("plate", F.lit(None).cast("int"))
     return rounded(by_plate.unionByName(overall), 6)
 

@@ -347,13 +347,13 @@ SELECT CASE WHEN answer = 'Prefer Not To Answer' THEN 'Not Specified' ELSE answe
   CASE WHEN count(DISTINCT o_totalprice > {HIGH_VALUE}) > 1 THEN 'Multiple Selections' WHEN bool_or(o_totalprice > {HIGH_VALUE}) THEN 'high' ELSE 'usual' END AS value_class
   FROM orders GROUP BY 1""",
     "combo_groups": """WITH a AS (
-  SELECT c_custkey, coalesce(string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus), 'None') AS g
-  FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) ON c_custkey = o_custkey GROUP BY 1),
-c AS (SELECT CASE WHEN g IN ('F', 'O', 'P', 'F,O', 'F,P', 'None') THEN g ELSE 'Other' END AS "group", count(*) AS n FROM a GROUP BY 1),
+  SELECT o_orderkey, coalesce(string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag), 'None') AS g
+  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1),
+c AS (SELECT CASE WHEN g IN ('A', 'N', 'R', 'A,N', 'A,N,R', 'None') THEN g ELSE 'Other' END AS "group", count(*) AS n FROM a GROUP BY 1),
 z AS (SELECT * FROM c UNION ALL SELECT v.g, 0 FROM (VALUES ('Other'), ('Skip')) v(g) WHERE v.g NOT IN (SELECT "group" FROM c)),
 u AS (SELECT "group", CAST(CASE "group" WHEN 'Other' THEN 1 WHEN 'Skip' THEN 2 ELSE 0 END AS INTEGER) AS sort_ord, n FROM z
       UNION ALL SELECT 'Total', 3, sum(n)::BIGINT FROM z)
-SELECT "group", sort_ord, n, n / (SELECT count(*) FROM customer) AS ratio FROM u""",
+SELECT "group", sort_ord, n, n / (SELECT count(*) FROM orders) AS ratio FROM u""",
     "first_seen_year": """WITH y AS (SELECT o_custkey AS person_id, o_orderpriority AS domain, year(o_orderdate) AS year FROM orders
   UNION ALL SELECT o_custkey, 'Any', year(o_orderdate) FROM orders)
 SELECT person_id, domain, CAST(min(year) AS INTEGER) AS year FROM y GROUP BY ALL""",
@@ -519,10 +519,9 @@ UNION ALL SELECT class || '_first_day', a FROM z UNION ALL SELECT class || '_las
 UNION ALL SELECT 'test_unique_without_day', CAST(count(DISTINCT id) AS VARCHAR) FROM k WHERE class = 'test' AND collected IS NULL
 UNION ALL SELECT 'all_plates', CAST(count(DISTINCT plate) AS VARCHAR) FROM c
 UNION ALL SELECT 'all_plates_rows', CAST(count(plate) AS VARCHAR) FROM c""",
-    "share_by_plate": f"""WITH {FINAL}
-SELECT plate, state, count(DISTINCT participant_id) AS n,
-       round(count(DISTINCT participant_id) / (SELECT count(DISTINCT participant_id) FROM fin WHERE plate = 1) * 100, 6) AS pct
-FROM fin WHERE plate = 1 AND state IS NOT NULL GROUP BY ALL
+    "share_by_plate": f"""WITH {FINAL}, sizes AS (SELECT plate, count(DISTINCT participant_id) AS size FROM fin GROUP BY 1)
+SELECT plate, state, count(DISTINCT participant_id) AS n, round(count(DISTINCT participant_id) / any_value(size) * 100, 6) AS pct
+FROM fin JOIN sizes USING (plate) WHERE state IS NOT NULL GROUP BY ALL
 UNION ALL SELECT NULL, state, count(DISTINCT participant_id),
        round(count(DISTINCT participant_id) / (SELECT count(DISTINCT participant_id) FROM fin) * 100, 6) FROM fin WHERE state IS NOT NULL GROUP BY state""",
     "manifest_labels": """SELECT CASE WHEN o_orderstatus = 'F' THEN 'Yes' ELSE 'No' END AS negative_control,
