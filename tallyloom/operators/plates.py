@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import recode
 from ..runtime import materialise
 from .shares import share
 
@@ -218,8 +217,3 @@ def share_by(df: DataFrame, entity: str, variable: str, group: str | None = None
     sizes = df.groupBy(*keys).agg(F.count_distinct(entity).alias("_size"))
     sized = counts.join(sizes, keys) if keys else counts.withColumn("_size", sizes.scalar())
     return sized.withColumn("pct", share(F.col("n"), F.col("_size")) * 100).drop("_size")
-
-
-def rename_values(df: DataFrame, column: str, mapping: dict[str, str]) -> DataFrame:
-    """Recode one column by a map."""
-    return df.withColumn(column, recode(F.col(column), mapping))

@@ -182,6 +182,12 @@ def measure_report(measures: DataFrame, strata: DataFrame) -> DataFrame:
     return measure_counts(measures, "person_id", columns, strata, STRATA, of, known_only=True)
 
 
+def family_history_index(tables: Tables, phenotypes: DataFrame) -> DataFrame:
+    """The index of a family-history table, ordered by names without the question's stem."""
+    index = extracts.phenotype_index(tables, phenotypes, "concept_id", "pfhh_survey", name_parts=fixed.FAMILY_HISTORY_PARTS)
+    return index.orderBy("short_name", "concept_id")
+
+
 def lab_report(tables: Tables, ancestors: list[int]) -> dict[str, DataFrame]:
     """Everything about a lab in four tables, for all given concepts together.
 

@@ -127,6 +127,8 @@ def test_indexes(spark, tables):
     index = extracts.phenotype_index(tables, wide, "concept_code", "mcc2_phecode")
     assert rows(index.select("concept_code", "concept_name", "n_pids", "report_name")) == [
         ("J11", "flu", 2, "mcc2_phecode_J11_summary"), ("rx", "pill", 1, "mcc2_phecode_rx_summary")]
+    family = spark.createDataFrame([(1, True)], "person_id long, `10` boolean")
+    assert rows(reports.family_history_index(tables, family).select("short_name", "n_pids")) == [("hematocrit", 1)]
     physical = extracts.physical_measure_index(tables).select("concept_name", "measurement_source_value", "report_name")
     assert rows(physical) == [("weight", "height", "height_summary"), ("weight", "weight", "weight_summary")]
     lab = spark.createDataFrame([(3023314,)], "measurement_concept_id long")
