@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyloom.llm.common import table
 from tallyloom.llm.license_scan import license_scan
 from tallyloom.llm.main_text import extract_pages
+from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.quality_rules import quality_rules
 from tallyloom.llm.token_counts import token_counts
 from tallyloom.llm.url_filters import Rule, judge_urls
@@ -22,6 +23,10 @@ def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
 
 
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), WORD_BPE)
+
+
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), URL_RULES)
 
@@ -39,7 +44,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_html_extraction, op6_url_filters, op8_token_counts, op9_license_scans, op10_quality_rules)
+    f.__name__: f for f in (op4_html_extraction, op5_best_fit_packing, op6_url_filters, op8_token_counts, op9_license_scans, op10_quality_rules)
 }
 
 ORACLES: dict[str, str] = {
