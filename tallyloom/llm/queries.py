@@ -11,6 +11,7 @@ from tallyloom.llm.common import table
 from tallyloom.llm.license_scan import license_scan
 from tallyloom.llm.main_text import extract_pages
 from tallyloom.llm.packing import pack_documents
+from tallyloom.llm.quality_classifier import quality_scores
 from tallyloom.llm.quality_rules import quality_rules
 from tallyloom.llm.token_counts import token_counts
 from tallyloom.llm.url_filters import Rule, judge_urls
@@ -19,6 +20,10 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 URL_RULES = [Rule.parse("net/", "block"), Rule.parse("example.net/en/", "allow"), Rule.parse("example.com/de/", "block"), Rule.parse("org/fr/", "allow")]
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
 
@@ -44,7 +49,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_html_extraction, op5_best_fit_packing, op6_url_filters, op8_token_counts, op9_license_scans, op10_quality_rules)
+    f.__name__: f for f in (op1_quality_classifier, op4_html_extraction, op5_best_fit_packing, op6_url_filters, op8_token_counts, op9_license_scans, op10_quality_rules)
 }
 
 ORACLES: dict[str, str] = {
