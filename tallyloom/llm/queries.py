@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.common import table
+from tallyloom.llm.decontamination import find_leaks
 from tallyloom.llm.license_scan import license_scan
 from tallyloom.llm.main_text import extract_pages
 from tallyloom.llm.packing import pack_documents
@@ -24,6 +25,10 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
 
@@ -49,7 +54,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op4_html_extraction, op5_best_fit_packing, op6_url_filters, op8_token_counts, op9_license_scans, op10_quality_rules)
+    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_html_extraction, op5_best_fit_packing, op6_url_filters, op8_token_counts, op9_license_scans, op10_quality_rules)
 }
 
 ORACLES: dict[str, str] = {
