@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.common import table
 from tallyloom.llm.decontamination import find_leaks
+from tallyloom.llm.jaccard_join import jaccard_classes
 from tallyloom.llm.license_scan import license_scan
 from tallyloom.llm.main_text import extract_pages
 from tallyloom.llm.packing import pack_documents
@@ -41,6 +42,10 @@ def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_classes(table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), WORD_BPE)
 
@@ -54,7 +59,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_html_extraction, op5_best_fit_packing, op6_url_filters, op8_token_counts, op9_license_scans, op10_quality_rules)
+    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_html_extraction, op5_best_fit_packing, op6_url_filters, op7_jaccard_join, op8_token_counts, op9_license_scans, op10_quality_rules)
 }
 
 ORACLES: dict[str, str] = {
