@@ -7,10 +7,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.common import stored, table
+from tallyloom.llm.decontamination import drop_leaks
+from tallyloom.llm.jaccard_join import one_of_each_class
+from tallyloom.llm.packing import pack_documents
+from tallyloom.llm.quality_classifier import keep_quality
+from tallyloom.llm.queries import WORD_BPE
+from tallyloom.llm.span_dedup import without_repeats
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for good ones."""
+    return keep_quality(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones."""
+    return one_of_each_class(docs)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the long strings that stand earlier in the corpus."""
+    return without_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of a benchmark item."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of the documents: the pieces and their places."""
+    return pack_documents(docs, WORD_BPE)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeats", repeats),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 #: No SQL says what a trained classifier or a best-fit packing gives; tests compare with brute force.
 ORACLE_SQL: str | None = None

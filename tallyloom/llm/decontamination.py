@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import by_batch, pick
+from tallyloom.llm.common import by_batch, keep_rows, pick
 
 N = 3
 #: Of so many neighbouring n-grams of an item the rarest is a seed, so every stretch of an item has one.
@@ -189,3 +189,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", te
         seeds = _seeds(rows.select(text), items)
         found = found.unionByName(rows.mapInArrow(by_batch(_search(items, seeds, key)), form))
     return found
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id") -> DataFrame:
+    """The documents, with all columns, in which :func:`find_leaks` finds nothing."""
+    kept = docs
+    for items in _blocks(benchmark, item, "text"):
+        seeds = _seeds(pick(docs, text), items)
+
+        def clean(texts: pa.Array, items: Items = items, seeds: dict[int, np.ndarray] = seeds) -> list[bool]:
+            return [next(passages(items, seeds, items.read(t.as_py())), None) is None for t in texts]
+
+        kept = keep_rows(kept, text, clean)
+    return kept

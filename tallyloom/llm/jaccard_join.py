@@ -80,8 +80,8 @@ def _profiles(batch: pa.RecordBatch) -> pa.RecordBatch:
         tokens.append(least[:TOKENS].view(np.int64) if len(own) else None)
         sketches.append((least >> np.uint64(20)).astype(np.uint8).tobytes() if len(own) else None)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(sets, pa.binary()), pa.array(tokens, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-        names=["id", "set", "tokens", "sketch"],
+        [pa.array(ids, pa.int64()), batch.column(2), pa.array(sets, pa.binary()), pa.array(tokens, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+        names=["id", "text_hash", "set", "tokens", "sketch"],
     )
 
 
@@ -202,7 +202,7 @@ def jaccard_classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     count as copies. A row with a null key has no class and no links. An empty table gives no rows.
     """
     rows = pick(docs, key, text).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    profiles = stored(rows.select("id", "text").mapInArrow(by_batch(_profiles), "id long, set binary, tokens array<long>, sketch binary"))
+    profiles = stored(rows.select("id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(by_batch(_profiles), "id long, text_hash long, set binary, tokens array<long>, sketch binary"))
     known = profiles.filter("id IS NOT NULL AND set IS NOT NULL")
     classes = known.groupBy("set").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     classes = stored(classes)
@@ -226,5 +226,22 @@ def jaccard_classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     linked = stored(linked)
     names = linked.groupBy("root").agg(F.min("rep").alias("class_id"))
     linked = linked.join(names, "root").select(F.col("set").alias("s2"), "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    out = profiles.select("id", F.when(F.col("id").isNotNull(), F.col("set")).alias("set")).join(stored(linked), F.col("set") == F.col("s2"), "left")
-    return out.select(F.col("id").alias(key), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    out = profiles.select("id", "text_hash", F.when(F.col("id").isNotNull(), F.col("set")).alias("set")).join(stored(linked), F.col("set") == F.col("s2"), "left")
+    return out.select(F.col("id").alias(key), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_hash")
+
+
+def one_of_each_class(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, with all columns, that have the smallest key of their class.
+
+    Equal rows of one key are one document. Rows of one key with different texts are told apart;
+    where such texts are linked with each other, all that have the smallest key stay.
+    """
+    classes = jaccard_classes(docs, key=key, text=text)
+    lost = classes.filter(F.col(key) != F.col("class_id")).select(F.col(key).alias("_key"), "text_hash").distinct()
+    names = docs.columns
+    place = names.index(key)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    own, words = f"c{place}", f"c{names.index(text)}"
+    plain = plain.withColumn("_hash", F.xxhash64(words))
+    kept = plain.join(stored(lost), (F.col(own) == F.col("_key")) & (F.col("_hash") == F.col("text_hash")), "left_anti")
+    return kept.dropDuplicates([own, "_hash"]).drop("_hash").toDF(*names)

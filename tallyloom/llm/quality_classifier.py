@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import by_batch, pick, stored
+from tallyloom.llm.common import by_batch, keep_rows, pick, stored
 
 #: Marks of the form of a text; each is spread over hat functions at these knots.
 KNOTS = {
@@ -176,6 +176,39 @@ def _histogram(w: np.ndarray):
     return lambda x: np.bincount(np.clip((x @ w) / 2 * BINS, 0, BINS - 1).astype(int), minlength=BINS).astype(float)
 
 
+def _fold(key: str, folds: int, held: int):
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % folds == held, F.lit(False))
+
+
+def _features(rows: DataFrame, key: str) -> DataFrame:
+    """(key, x) of every row of two columns, written once."""
+
+    def features(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = np.concatenate([raw_features(t.as_py() or "") for t in batch.column(1)])
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, RAW, dtype=np.int32)), pa.array(values))
+        return pa.RecordBatch.from_arrays([batch.column(0), lists], names=[key, "x"])
+
+    return stored(rows.mapInArrow(by_batch(features), f"{key} {dict(rows.dtypes)[key]}, x array<float>"))
+
+
+def _weights(x: DataFrame, labels: DataFrame, key: str, label: str, folds: int, held: int) -> np.ndarray | None:
+    trusted = pick(labels, key, label).filter(~_fold(key, folds, held)).groupBy(key).agg(F.min(label).alias("low")).filter("low = 1")
+    trusted = trusted.select(F.col(key).alias("_key"), (F.xxhash64(key) % 2 == 0).alias("_first"))
+    positives = stored(x.join(trusted, x[key] == trusted["_key"]).select("x", "_first"))
+    square = lambda sums: sums.reshape(WIDTH, WIDTH)
+    every, one, other = (_total(t, _moments) for t in (x, positives.filter("_first"), positives.filter("NOT _first")))
+    if one is None or other is None:
+        return None
+    # the prior comes from positives that its score wasn't fitted to
+    tally = _histogram(PositiveUnlabelled(square(one), square(every)).ratio())
+    prior = estimate_prior(_total(positives.filter("NOT _first"), tally), _total(x, tally))
+    return PositiveUnlabelled(square(one + other), square(every)).fit(prior)
+
+
+def _scores(raw: np.ndarray, weights: np.ndarray | None) -> np.ndarray:
+    return np.full(len(raw), 0.5) if weights is None else np.clip((1 + expand(raw) @ weights) / 2, 0, 1)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 3, held: int = 1) -> DataFrame:
     """Score, prediction and fold of every document.
 
@@ -192,29 +225,24 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", t
     join on the key, which splits if a key repeats.
     """
     rows = pick(docs, key, text)
-    kind = dict(rows.dtypes)[key]
+    x = _features(rows, key)
+    weights = _weights(x, labels, key, label, folds, held)
 
-    def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = np.concatenate([raw_features(t.as_py() or "") for t in batch.column(1)])
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, RAW, dtype=np.int32)), pa.array(values))
-        return pa.RecordBatch.from_arrays([batch.column(0), lists], names=[key, "x"])
+    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(_matrix(batch.column(1)), weights))], names=[key, "score"])
 
-    fold = lambda k: F.coalesce(F.crc32(F.col(k).cast("string")) % folds == held, F.lit(False))
-    x = stored(rows.mapInArrow(by_batch(features), f"{key} {kind}, x array<float>"))
-    trusted = pick(labels, key, label).filter(~fold(key)).groupBy(key).agg(F.min(label).alias("low")).filter("low = 1").select(key)
-    trusted = trusted.select(F.col(key).alias("_key"), (F.xxhash64(key) % 2 == 0).alias("_first"))
-    positives = stored(x.join(trusted, x[key] == trusted["_key"]).select("x", "_first"))
-    square = lambda sums: sums.reshape(WIDTH, WIDTH)
-    every, one, other = (_total(t, _moments) for t in (x, positives.filter("_first"), positives.filter("NOT _first")))
-    weights = None
-    if one is not None and other is not None:  # the prior comes from positives that its score wasn't fitted to
-        tally = _histogram(PositiveUnlabelled(square(one), square(every)).ratio())
-        prior = estimate_prior(_total(positives.filter("NOT _first"), tally), _total(x, tally))
-        weights = PositiveUnlabelled(square(one + other), square(every)).fit(prior)
+    scored = x.mapInArrow(by_batch(score), f"{key} {dict(rows.dtypes)[key]}, score double")
+    return scored.select(key, _fold(key, folds, held).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = np.full(batch.num_rows, 0.5) if weights is None else np.clip((1 + expand(_matrix(batch.column(1))) @ weights) / 2, 0, 1)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(own)], names=[key, "score"])
 
-    scored = x.mapInArrow(by_batch(score), f"{key} {kind}, score double")
-    return scored.select(key, fold(key).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+def keep_quality(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 3, held: int = 1) -> DataFrame:
+    """The documents, with all columns, that :func:`quality_scores` predicts 1 for.
+
+    Texts are scored where they lie, in a second pass, so they are never shuffled.
+    """
+    weights = _weights(_features(pick(docs, key, text), key), labels, key, label, folds, held)
+
+    def keep(texts: pa.Array) -> list[bool]:
+        return (_scores(np.array([raw_features(t.as_py() or "") for t in texts]), weights) >= 0.5).tolist()
+
+    return keep_rows(docs, text, keep)

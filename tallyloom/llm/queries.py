@@ -15,6 +15,7 @@ from tallyloom.llm.main_text import extract_pages
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.quality_classifier import quality_scores
 from tallyloom.llm.quality_rules import quality_rules
+from tallyloom.llm.span_dedup import span_digest
 from tallyloom.llm.token_counts import token_counts
 from tallyloom.llm.url_filters import Rule, judge_urls
 
@@ -26,6 +27,10 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return span_digest(table(spark, folder, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -59,7 +64,19 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_html_extraction, op5_best_fit_packing, op6_url_filters, op7_jaccard_join, op8_token_counts, op9_license_scans, op10_quality_rules)
+    f.__name__: f
+    for f in (
+        op1_quality_classifier,
+        op2_suffix_array_dedup,
+        op3_benchmark_decontamination,
+        op4_html_extraction,
+        op5_best_fit_packing,
+        op6_url_filters,
+        op7_jaccard_join,
+        op8_token_counts,
+        op9_license_scans,
+        op10_quality_rules,
+    )
 }
 
 ORACLES: dict[str, str] = {
