@@ -71,9 +71,9 @@ class _Page(HTMLParser):
                 self.held.append(" ")
             return
         if tag in ENDS_P:
-            self.close("p", stop=("td", "th", "li", "blockquote", "div", "article", "section", "main"))
+            self.end("p", stop=("td", "th", "li", "blockquote", "div", "article", "section", "main"))
         if tag in ("li", "dt", "dd", "tr", "td", "th"):
-            self.close(tag, stop=("ul", "ol", "dl", "table"))
+            self.end(tag, stop=("ul", "ol", "dl", "table"))
         if tag in BLOCKS:
             self.flush()
         if self.is_dropped(tag, attrs):
@@ -113,16 +113,16 @@ class _Page(HTMLParser):
                 self.lost.pop()
             elif tag in ("body", "html") or tag in ("article", "main") and self.lost[0] not in ("article", "main") and any(n.tag == tag for n in self.stack):
                 self.lost.clear()  # the dropped element was never closed
-                self.close(tag)
+                self.end(tag)
             return
         if tag == "br":
             self.held.append(" ")
             return
         if tag in BLOCKS:
             self.flush()
-        self.close(tag, stop=() if tag in BLOCKS else tuple(PARAGRAPHS))
+        self.end(tag, stop=() if tag in BLOCKS else tuple(PARAGRAPHS))
 
-    def close(self, tag: str, stop: tuple[str, ...] = ()) -> None:
+    def end(self, tag: str, stop: tuple[str, ...] = ()) -> None:
         """Ends the innermost open ``tag``, with all that is open in it, unless a ``stop`` lies between."""
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
@@ -131,7 +131,8 @@ class _Page(HTMLParser):
                 return
         else:
             return
-        self.flush()
+        if any(node.is_block for node in self.stack[i:]):
+            self.flush()
         for node in self.stack[i:]:
             node.last = len(self.blocks)
             self.links -= node.tag == "a"
@@ -164,9 +165,7 @@ class _Page(HTMLParser):
             node = node.parent
 
     def finish(self) -> None:
-        self.close_all()
-
-    def close_all(self) -> None:
+        self.close()
         self.flush()
         for node in self.stack:
             node.last = len(self.blocks)
@@ -176,7 +175,6 @@ def main_text(html: str) -> str:
     """The text of the best container and of the siblings that read like it; empty if there is none."""
     page = _Page()
     page.feed(html)
-    page.close_parser() if hasattr(page, "close_parser") else HTMLParser.close(page)
     page.finish()
     containers = [n for n in page.nodes if n.is_block and n.tag not in PARAGRAPHS and n.last > n.first]
     if not containers:
