@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,8 +153,8 @@ def overlap_regions(
     people = entity_flags(df, entity, flags, unique)
     region = F.concat(*[F.col(f).cast("string") for f in flags]).alias("region")
     counts = people.groupBy(region).agg(F.count(F.lit(1)).alias("n"))
-    codes = [("".join(bits),) for bits in product("01", repeat=len(flags)) if "1" in bits]
-    regions = fixed_table(df.sparkSession, codes, "region string")
+    code = F.lpad(F.bin("id"), len(flags), "0")
+    regions = df.sparkSession.range(1, 1 << len(flags)).select(code.alias("region"))
     n = F.coalesce("n", F.lit(0)).cast("bigint")
     return regions.join(counts, "region", "left").select("region", n.alias("n"), suppressed_count(n, min_cell).alias("n_label"))
 

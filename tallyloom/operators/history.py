@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import round_half_even
-from .quantiles import HOT_ROWS
 from .shares import share
 from .stats import describe_by
 
@@ -96,12 +95,12 @@ def _elapsed_days(kind: str) -> Column:
     return F.date_diff(end, start) - F.when(earlier_in_day, 1).otherwise(0)
 
 
-def years_stats(years: DataFrame, domain: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def years_stats(years: DataFrame, domain: str) -> DataFrame:
     """Entities and years per domain: mean, median, min, max, standard deviation, two decimals.
 
     ``years`` has one row per entity and domain, so rows are entities.
     """
-    stats = describe_by(years, [domain], "years", (0.5,), hot_rows=hot_rows)
+    stats = describe_by(years, [domain], "years", (0.5,))
     rounded = {"mean": "mean", "q50": "median", "min": "min", "max": "max", "sd": "std"}
     return stats.select(domain, "n", *[round_half_even(F.col(c), 2).alias(name) for c, name in rounded.items()])
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import recode
 from ..runtime import materialise
-from .quantiles import HOT_ROWS
 from .stats import describe_by
 
 QC_PROBS = (0.01, 0.25, 0.5, 0.75, 0.99)
@@ -115,10 +114,10 @@ def trim(
     return kept.join(limits, key, "left").filter(inside).select(*df.columns)
 
 
-def unit_distribution(df: DataFrame, keys: Sequence[str], value: str, entity: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def unit_distribution(df: DataFrame, keys: Sequence[str], value: str, entity: str) -> DataFrame:
     """Statistics per unit, and the entities behind them."""
     df = materialise(df.select(*keys, value, entity))
-    stats = describe_by(df, keys, value, (0.25, 0.5, 0.75), hot_rows=hot_rows)
+    stats = describe_by(df, keys, value, (0.25, 0.5, 0.75))
     people = df.groupBy(*keys).agg(F.count_distinct(entity).alias("n_pids"))
     return stats.join(people, list(keys))
 
@@ -130,6 +129,6 @@ def value_presence(df: DataFrame, entity: str, keys: Sequence[str], value: str)
     return known.groupBy(*keys, state.alias("value_state")).agg(F.count_distinct(entity).alias("n_pids"))
 
 
-def value_quality(df: DataFrame, keys: Sequence[str], value: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def value_quality(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Statistics over the distinct values of every key combination."""
-    return describe_by(df, keys, value, QC_PROBS, distinct=True, hot_rows=hot_rows)
+    return describe_by(df, keys, value, QC_PROBS, distinct=True)

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..runtime import materialise
 from .shares import share
 
-TOP_N = 100_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -48,16 +47,18 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "posit
     )
 
 
-def first_rows(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:
-    """The first ``n`` rows of a total order.
+def first_rows(df: DataFrame, n: int, order: Sequence[Column | str], descending: int = 0) -> DataFrame:
+    """The first ``n`` rows of a total order, of which the first ``descending`` columns run downwards.
 
-    A top-n keeps n rows per task and merges them in one; more than ``TOP_N`` are cut off a global
-    order instead, which stays distributed.
+    Only the order columns are ranked and written; the rows meet the ones in front by them. The
+    plan is the same for every ``n``, and no task merges the candidates of all others.
     """
-    if n <= TOP_N:
-        return df.orderBy(*order).limit(n)
-    ranked = global_rank(df, order, "_position")
-    return ranked.filter(F.col("_position") <= n).drop("_position")
+    named = {f"_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)}
+    keyed = df.withColumns(named)
+    sort = [F.desc(name) if i < descending else F.asc(name) for i, name in enumerate(named)]
+    front = global_rank(keyed.select(*named), sort, "_position").filter(F.col("_position") <= n).select(*[F.col(c).alias(f"{c}_") for c in named])
+    same = [keyed[c].eqNullSafe(front[f"{c}_"]) for c in named]
+    return keyed.join(front, same, "left_semi").drop(*named)
 
 
 def next_batch(
@@ -67,7 +68,7 @@ def next_batch(
     pool = samples.select(*columns).distinct() if columns else samples.distinct()
     if exclude is not None:
         pool = pool.join(exclude.select(key), key, "left_anti")
-    return first_rows(pool, n, [F.desc(newest), F.col(key)])
+    return first_rows(pool, n, [newest, key], descending=1)
 
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int, order: Column | None = None) -> DataFrame:
@@ -81,9 +82,9 @@ def allocate_plates(df: DataFrame, wells: int, order: Sequence[Column | str], na
     return ranked.withColumn(name, F.ceil(F.col("_position") / wells).cast("int")).drop("_position")
 
 
-def shuffle_plates(df: DataFrame, wells: int, key: str, seed: int, name: str = "plate") -> DataFrame:
-    """Fill plates in random order."""
-    return allocate_plates(df, wells, [seeded_order(key, seed), key], name)
+def shuffle_plates(df: DataFrame, wells: int, key: str, seed: int, name: str = "plate", order: Column | None = None) -> DataFrame:
+    """Fill plates in random order; ``order`` replaces the seeded one."""
+    return allocate_plates(df, wells, [seeded_order(key, seed) if order is None else order, key], name)
 
 
 def allocate_controls(
@@ -101,6 +102,7 @@ def allocate_controls(
     ``match`` keeps controls whose value of a column occurs in a batch. Normally ``plates // 2``
     controls are drawn and each goes on two plates: up the list by id, then down again, so plate
     numbers run from 1 to twice the number drawn. With ``twice=False`` every plate has its own.
+    Too few controls for the plates are an error.
     """
     pool = controls.select(*columns).distinct() if columns else controls.distinct()
     if exclude is not None:
@@ -108,12 +110,14 @@ def allocate_controls(
     if match is not None:
         batch, column = match
         pool = pool.join(batch.select(column).distinct(), column, "left_semi")
-    drawn = first_rows(pool, plates // 2 if twice else plates, [order, F.col(key)])
-    ranked = global_rank(drawn, [key], "_up")
+    needed = plates // 2 if twice else plates
+    ranked = global_rank(first_rows(pool, needed, [order, F.col(key)]), [key], "_up")
+    drawn = ranked.count()
+    if drawn < needed:
+        raise ValueError(f"{needed} controls are needed for {plates} plates, there are {drawn}")
     if not twice:
         return ranked.withColumn("plate", F.col("_up").cast("int")).drop("_up")
-    drawn_count = ranked.agg(F.count(F.lit(1))).scalar()
-    both = F.array(F.col("_up").cast("int"), (2 * drawn_count - F.col("_up") + 1).cast("int"))
+    both = F.array(F.col("_up").cast("int"), (2 * drawn - F.col("_up") + 1).cast("int"))
     return ranked.withColumn("plate", F.explode(both)).drop("_up")
 
 

@@ -1,11 +1,10 @@
-"""Exact quantiles that never gather a large group in one task.
-
-``percentile`` keeps every distinct value of a group in the memory of one task. That is right for
-the many small groups and wrong for a group that holds a third of all rows. Groups are therefore
-counted first. Groups of up to ``hot_rows`` rows use the built-in aggregate. Each larger group is
-split: a sketch gives, per quantile, a bracket of values sure to contain it; rows outside the
-brackets are only counted (partial aggregation, no shuffle of rows), and only the values inside are
-ranked. The result is the exact linear-interpolation quantile either way.
+"""Exact quantiles that never gather a group in one task.
+
+Rows are first reduced to one row per group and value, with map-side combine. These are sorted by a
+range partitioning, so a group of any size may reach over many partitions. Running counts within
+each partition, plus the counts of the group's earlier partitions from a short table, give every
+value its range of ranks; the values at the two ranks around a quantile are picked by an
+aggregation. There is one plan for all group sizes, and the result is the exact linear-interpolation quantile.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..runtime import materialise
 
-HOT_ROWS = 200_000
 MOMENTS = ("n", "mean", "min", "max", "sd")
 
 
@@ -39,94 +37,41 @@ def _moments() -> list[Column]:
     ]
 
 
-def describe_values(
-    rows: DataFrame, keys: Sequence[str], probs: Sequence[float], distinct_values: bool = False, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """``keys``, n, mean, min, max, sd and the array ``q`` (and n_distinct) of the ``_v`` column.
-
-    Broadcast bound of the hot-group table: it has fewer than rows / ``hot_rows`` entries, and it is
-    read from files, so Catalyst checks its size before it broadcasts it.
-    """
+def describe_values(rows: DataFrame, keys: Sequence[str], probs: Sequence[float], distinct_values: bool = False) -> DataFrame:
+    """``keys``, n, mean, min, max, sd and the array ``q`` (and n_distinct) of the ``_v`` column."""
     keys = list(keys)
-    if not keys:
-        n = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-        return _split(rows, keys, probs, distinct_values, hot_rows) if n > hot_rows else _grouped(rows, keys, probs, distinct_values)
-    hot = materialise(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys))
-    if hot.isEmpty():
-        return _grouped(rows, keys, probs, distinct_values)
-    small = _grouped(rows.join(hot, keys, "left_anti"), keys, probs, distinct_values)
-    large = _split(rows.join(hot, keys, "left_semi"), keys, probs, distinct_values, hot_rows)
-    return small.unionByName(large)
-
-
-def _grouped(rows: DataFrame, keys: list[str], probs: Sequence[float], distinct_values: bool) -> DataFrame:
-    extra = [F.size(F.collect_set("_v")).cast("bigint").alias("n_distinct")] if distinct_values else []
-    q = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q")
-    return rows.groupBy(*keys).agg(*_moments(), q, *extra)
-
-
-def _split(rows: DataFrame, keys: list[str], probs: Sequence[float], distinct_values: bool, hot_rows: int) -> DataFrame:
-    # Every group has more than hot_rows rows, so a margin of 3 / hot_rows is at least three ranks;
-    # the sketch may miss its rank by a quarter of the margin and the bracket still holds.
-    margin = max(1e-4, 3.0 / hot_rows)
-    accuracy = int(4 / margin) + 1
-    k = len(probs)
-    points = [min(max(p + side * margin, 0.0), 1.0) for side in (-1, 1) for p in probs]
-    sketch = F.percentile_approx("_v", points, accuracy).alias("_ends")
-    ends = [
-        *[(F.lit(float("-inf")) if p - margin <= 0 else F.col("_ends")[i]).alias(f"_low{i}") for i, p in enumerate(probs)],
-        *[(F.lit(float("inf")) if p + margin >= 1 else F.col("_ends")[k + i]).alias(f"_high{i}") for i, p in enumerate(probs)],
-    ]
-    groups = materialise(rows.groupBy(*keys).agg(*_moments(), sketch).select(*keys, *MOMENTS, *ends))
-    low, high = ([F.col(f"_{side}{i}") for i in range(k)] for side in ("low", "high"))
-    inside = reduce(lambda a, b: a | b, [F.col("_v").between(low[i], high[i]) for i in range(k)])
-    passed = reduce(lambda a, b: a + b, [F.when(high[i] < F.col("_v"), 1).otherwise(0) for i in range(k)])
-
-    bounds = groups.select(*keys, *low, *high)
-    placed = _join(rows, bounds, keys).select(
-        *keys, "_v", inside.alias("_in"), (passed * 2 + inside.cast("int")).alias("_seg")
-    )
-    steps = placed.groupBy(*keys, "_seg", F.when(F.col("_in"), F.col("_v")).alias("_kept")).agg(
-        F.count(F.lit(1)).alias("_c")
+    groups = rows.groupBy(*keys).agg(*_moments())
+    found = _join(groups, _quantiles(rows, keys, probs), keys)
+    return found.select(*keys, *MOMENTS, "q", *(["n_distinct"] if distinct_values else []))
+
+
+def _quantiles(rows: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    order = [*keys, "_v"]
+    placed = materialise(counts.repartitionByRange(*order).select(*order, "_c", F.spark_partition_id().alias("_part")))
+    # At most one row per group and partition: a group has more than one only if it is larger than a partition.
+    parts = placed.groupBy(*keys, "_part").agg(F.sum("_c").alias("_rows"), F.count(F.lit(1)).alias("_kinds"))
+    whole = Window.partitionBy(*(keys or [F.lit(1)]))
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        *keys, "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"), F.sum("_rows").over(whole).alias("_n"), F.sum("_kinds").over(whole).alias("n_distinct")
     )
-    steps = materialise(steps)
-
-    # Segments alternate between gaps and brackets in value order: 2 * len(probs) + 1 at most.
-    before = Window.partitionBy(*(keys or [F.lit(1)])).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    segments = steps.groupBy(*keys, "_seg").agg(F.sum("_c").alias("_c")).select(
-        *keys, "_seg", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_offset")
-    )
-    within = Window.partitionBy(*keys, "_seg").orderBy("_kept").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        steps.filter(F.col("_kept").isNotNull())
-        .withColumn("_upto", F.sum("_c").over(within))
-        .join(segments, [*keys, "_seg"])
-    )
-    ranked = _join(ranked, groups.select(*keys, "n"), keys)
-    first = F.col("_offset") + F.col("_upto") - F.col("_c")
-    last = F.col("_offset") + F.col("_upto") - 1
+    upto = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.withColumn("_upto", F.sum("_c").over(upto)).join(offsets, [*keys, "_part"])
+    first, last = F.col("_offset") + F.col("_upto") - F.col("_c"), F.col("_offset") + F.col("_upto") - 1
 
     def at(rank: Column) -> Column:
-        return F.max(F.when(F.floor(rank).between(first, last), F.col("_kept")))
+        return F.max(F.when(F.floor(rank).between(first, last), F.col("_v")))
 
-    picks = []
-    for i, p in enumerate(probs):
-        rank = (F.col("n") - 1) * F.lit(float(p))
-        picks += [at(rank).alias(f"_a{i}"), at(F.ceil(rank)).alias(f"_b{i}")]
-    found = ranked.groupBy(*keys).agg(*picks)
+    ranks = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
+    picks = [pick for i, r in enumerate(ranks) for pick in (at(r).alias(f"_a{i}"), at(F.ceil(r)).alias(f"_b{i}"))]
+    found = ranked.groupBy(*keys).agg(*picks, F.max("_n").alias("_n"), F.max("n_distinct").alias("n_distinct"))
 
-    def between(i: int, p: float) -> Column:
-        rank = (F.col("n") - 1) * F.lit(float(p))
+    def between(i: int) -> Column:
         a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
-        value = F.when(a == b, a).otherwise((F.ceil(rank) - rank) * a + (rank - F.floor(rank)) * b)
-        return F.coalesce(value, F.raise_error(F.lit("a quantile fell outside its bracket")).cast("double"))
+        return F.when(a == b, a).otherwise((F.ceil(ranks[i]) - ranks[i]) * a + (ranks[i] - F.floor(ranks[i])) * b)
 
-    result = _join(groups.select(*keys, *MOMENTS), found, keys).select(
-        *keys, *MOMENTS, F.array(*[between(i, p) for i, p in enumerate(probs)]).alias("q")
-    )
-    if distinct_values:
-        result = _join(result, rows.groupBy(*keys).agg(F.count_distinct("_v").alias("n_distinct")), keys)
-    return result
+    return found.select(*keys, F.array(*[between(i) for i in range(len(probs))]).alias("q"), "n_distinct")
 
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import number_text
 from ..runtime import materialise
-from .quantiles import HOT_ROWS, describe_values, values_of
+from .quantiles import describe_values, values_of
 
 REPORT_PROBS = (0.01, 0.02, 0.25, 0.5, 0.75, 0.98, 0.99)
 
@@ -25,18 +25,17 @@ def describe_by(
     quantiles: Sequence[float] = REPORT_PROBS,
     distinct: bool = False,
     exact: bool = True,
-    hot_rows: int = HOT_ROWS,
     pin: bool = False,
 ) -> DataFrame:
     """n, mean, min, max, sd and quantiles per group; ``keys=[]`` describes the whole column.
 
     ``distinct`` describes the distinct values instead. ``exact=False`` takes the quantiles from a
     sketch in the same single pass. ``pin`` writes the key and value columns out first: exact
-    quantiles read their input two or three times, which a joined input should not be made to.
+    quantiles read their input twice, which a joined input should not be made to.
     """
     rows = _input(df, keys, value, distinct, pin and exact)
     if exact:
-        described = describe_values(rows, keys, quantiles, hot_rows=hot_rows)
+        described = describe_values(rows, keys, quantiles)
     else:
         described = rows.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"), F.min("_v").alias("min"), F.max("_v").alias("max"),
@@ -54,12 +53,12 @@ def _input(df: DataFrame, keys: Sequence[str], value: str, distinct: bool, pin:
 
 
 def box_stats(
-    df: DataFrame, keys: Sequence[str], value: str, distinct: bool = False, hot_rows: int = HOT_ROWS, pin: bool = False
+    df: DataFrame, keys: Sequence[str], value: str, distinct: bool = False, pin: bool = False
 ) -> DataFrame:
     """Quartiles, mean, and the outermost values within 1.5 times the quartile range."""
     rows = _input(df, keys, value, distinct, pin)
     quartiles = materialise(
-        describe_values(rows, keys, (0.25, 0.5, 0.75), hot_rows=hot_rows).select(
+        describe_values(rows, keys, (0.25, 0.5, 0.75)).select(
             *keys, "n", "mean", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
         )
     )
@@ -154,17 +153,23 @@ def latest(df: DataFrame, entity: str, ts: str, columns: Sequence[str], ties: st
 
     ``first``: one row, of several at the same time the largest. ``all``: every value at that time,
     ordered, joined by ', '. The newest time comes from a map-side combined maximum, and rows meet it
-    by (entity, time), so an entity with very many rows is spread over its times and only the values
-    that end up in the text are gathered.
+    by (entity, time), so an entity with very many rows is spread over its times. Equal values are
+    counted before they are gathered, so a reading that repeats is one entry until the text is made.
     """
     present = df.filter(F.col(entity).isNotNull() & F.col(ts).isNotNull())
     if ties == "first":
+        largest, *others = columns
+        if not others:  # both steps keep fixed-width buffers, so neither sorts the rows
+            by_time = present.groupBy(entity, ts).agg(F.max(largest).alias(largest))
+            return by_time.groupBy(entity).agg(F.max_by(largest, ts).alias(largest))
         newest = F.max(F.struct(ts, *columns)).alias("_newest")
         return present.groupBy(entity).agg(newest).select(entity, *[F.col(f"_newest.{c}").alias(c) for c in columns])
     newest_time = present.groupBy(entity).agg(F.max(ts).alias(ts))
     newest = (
         present.select(entity, ts, *columns).join(newest_time, [entity, ts])
-        .groupBy(entity).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("_values"))
+        .groupBy(entity, *columns).agg(F.count(F.lit(1)).cast("int").alias("_times"))
+        .groupBy(entity).agg(F.array_sort(F.collect_list(F.struct(*columns, "_times"))).alias("_kinds"))
+        .withColumn("_values", F.flatten(F.transform("_kinds", lambda kind: F.array_repeat(kind, kind["_times"]))))
     )
     types = dict(df.dtypes)
 
@@ -189,7 +194,6 @@ def entity_summary(
     ts: str,
     unit: str,
     quantiles: Sequence[float] = REPORT_PROBS,
-    hot_rows: int = HOT_ROWS,
     pin: bool = False,
 ) -> DataFrame:
     """Per entity: statistics, all values and units at the newest time, number of distinct values.
@@ -198,7 +202,7 @@ def entity_summary(
     """
     df = materialise(df.select(entity, value, ts, unit)) if pin else df
     rows = values_of(df, [entity], value)
-    described = describe_values(rows, [entity], quantiles, distinct_values=True, hot_rows=hot_rows)
+    described = describe_values(rows, [entity], quantiles, distinct_values=True)
     named = [F.col("q")[i].alias(quantile_name(p)) for i, p in enumerate(quantiles)]
     newest = latest(df, entity, ts, [value, unit], ties="all").select(
         entity, F.col(value).alias("latest_value"), F.col(unit).alias("latest_value_unit")
@@ -210,11 +214,11 @@ def entity_summary(
 
 
 def entity_range(
-    df: DataFrame, entity: str, value: str, ts: str, unit: str, hot_rows: int = HOT_ROWS, pin: bool = False
+    df: DataFrame, entity: str, value: str, ts: str, unit: str, pin: bool = False
 ) -> DataFrame:
     """Per entity: min, median, max, mean, count, list of units, one newest value."""
     df = materialise(df.select(entity, value, ts, unit)) if pin else df
-    described = describe_values(values_of(df, [entity], value), [entity], (0.5,), hot_rows=hot_rows)
+    described = describe_values(values_of(df, [entity], value), [entity], (0.5,))
     stats = described.select(entity, "min", F.col("q")[0].alias("median"), "max", "mean", F.col("n").alias("count"))
     units = distinct_list(df, entity, unit, "units")
     newest = latest(df, entity, ts, [value]).select(entity, F.col(value).alias("latest"))

@@ -270,8 +270,13 @@ def _years(t) -> DataFrame:
 @query
 def cumulative_entities(t):
     size = t["customer"].agg(F.count_distinct("c_custkey"))
-    series = history.cumulative_entities(_years(t), "person_id", "domain", "year", size, "Any")
-    return series.filter(F.col("year").between(1996, 2001))
+    return history.cumulative_entities(_years(t), "person_id", "domain", "year", size, "Any")
+
+
+@query
+def cumulative_entities_shown(t):
+    """The years of the series that a chart shows; their sums still count all years before."""
+    return cumulative_entities(t).filter(F.col("year").between(1996, 2001))
 
 
 @query
@@ -396,8 +401,8 @@ def case_control_by_one(t):
 @query
 def case_control_by_two(t):
     return strata.case_control_counts(
-        t["labels"], "doc_id", ["quality", "toxic"], _document_attributes(t), [["lang"], ["source"], ["lang", "source"]]
-    ).filter(F.col("stratum") == "lang x source")
+        t["labels"], "doc_id", ["quality", "toxic"], _document_attributes(t), [["lang", "source"]]
+    )
 
 
 @query
@@ -448,14 +453,23 @@ def global_statistics(t):
 
 @query
 def hot_group_statistics(t):
-    """The same numbers by the plan for groups too large for one task's memory, for all groups."""
-    return rounded(stats.describe_by(t["lineitem"], ["l_returnflag"], "l_extendedprice", hot_rows=1_000))
+    """Groups of which each holds a large share of all rows."""
+    return rounded(stats.describe_by(t["lineitem"], ["l_returnflag"], "l_extendedprice"))
 
 
 @query
 def approximate_statistics(t):
-    sketched = stats.describe_by(t["lineitem"], ["l_returnflag"], "l_extendedprice", exact=False)
-    return rounded(sketched.select("l_returnflag", "n", "mean", "min", "max", "sd"))
+    """Sketched quantiles, checked by the share of rows below and up to them."""
+    flag, price = "l_returnflag", "l_extendedprice"
+    sketched = stats.describe_by(t["lineitem"], [flag], price, exact=False)
+    names = [stats.quantile_name(p) for p in stats.REPORT_PROBS]
+    rows = t["lineitem"].select(flag, price).join(sketched.select(flag, *names), flag)
+    part = lambda condition: F.sum(condition.cast("int")) / F.count(price)
+    near = [
+        ((part(F.col(price) < F.col(name)) <= p + 0.001) & (part(F.col(price) <= F.col(name)) >= p - 0.001)).alias(f"{name}_in_rank")
+        for p, name in zip(stats.REPORT_PROBS, names, strict=True)
+    ]
+    return rounded(sketched.select(flag, "n", "mean", "min", "max", "sd").join(rows.groupBy(flag).agg(*near), flag))
 
 
 @query
@@ -504,6 +518,7 @@ def _measured(t) -> DataFrame:
     unit = F.when(F.col("l_returnflag") == "A", "mg/dl").when(F.col("l_linestatus") == "O", "no value").otherwise("Percent")
     return typed_lines(t).select(
         "person_id", "concept", "site", "l_shipdate", F.col("l_linestatus").alias("operator"),
+        F.concat_ws("-", "concept", "l_returnflag").alias("source_concept"),
         F.when(F.col("l_linenumber") < 7, F.col("l_extendedprice")).alias("value"),
         F.when(F.col("l_quantity") > 1, F.col("l_linenumber")).alias("unit_id"),
         unit.alias("unit"),
@@ -512,7 +527,7 @@ def _measured(t) -> DataFrame:
 
 @query
 def measure_qc_presence(t):
-    return measures.value_presence(_measured(t), "person_id", ["concept", "unit", "operator"], "value")
+    return measures.value_presence(_measured(t), "person_id", ["source_concept", "concept", "unit", "operator"], "value")
 
 
 @query
@@ -661,12 +676,12 @@ def allocate_plates(t):
 @query
 def shuffle_plates(t):
     rows = _samples(t).select("sample_id", "state")
-    return plates.shuffle_plates(rows, 94, "sample_id", seed=11).groupBy("plate").agg(F.count(F.lit(1)).alias("n"))
+    return plates.shuffle_plates(rows, 94, "sample_id", seed=11, order=_modular("sample_id"))
 
 
 @query
 def seeded_sample(t):
-    return plates.seeded_sample(_samples(t).select("sample_id", "state"), 250, "sample_id", seed=7)
+    return plates.seeded_sample(_samples(t).select("sample_id", "state"), 250, "sample_id", seed=7, order=_modular("sample_id"))
 
 
 def _controls(t, batch: DataFrame) -> DataFrame:
@@ -864,6 +879,17 @@ def flat_file_round_trip(t):
     )
 
 
+@query
+def concept_files(t):
+    """Lines written as one folder of files per ship mode under a stamped name, text with quotes and separators in it, and read back."""
+    note = F.concat(F.lit('a "'), F.col("l_returnflag"), F.lit('", of '), F.col("l_linestatus"))
+    rows = t["lineitem"].select("l_orderkey", F.col("l_quantity").cast("double").alias("quantity"), note.alias("note"), F.col("l_linenumber").alias("concept"))
+    path = files.write_by_concept(rows, files.stamped(f"{shared_folder(t.spark)}/tallyloom/{uuid.uuid4().hex}", "today.time"), "concept")
+    schema = "l_orderkey BIGINT, quantity DOUBLE, note STRING, concept INT"
+    back = files.read_flat(t.spark, path, schema, kind="csv")
+    return back.groupBy("concept", "note").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("total"))
+
+
 # Health-records extracts and reports
 
 
@@ -925,6 +951,25 @@ def record_growth(t):
     return reports.growth_report(domain_tables(t), from_year=1996)
 
 
+@query
+def period_growth(t):
+    """Growth over the periods: years without newcomers stay in the series."""
+    tables = domain_tables(t)
+    return reports.period_growth_report(tables, reports.record_history(tables), from_year=1996)
+
+
+@query
+def overlap_report(t):
+    return reports.overlap_report(survey_tables(t))
+
+
+@query
+def site_domain_report(t):
+    tables = domain_tables(t)
+    size = tables["person"].agg(F.count_distinct("person_id"))
+    return reports.site_report(reports.record_history(tables), size, "domain")
+
+
 @query
 def record_sites(t):
     tables = domain_tables(t)
@@ -937,4 +982,4 @@ def group_history_report(t):
     """Under-represented groups by domain, from answers and records together."""
     tables = domain_tables(t)
     survey = survey_tables(t)
-    return reports.group_history_report(survey, reports.record_history(tables).filter(F.col("domain") != "Visit"))
+    return reports.group_history_report(survey, reports.record_history(tables))

@@ -170,7 +170,7 @@ QUANTILES = ", ".join(
 MOMENTS = "count(v) AS n, round(avg(v), 4) AS mean, round(min(v), 4) AS min, round(max(v), 4) AS max, round(stddev_samp(v), 4) AS sd"
 
 MEASURED = TYPED_LINES + """, me AS (
-  SELECT person_id, concept, site, l_shipdate, l_linestatus AS operator, CASE WHEN l_linenumber < 7 THEN l_extendedprice END AS value,
+  SELECT person_id, concept, site, l_shipdate, l_linestatus AS operator, concept || '-' || l_returnflag AS source_concept, CASE WHEN l_linenumber < 7 THEN l_extendedprice END AS value,
          CASE WHEN l_quantity > 1 THEN l_linenumber END AS unit_id,
          CASE WHEN l_returnflag = 'A' THEN 'mg/dl' WHEN l_linestatus = 'O' THEN 'no value' ELSE 'Percent' END AS unit
   FROM tl)"""
@@ -357,7 +357,8 @@ SELECT "group", sort_ord, n, n / (SELECT count(*) FROM orders) AS ratio FROM u""
     "first_seen_year": """WITH y AS (SELECT o_custkey AS person_id, o_orderpriority AS domain, year(o_orderdate) AS year FROM orders
   UNION ALL SELECT o_custkey, 'Any', year(o_orderdate) FROM orders)
 SELECT person_id, domain, CAST(min(year) AS INTEGER) AS year FROM y GROUP BY ALL""",
-    "cumulative_entities": f"WITH {CUMULATIVE} SELECT * FROM c WHERE year BETWEEN 1996 AND 2001",
+    "cumulative_entities": f"WITH {CUMULATIVE} SELECT * FROM c",
+    "cumulative_entities_shown": f"WITH {CUMULATIVE} SELECT * FROM c WHERE year BETWEEN 1996 AND 2001",
     "year_pivot": f"WITH {CUMULATIVE} SELECT year, " + ", ".join(
         f"coalesce(max(CASE WHEN domain = '{p}' THEN cum_pct END), 0) AS p{i + 1}" for i, p in enumerate(PRIORITY_ORDER)
     ) + " FROM c WHERE domain <> 'Any' GROUP BY year",
@@ -416,7 +417,9 @@ st AS (
     "site_statistics": f"WITH {LINES}, r AS (SELECT site, l_extendedprice AS v FROM l) SELECT site, {MOMENTS}, {QUANTILES} FROM r GROUP BY site",
     "global_statistics": f"WITH r AS (SELECT l_extendedprice AS v FROM lineitem) SELECT {MOMENTS}, {QUANTILES} FROM r",
     "hot_group_statistics": f"WITH r AS (SELECT l_returnflag, l_extendedprice AS v FROM lineitem) SELECT l_returnflag, {MOMENTS}, {QUANTILES} FROM r GROUP BY 1",
-    "approximate_statistics": f"WITH r AS (SELECT l_returnflag, l_extendedprice AS v FROM lineitem) SELECT l_returnflag, {MOMENTS} FROM r GROUP BY 1",
+    "approximate_statistics": f"WITH r AS (SELECT l_returnflag, l_extendedprice AS v FROM lineitem) SELECT l_returnflag, {MOMENTS}, " + ", ".join(
+        f"true AS q{round(p * 100):02d}_in_rank" for p in (0.01, 0.02, 0.25, 0.5, 0.75, 0.98, 0.99)
+    ) + " FROM r GROUP BY 1",
     "box_stats": """WITH q AS (SELECT event_type, count(value) AS n, avg(value) AS mean, quantile_cont(value, 0.25) AS q1,
   quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)
 SELECT event_type, any_value(n) AS n, round(any_value(mean), 4) AS mean, round(any_value(q1), 4) AS q1, round(any_value(median), 4) AS median,
@@ -457,7 +460,7 @@ a AS (SELECT person_id, round(min(l_quantity), 4) AS min, round(quantile_cont(l_
              round(avg(l_quantity), 4) AS mean, count(l_quantity) AS count, string_agg(DISTINCT l_returnflag, ', ' ORDER BY l_returnflag) AS units FROM l GROUP BY 1),
 b AS (SELECT person_id, round(l_quantity, 4) AS latest FROM l QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY l_shipdate DESC, l_quantity DESC) = 1)
 SELECT * FROM a JOIN b USING (person_id)""",
-    "measure_qc_presence": f"""WITH {MEASURED} SELECT concept, unit, operator, CASE WHEN value IS NOT NULL THEN 'has value' ELSE 'no value' END AS value_state,
+    "measure_qc_presence": f"""WITH {MEASURED} SELECT source_concept, concept, unit, operator, CASE WHEN value IS NOT NULL THEN 'has value' ELSE 'no value' END AS value_state,
   count(DISTINCT person_id) AS n_pids FROM me GROUP BY ALL""",
     "measure_qc_values": f"""WITH {MEASURED}, r AS (SELECT DISTINCT concept, unit, value AS v FROM me WHERE value IS NOT NULL)
 SELECT concept, unit, {MOMENTS}, {", ".join(f"round(quantile_cont(v, {p}), 4) AS q{round(p * 100):02d}" for p in (0.01, 0.25, 0.5, 0.75, 0.99))} FROM r GROUP BY ALL""",
@@ -498,8 +501,8 @@ SELECT CAST(100 + c.n AS VARCHAR) AS concept_id, lower(n_name) AS concept_name,
     "next_batch": f"WITH {BATCH} SELECT * FROM batch",
     "allocate_plates": f"""WITH {SAMPLES} SELECT sample_id, state, collected,
   CAST(ceil(row_number() OVER (ORDER BY state, collected, sample_id) / 94) AS INTEGER) AS plate FROM sam""",
-    "shuffle_plates": """SELECT CAST(i + 1 AS INTEGER) AS plate, least(94, (SELECT count(*) FROM orders) - i * 94) AS n
-FROM range(0, CAST((SELECT ceil(count(*) / 94) FROM orders) AS BIGINT)) r(i)""",
+    "shuffle_plates": f"""WITH {SAMPLES} SELECT sample_id, state, CAST(ceil(row_number() OVER (ORDER BY {MODULAR}, sample_id) / 94) AS INTEGER) AS plate FROM sam""",
+    "seeded_sample": f"WITH {SAMPLES} SELECT sample_id, state FROM sam ORDER BY {MODULAR}, sample_id LIMIT 250",
     "control_plates": f"WITH {BATCH}, {NEGATIVES} SELECT * FROM neg",
     "single_control_plates": f"""WITH {SAMPLES},
 used AS (SELECT sample_id FROM sam WHERE negative_control = 'Yes' ORDER BY {MODULAR}, sample_id LIMIT 5),
@@ -561,6 +564,8 @@ SELECT combo, {", ".join(f"coalesce(max(CASE WHEN name = '{n}' THEN cell END), '
   CAST(CASE o_orderpriority WHEN '5-LOW' THEN 1 WHEN '1-URGENT' THEN 2 WHEN '3-MEDIUM' THEN 3 END AS INTEGER) AS sort_ord FROM orders GROUP BY 1""",
     "sql_over_views": """SELECT lower(event_type) AS domain, count(DISTINCT user_id) AS n_pids, CAST(min(year(ts)) AS INTEGER) AS first_year
 FROM events WHERE event_type LIKE 'p%' OR event_type IN ('view', 'click') GROUP BY 1""",
+    "concept_files": """SELECT CAST(l_linenumber AS INTEGER) AS concept, 'a "' || l_returnflag || '", of ' || l_linestatus AS note, count(*) AS n,
+  sum(CAST(l_quantity AS DOUBLE)) AS total FROM lineitem GROUP BY ALL""",
     "flat_file_round_trip": "SELECT c_mktsegment, count(*) AS n, round(max(c_acctbal), 2) AS largest FROM customer GROUP BY 1",
 }
 
@@ -733,13 +738,26 @@ ff AS (SELECT domain, person_id, min(year) AS year FROM two GROUP BY ALL), seen
 new AS (SELECT domain, year, count(person_id) AS n_new FROM seen LEFT JOIN ff USING (domain, year) GROUP BY ALL),
 cum AS (SELECT domain, CAST(year AS INTEGER) AS year, n_new, (sum(n_new) OVER (PARTITION BY domain ORDER BY year))::BIGINT AS cum_n FROM new)
 SELECT *, round_even(cum_n / (SELECT count(*) FROM customer) * 100 * 100, 0) / 100 AS cum_pct FROM cum WHERE year >= 1996""",
+    "period_growth": f"""WITH {RECORD_ROWS}, pv AS (SELECT person_id, domain, year(t0) AS year FROM hist),
+ff AS (SELECT domain, person_id, min(year) AS year FROM pv GROUP BY ALL), seen AS (SELECT DISTINCT domain, year FROM pv),
+new AS (SELECT domain, year, count(person_id) AS n_new FROM seen LEFT JOIN ff USING (domain, year) GROUP BY ALL),
+cum AS (SELECT domain, CAST(year AS INTEGER) AS year, n_new, (sum(n_new) OVER (PARTITION BY domain ORDER BY year))::BIGINT AS cum_n FROM new)
+SELECT *, round_even(cum_n / (SELECT count(*) FROM customer) * 100 * 100, 0) / 100 AS cum_pct FROM cum WHERE year >= 1996""",
+    "overlap_report": f"""WITH {DEMOGRAPHICS},
+b AS (SELECT concat(CASE WHEN "WGS" = 1 OR "Array" = 1 THEN 1 ELSE 0 END, "PPI", "EHR", "Fitbit", "PM") AS region, count(*) AS n FROM ty GROUP BY 1),
+every AS (SELECT lpad(bin(i), 5, '0') AS region FROM range(1, 32) r(i))
+SELECT region, coalesce(n, 0) AS n, CASE WHEN coalesce(n, 0) < 20 THEN '<20' ELSE format('{{:,}}', n) END AS n_label FROM every LEFT JOIN b USING (region)""",
+    "site_domain_report": f"""WITH {RECORD_ROWS}, b AS (SELECT DISTINCT person_id, site AS "row", domain AS col FROM hist),
+k AS (SELECT person_id, "row", col FROM b UNION SELECT person_id, 'TOTAL PIDS', col FROM b),
+x AS (SELECT "row", col, count(*) AS n, count(*) / (SELECT count(*) FROM customer) AS ratio FROM k GROUP BY ALL)
+SELECT *, max(CASE WHEN col = 'Any EHR' THEN n END) OVER (PARTITION BY "row") AS row_total, {SUPPRESSED} AS label FROM x""",
     "record_sites": f"""WITH {RECORD_ROWS}, b AS (SELECT DISTINCT person_id, site AS "row", {SITE_GROUPS} AS col FROM hist),
 k AS (SELECT person_id, "row", col FROM b WHERE col IS NOT NULL UNION SELECT person_id, 'TOTAL PIDS', col FROM b WHERE col IS NOT NULL
       UNION SELECT person_id, "row", 'Any EHR' FROM b UNION SELECT person_id, 'TOTAL PIDS', 'Any EHR' FROM b),
 x AS (SELECT "row", col, count(*) AS n, count(*) / (SELECT count(*) FROM customer) AS ratio FROM k GROUP BY ALL)
 SELECT *, max(CASE WHEN col = 'Any EHR' THEN n END) OVER (PARTITION BY "row") AS row_total, {SUPPRESSED} AS label FROM x""",
     "group_history_report": f"""WITH {UNDER_REPRESENTED}, {RECORD_ROWS},
-dm AS (SELECT person_id, coalesce(domain, 'No Data') AS domain FROM per LEFT JOIN (SELECT DISTINCT person_id, domain FROM hist WHERE domain <> 'Visit') USING (person_id)
+dm AS (SELECT person_id, coalesce(domain, 'No Data') AS domain FROM per LEFT JOIN (SELECT DISTINCT person_id, domain FROM hist) USING (person_id)
        UNION ALL SELECT person_id, 'All Pids' FROM per),
 v AS ({" UNION ALL ".join(f"SELECT person_id, '{n.replace('_', ' ')}' AS diversity_category, CASE ubr_{n} WHEN 'yes' THEN 'UBR' ELSE 'RBR' END AS category FROM ubr" for n in GROUP_NAMES)}),
 c AS (SELECT diversity_category, domain, category, count(*) AS n FROM v JOIN dm USING (person_id) GROUP BY ALL),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from ..functions import count_pct, suppressed_count_pct
 from ..operators.crosstab import by_row_total, cross_tab, domain_cross_tab, entity_matrix, group_cross_tab, side_by_side
 from ..operators.flags import (
     combo_groups, count_by_flag, count_by_flag_combo, flag_counts_by_population, flag_intersections, flag_matrix,
+    overlap_regions,
 )
 from ..operators.history import cumulative_entities, first_seen, periods, years_of_data, years_stats
 from ..operators.shares import fixed_table, position
@@ -119,6 +120,22 @@ def growth_report(tables: Tables, from_year: int = 2010) -> DataFrame:
     return series.filter(F.col("year") >= from_year)
 
 
+def period_growth_report(tables: Tables, history: DataFrame, from_year: int = 2010) -> DataFrame:
+    """Share of persons with periods that began up to each year, per domain; years without newcomers stay."""
+    size = tables["person"].agg(F.count_distinct("person_id"))
+    begun = history.select("person_id", "domain", F.year("start").alias("year"))
+    series = cumulative_entities(begun, "person_id", "domain", "year", size)
+    return series.filter(F.col("year") >= from_year)
+
+
+def overlap_report(tables: Tables, exclude: Sequence[str] = ()) -> DataFrame:
+    """Persons in every exclusive overlap of the data types, small cells masked; genomics is either kind."""
+    people = extracts.data_type_flags(tables)
+    genomics = F.when((F.col("WGS") == 1) | (F.col("Array") == 1), 1).otherwise(0)
+    types = [c for c in ("Genomics", "PPI", "EHR", "Fitbit", "PM") if c not in exclude]
+    return overlap_regions(people.withColumn("Genomics", genomics), "person_id", types)
+
+
 def demographic_history_report(tables: Tables, history: DataFrame, variable: str) -> DataFrame:
     """Persons per category and domain, suppressed, in report order; unlisted categories left out."""
     table = domain_cross_tab(extracts.history_demographics(tables), history, "person_id", variable, "domain")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SEPARATORS = {"csv": ",", "tsv": "\t"}
+#: One set of rules for all readers and writers here: quotes are doubled inside quoted fields.
+QUOTES = {"header": True, "quote": '"', "escape": '"'}
 STAMPS = {"today": "%Y-%m-%d", "today.time": "%Y-%m-%d_%H.%M", "today.time.seconds": "%Y-%m-%d_%H.%M.%S"}
 
 
@@ -34,12 +36,14 @@ def read_flat(
     columns: Sequence[str] | None = None,
     n: int | None = None,
     kind: str | None = None,
+    line_breaks: bool = False,
 ) -> DataFrame:
     """A CSV or TSV file with a header. Give a schema: without one all columns are text.
 
     ``columns`` are matched by the header names and only they are parsed; ``n`` keeps the first rows.
+    Say ``line_breaks`` if fields may hold some; a file is then read by one task, not split.
     """
-    reader = spark.read.option("header", True).option("sep", _separator(path, kind)).option("quote", '"').option("escape", '"')
+    reader = spark.read.options(**QUOTES, sep=_separator(path, kind), multiLine=line_breaks)
     df = (reader.schema(schema) if schema else reader).csv(path)
     if columns:
         df = df.select(*[F.col(f"`{c}`") for c in columns])
@@ -69,7 +73,7 @@ def stamped(path: str, stamp: str = "today", now: datetime | None = None) -> str
 
 def write_flat(df: DataFrame, path: str, mode: str = "error", kind: str | None = None) -> str:
     """Write CSV or TSV with a header, one file per task; nothing is pulled to the driver."""
-    df.write.mode(mode).option("header", True).option("sep", _separator(path, kind)).option("escape", '"').csv(path)
+    df.write.mode(mode).options(**QUOTES, sep=_separator(path, kind)).csv(path)
     return path
 
 
@@ -78,9 +82,12 @@ def write_stamped(df: DataFrame, path: str, stamp: str = "today", kind: str = "c
     return write_flat(df, f"{stamped(path, stamp, now)}.{kind}", kind=kind)
 
 
-def write_by_concept(df: DataFrame, path: str, concept: str, entity: str, parts: int = 8, mode: str = "error") -> str:
-    """One folder per concept in one job. A concept is spread over up to ``parts`` tasks and files, so
-    one that holds much of the data is not written by a single task."""
-    spread = df.repartition(F.col(concept), F.pmod(F.xxhash64(F.col(entity)), F.lit(parts)))
-    spread.write.mode(mode).partitionBy(concept).option("header", True).csv(path)
+def write_by_concept(df: DataFrame, path: str, concept: str, mode: str = "error", rows_per_file: int = 5_000_000, kind: str = "csv") -> str:
+    """One folder per concept in one job, in files of ``rows_per_file`` rows at most.
+
+    Rows are rebalanced by concept: adaptive execution splits a concept that is larger than a
+    partition should be over as many tasks as its size asks for, and merges small ones.
+    """
+    writer = df.hint("rebalance", concept).write.mode(mode).partitionBy(concept).options(**QUOTES, sep=SEPARATORS[kind])
+    writer.option("maxRecordsPerFile", rows_per_file).csv(path)
     return path

@@ -5,9 +5,9 @@ import re
 import pytest
 from compare import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, ORACLES = queries(), oracle_sql()
+from __spark_entry__ import entry
+from tallyloom.plans.catalogue import QUERIES
+from tallyloom.plans.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +21,7 @@ def test_entry(spark):
 
 def test_every_sql_has_its_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"seeded_sample"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

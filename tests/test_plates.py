@@ -82,7 +82,15 @@ def test_share_by_plate(spark):
     assert rows(plates.share_by(df, "p", "state")) == [("x", 2, 50.0), ("y", 1, 25.0)]
 
 
-def test_large_batches_are_cut_off_a_global_order(spark, monkeypatch):
-    top = rows(plates.next_batch(samples(spark), 300, "id", "day"))
-    monkeypatch.setattr(plates, "TOP_N", 10)
-    assert rows(plates.next_batch(samples(spark), 300, "id", "day")) == top
+def test_too_few_controls_are_an_error(spark):
+    pool = spark.range(3).selectExpr("id AS sample_id")
+    with pytest.raises(ValueError, match="5 controls are needed for 10 plates, there are 3"):
+        plates.allocate_controls(pool, 10, "sample_id", F.col("sample_id"))
+
+
+def test_first_rows_with_nulls_and_any_n(spark):
+    df = spark.range(500).selectExpr("id", "CASE WHEN id % 7 > 0 THEN id % 50 END AS day")
+    order = sorted(df.collect(), key=lambda r: (r.day is None, -(r.day or 0), r.id))
+    for n in (0, 1, 60, 499, 600):
+        got = plates.first_rows(df, n, ["day", "id"], descending=1).collect()
+        assert {r.id for r in got} == {r.id for r in order[:n]}

@@ -51,11 +51,19 @@ def test_stamps(spark, tmp_path):
 
 
 def test_one_folder_per_concept(spark, tmp_path):
-    df = spark.range(300).selectExpr("id AS person_id", "CASE WHEN id % 3 = 0 THEN 1 ELSE 2 END AS concept_id", "id * 0.5 AS value")
-    path = files.write_by_concept(df, f"{tmp_path}/measurements", "concept_id", "person_id", parts=3)
-    back = spark.read.option("header", True).schema("person_id BIGINT, value DOUBLE, concept_id INT").csv(path)
+    text = """concat('a "quoted", ', id, ' text')"""
+    df = spark.range(300).selectExpr("id AS person_id", "CASE WHEN id % 3 = 0 THEN 1 ELSE 2 END AS concept_id", "id * 0.5 AS value", f"{text} AS note")
+    path = files.write_by_concept(df, f"{tmp_path}/measurements", "concept_id", rows_per_file=70)
+    back = files.read_flat(spark, path, "person_id BIGINT, value DOUBLE, note STRING, concept_id INT", kind="csv")
     assert back.filter("concept_id = 1").count() == 100 and back.count() == 300
-    assert 1 <= len(list((tmp_path / "measurements" / "concept_id=2").glob("*.csv"))) <= 3
+    assert back.filter(f"note = {text.replace('id', 'person_id')}").count() == 300
+    assert len(list((tmp_path / "measurements" / "concept_id=2").glob("*.csv"))) >= 3
+
+
+def test_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'two\nlines "and" quotes'), (2, "x")], "person_id long, note string")
+    path = files.write_flat(df, f"{tmp_path}/notes.csv")
+    assert rows(files.read_flat(spark, path, "person_id BIGINT, note STRING", line_breaks=True)) == rows(df)
 
 
 def test_sql(spark):
