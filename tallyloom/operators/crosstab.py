@@ -148,20 +148,21 @@ def entity_matrix(
 ) -> DataFrame:
     """Distinct entities per row and column, with a distinct total row and an any-column.
 
-    Totals are counted anew, as entities overlap. Every record is copied to the (row, any) cells it
-    belongs to after de-duplication, and the count spreads a hot row over its entities. A null
-    ``col`` counts towards the any-column only.
+    Totals are counted anew, as entities overlap. Records are reduced to one row per entity with the
+    set of its (row, column) pairs, combined before the one shuffle by entity; each entity then counts
+    once in every cell its pairs touch. A null ``col`` counts towards the any-column only.
     """
-    base = records.select(entity, F.col(row).alias("row"), F.col(col).alias("col")).distinct()
-    rows = [F.col("row"), *([F.lit(total_row)] if total_row else [])]
-    cols = [F.col("col"), *([F.lit(any_col)] if any_col else [])]
-    cells = F.array(*[F.struct(r.alias("row"), c.alias("col")) for r in rows for c in cols])
+    rows = lambda p: [p["row"], *([F.lit(total_row)] if total_row else [])]
+    cols = lambda p: [p["col"], *([F.lit(any_col)] if any_col else [])]
+    cells = lambda p: F.array(*[F.struct(r.alias("row"), c.alias("col")) for r in rows(p) for c in cols(p)])
+    pairs = F.collect_set(F.struct(F.col(row).alias("row"), F.col(col).alias("col"))).alias("_pairs")
+    people = records.filter(F.col(entity).isNotNull()).groupBy(entity).agg(pairs)
     counts = (
-        base.select(entity, F.explode(cells).alias("_cell"))
-        .select(entity, "_cell.row", "_cell.col")
+        people.select(F.explode(F.array_distinct(F.flatten(F.transform("_pairs", cells)))).alias("_cell"))
+        .select("_cell.row", "_cell.col")
         .filter(F.col("row").isNotNull() & F.col("col").isNotNull())
         .groupBy("row", "col")
-        .agg(F.count_distinct(entity).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     size = F.lit(denominator) if isinstance(denominator, int) else denominator.scalar()
     return counts.withColumn("ratio", share(F.col("n"), size))

@@ -266,28 +266,28 @@ def headline_sources(tables: Tables) -> dict[str, DataFrame]:
 
 
 def domain_records(tables: Tables, with_vocabulary: bool = True) -> DataFrame:
-    """Records of all domains from care sites: person, domain, site, vocabulary, start, end.
+    """Records of all domains from care sites, one row per person, domain, site and concept: first start, last end.
 
-    The vocabularies of the concepts in use are looked up once for all domains and written out: the
-    records then meet a table of known, small size instead of being shuffled by concept.
+    Every record table is read and reduced once. The reduced rows are written; their concepts are
+    then looked up in one short table of known size, so no raw record ever meets the concept table.
     """
-    if with_vocabulary:
-        used = [tables[d[1]].select(F.col(d[3]).alias("concept_id")).distinct() for d in fixed.RECORD_DOMAINS]
-        ids = reduce(DataFrame.unionByName, used).distinct()
-        concept = tables["concept"].select("concept_id", F.col("vocabulary_id").alias("vocabulary"))
-        vocabularies = materialise(concept.join(ids, "concept_id", "left_semi"))
+    extra = ["concept_id"] if with_vocabulary else []
 
     def one(label: str, table: str, key: str, concept_id: str, start: str, end: str) -> DataFrame:
         records = with_source(tables, table, key).filter(F.lower("src_id").startswith("ehr site"))
-        if with_vocabulary:
-            records = records.join(vocabularies.withColumnRenamed("concept_id", concept_id), concept_id)
-        extra = ["vocabulary"] if with_vocabulary else []
-        return records.select(
-            "person_id", F.lit(label).alias("domain"), F.col("src_id").alias("site"), *extra,
+        rows = records.select(
+            "person_id", F.lit(label).alias("domain"), F.col("src_id").alias("site"), F.col(concept_id).alias("concept_id"),
             F.col(start).alias("start"), F.col(end).alias("end"),
         )
-
-    return reduce(DataFrame.unionByName, [one(*d) for d in fixed.RECORD_DOMAINS])
+        return rows.groupBy("person_id", "domain", "site", *extra).agg(F.min("start").alias("start"), F.max("end").alias("end"))
+
+    reduced = reduce(DataFrame.unionByName, [one(*d) for d in fixed.RECORD_DOMAINS])
+    if not with_vocabulary:
+        return reduced
+    reduced = materialise(reduced)
+    concept = tables["concept"].select("concept_id", F.col("vocabulary_id").alias("vocabulary"))
+    used = materialise(concept.join(reduced.select("concept_id").distinct(), "concept_id", "left_semi"))
+    return reduced.join(used, "concept_id").select("person_id", "domain", "site", "vocabulary", "start", "end")
 
 
 def data_cutoff(tables: Tables) -> Column:
