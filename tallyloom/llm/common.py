@@ -38,7 +38,17 @@ def stored(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of stored tables that nothing will read again."""
+    for df in tables:
+        session = df.sparkSession
+        place = session._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        place.getFileSystem(session._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

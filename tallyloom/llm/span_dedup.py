@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import by_batch, pick, slices, stored
+from tallyloom.llm.common import by_batch, forget, pick, slices, stored
 from tallyloom.llm.links import groups
 from tallyloom.llm.phrases import SPAN, Parse, contents, first_in_text, parse
 
@@ -156,20 +156,23 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     where = dictionary.filter("n > 1").select("trigger", "content", "at.doc", "at.start")
     once = dictionary.filter("n = 1").select("trigger", "content", "at.doc", "at.start")
     later = parsed.join(where.unionByName(once), ["doc", "start", "trigger", "content"], "left_anti")
-    marks = [later.select("doc", "start", "content", F.lit(0).alias("first"), F.col("spans").alias("n"))]
+    marks = [stored(later.select("doc", "start", "content", F.lit(0).alias("first"), F.col("spans").alias("n")))]
+    forget(shared, parsed)
 
     kinds = dictionary.groupBy("trigger").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     unclear = dictionary.join(kinds, "trigger").select("at.doc", F.struct("at.start", "spans", "trigger", "content", (F.col("kinds") > HOT).alias("hot")).alias("p"))
     wanted = unclear.groupBy("doc").agg(F.collect_list("p").alias("wanted"))
     found = docs.join(wanted, "doc").select("doc", "text", "wanted")
     found = stored(found.mapInArrow(by_batch(_contexts), "doc long, start long, trigger long, content long, hot boolean, bytes binary"))
+    forget(dictionary)
     cold = found.filter("NOT hot").select("doc", "trigger", "start", "content", "bytes")
-    marks.append(cold.repartition("trigger").sortWithinPartitions("trigger").mapInArrow(_suffix_sorted, _MARK))
+    marks.append(stored(cold.repartition("trigger").sortWithinPartitions("trigger").mapInArrow(_suffix_sorted, _MARK)))
     spans = found.filter("hot").mapInArrow(by_batch(_hashed), "span binary, doc long, start long, content long, first int")
     spans = stored(spans)
     earliest = spans.groupBy("span").agg(F.min(F.struct("doc", (F.col("start") + F.col("first")).alias("at"), "start", "content", "first")).alias("e"))
     earliest = earliest.select("e.doc", "e.start", "e.content", "e.first")
-    marks.append(spans.join(earliest, ["doc", "start", "content", "first"], "left_anti").select("doc", "start", "content", "first", F.lit(1).alias("n")))
+    marks.append(stored(spans.join(earliest, ["doc", "start", "content", "first"], "left_anti").select("doc", "start", "content", "first", F.lit(1).alias("n"))))
+    forget(found, spans)
     return marks[0].unionByName(marks[1]).unionByName(marks[2])
 
 
