@@ -23,3 +23,16 @@ def test_intermediate_files_go_to_the_configured_folder(tmp_path, folder):
     assert "ROWS" in done.stdout, done.stderr[-2000:]
     written = list((tmp_path / "tallyloom").iterdir())
     assert len(written) == 2 and all((d / "_SUCCESS").exists() for d in written)
+
+
+def test_intermediates_are_deleted(spark, folder):
+    from pathlib import Path
+
+    from tallyloom.plans.catalogue import QUERIES
+    from tallyloom.runtime import intermediates, shared_folder
+
+    top = Path(shared_folder(spark).removeprefix("file:")) / "tallyloom"
+    before = set(top.iterdir()) if top.exists() else set()
+    with intermediates(spark):
+        assert QUERIES["box_stats"](spark, folder).count() and len(set(top.iterdir()) - before) >= 2
+    assert set(top.iterdir()) == before
