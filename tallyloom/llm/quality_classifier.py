@@ -129,7 +129,7 @@ class PositiveUnlabelled:
         ridge = 1e-3 + 30 / positives[0, 0]
         scale = np.diag(self.a_u).copy()
         scale[0] = 0
-        self.solve = np.linalg.inv(self.a_u + np.diag(ridge * (scale + 1e-6)))
+        self.solve = np.linalg.inv(self.a_u + np.diag(ridge * (scale + 1e-2)))
 
     def ratio(self) -> np.ndarray:
         """Weights whose score is the density of positives over that of all documents."""
