@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.runtime import shared_folder
+from tallyloom.runtime import delete, new_place
 
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -31,7 +30,7 @@ def stored(df: DataFrame) -> DataFrame:
     lost executor is made good from the written table.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tallyloom/{uuid.uuid4().hex}"
+    path = new_place(spark)
     before = spark.conf.get(_CLEAN_UP, None)
     spark.conf.set(_CLEAN_UP, "true")
     try:
@@ -46,9 +45,7 @@ def stored(df: DataFrame) -> DataFrame:
 def forget(*tables: DataFrame) -> None:
     """Delete the files of stored tables that nothing will read again."""
     for df in tables:
-        session = df.sparkSession
-        place = session._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-        place.getFileSystem(session._jsc.hadoopConfiguration()).delete(place, True)
+        delete(df.sparkSession, df.stored_at)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -48,7 +48,7 @@ def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_classes(table(spark, folder, "documents"))
+    return jaccard_classes(table(spark, folder, "documents")).drop("text_hash")
 
 
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,23 +78,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quality_rules,
     )
 }
-
-ORACLES: dict[str, str] = {
-    "op6_url_filters": """
-WITH a AS (
-  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
-), b AS (
-  SELECT page_id, coalesce(rest, '') AS rest, regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1) AS raw FROM a
-), u AS (
-  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(substr(rest, length(raw) + 1), '^([^?#]*)', 1) AS path FROM b
-), r(rule, h, p, v) AS (
-  VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
-         ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')
-), f AS (
-  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(v, length(rule)) AS v
-  FROM u JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id
-)
-SELECT page_id, host, path, f.rule AS rule, coalesce(f.v, 'allow') AS verdict FROM u LEFT JOIN f USING (page_id)
-""",
-}

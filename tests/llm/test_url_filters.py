@@ -9,7 +9,8 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from compare import compare  # noqa: E402
 
-from tallyloom.llm.queries import ORACLES, QUERIES, URL_RULES  # noqa: E402
+from tallyloom.llm.oracles import ORACLES  # noqa: E402
+from tallyloom.llm.queries import QUERIES, URL_RULES  # noqa: E402
 from tallyloom.llm.url_filters import Rule, build_cascade, judge_urls  # noqa: E402
 
 
