@@ -18,20 +18,18 @@ HIGH_VALUE = 490_000
 HIGH_BALANCE = 5_000
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 class ParquetTables(Mapping):
-    """``name`` -> the parquet file of that name; its schema is read from the file once."""
+    """``name`` -> the parquet file of that name; its schema is read once per instance."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self._folder = spark, folder
+        self._schemas: dict[str, StructType] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         path = f"{self._folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     def __iter__(self) -> Iterator[str]:
         return iter(())
