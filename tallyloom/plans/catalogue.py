@@ -970,6 +970,12 @@ def site_domain_report(t):
     return reports.site_report(reports.record_history(tables), size, "domain")
 
 
+@query
+def demographic_history_report(t):
+    """Persons per ethnicity and domain, from answers and records together."""
+    return reports.demographic_history_report(survey_tables(t), reports.record_history(domain_tables(t)), "ethnicity")
+
+
 @query
 def record_sites(t):
     tables = domain_tables(t)

@@ -751,6 +751,15 @@ SELECT region, coalesce(n, 0) AS n, CASE WHEN coalesce(n, 0) < 20 THEN '<20' ELS
 k AS (SELECT person_id, "row", col FROM b UNION SELECT person_id, 'TOTAL PIDS', col FROM b),
 x AS (SELECT "row", col, count(*) AS n, count(*) / (SELECT count(*) FROM customer) AS ratio FROM k GROUP BY ALL)
 SELECT *, max(CASE WHEN col = 'Any EHR' THEN n END) OVER (PARTITION BY "row") AS row_total, {SUPPRESSED} AS label FROM x""",
+    "demographic_history_report": f"""WITH {SURVEY}, {RECORD_ROWS},
+w AS (SELECT person_id, CASE WHEN r_name IN ('ASIA', 'EUROPE') THEN 'Hispanic Or Latino' ELSE 'Not Hispanic Or Latino' END AS category FROM per),
+dm AS (SELECT person_id, category, coalesce(domain, 'No Data') AS domain FROM w LEFT JOIN (SELECT DISTINCT person_id, domain FROM hist) USING (person_id)
+       UNION ALL SELECT person_id, category, 'All Pids' FROM w),
+c AS (SELECT domain, category, count(*) AS n FROM dm GROUP BY ALL),
+a AS (SELECT * FROM c UNION ALL SELECT domain, 'TOTAL', sum(n)::BIGINT FROM c GROUP BY domain)
+SELECT *, {SUPPRESSED} AS label FROM (
+  SELECT domain, category, n, n / (SELECT count(*) FROM customer) AS ratio,
+         CAST(CASE category WHEN 'TOTAL' THEN 7 WHEN 'Hispanic Or Latino' THEN 2 ELSE 1 END AS INTEGER) AS sort_ord FROM a)""",
     "record_sites": f"""WITH {RECORD_ROWS}, b AS (SELECT DISTINCT person_id, site AS "row", {SITE_GROUPS} AS col FROM hist),
 k AS (SELECT person_id, "row", col FROM b WHERE col IS NOT NULL UNION SELECT person_id, 'TOTAL PIDS', col FROM b WHERE col IS NOT NULL
       UNION SELECT person_id, "row", 'Any EHR' FROM b UNION SELECT person_id, 'TOTAL PIDS', 'Any EHR' FROM b),
