@@ -23,6 +23,8 @@ RUNS = 6
 SPLITS, DEPTH = 3, 3
 #: Sets up to which a node is compared by brute force rather than split.
 LIMIT = 128
+#: A node of which one token at the next place holds so large a share is a group of like sets.
+ALIKE = 0.5
 #: Hash functions of a set: all give a byte of its sketch, the first ``TOKENS`` also choose paths.
 HASHES, TOKENS = 192, RUNS + RUNS * SPLITS
 #: Least share of equal sketch bytes of a candidate; ``LEAST`` lies four deviations above.
@@ -116,10 +118,15 @@ def _chosen_paths(sets: DataFrame) -> DataFrame:
             done.append(sized)
             break
         done.append(sized.filter(F.col("n") <= LIMIT))
-        large = sized.filter(F.col("n") > LIMIT).join(sets.select("id", "tokens"), "id")
-        place = F.lit(RUNS) + F.pmod(F.col("run") * SPLITS + F.col("s") + (depth - 1) * 7, F.lit(RUNS * SPLITS))
+        large = stored(sized.filter(F.col("n") > LIMIT).join(sets.select("id", "tokens"), "id"))
+        place = lambda s: F.lit(RUNS) + F.pmod(F.col("run") * SPLITS + s + (depth - 1) * 7, F.lit(RUNS * SPLITS))  # noqa: B023, E731
+        shares = large.groupBy("node", F.get("tokens", place(F.lit(0))).alias("token")).agg(F.count("*").alias("own"))
+        alike = shares.groupBy("node").agg((F.max("own") / F.sum("own")).alias("share")).filter(F.col("share") >= ALIKE).select("node")
+        # splitting like sets parts few of them: they are compared as they are, in blocks
+        done.append(large.join(alike, "node", "left_semi").select(*sized.columns))
+        large = large.join(alike, "node", "left_anti")
         large = large.select("id", "run", "node", "tokens", F.explode(F.sequence(F.lit(0), F.lit(SPLITS - 1))).alias("s"))
-        nodes = large.select("id", "run", F.xxhash64("node", place, F.get("tokens", place)).alias("node"))
+        nodes = large.select("id", "run", F.xxhash64("node", place(F.col("s")), F.get("tokens", place(F.col("s")))).alias("node"))
     return union(done).select("node", "id", "n")
 
 
@@ -193,7 +200,8 @@ def jaccard_classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
 
     Documents with equal sets are one set from the start and are never paired. The others follow
     chosen paths: in each of ``RUNS`` runs a set goes to the node of its token under a random order, nodes over
-    ``LIMIT`` are split again by further sampled tokens, and small nodes are compared by sketch. A pair at
+    ``LIMIT`` are split again by further sampled tokens, and small nodes are compared by sketch, as are nodes of
+    sets so alike that a split would part few of them. A pair at
     the threshold misses a run with a chance of about a fifth and all six with less than 0.0002.
     What hangs together by sketches is then compared exactly, every two sets of a group, in blocks
     where a group is large. Pairs are counted where they are found and never written.
