@@ -317,7 +317,7 @@ def _used_concepts(tables: Tables, rows: DataFrame, columns: Sequence[str]) -> D
     """
     ids = rows.select(F.explode(F.array(*[F.col(c).cast("bigint") for c in columns])).alias("concept_id")).distinct()
     return materialise(
-        tables["concept"].join(ids, "concept_id", "left_semi").select("concept_id", F.lower("concept_name").alias("concept_name"))
+        tables["concept"].join(ids, "concept_id").select("concept_id", F.lower("concept_name").alias("concept_name"))
     )
 
 
