@@ -52,7 +52,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def slices(column: pa.Array, chars: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+def slices(column: pa.Array, chars: int = 500_000) -> Iterator[tuple[int, list[str]]]:
     """The texts of a batch (null: empty) in runs of about ``chars`` characters, with each run's first row.
 
     A text is never cut: one longer than ``chars`` is a run of its own.
@@ -68,13 +68,13 @@ def slices(column: pa.Array, chars: int = 2_000_000) -> Iterator[tuple[int, list
         yield first, run
 
 
-def by_batch(make: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``make`` for every batch that has rows."""
+def by_batch(make: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = 500) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``make`` for runs of ``rows`` rows, so that what it holds and returns stays small whatever a batch holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield make(batch)
+            for at in range(0, batch.num_rows, rows):
+                yield make(batch.slice(at, rows))
 
     return run
 

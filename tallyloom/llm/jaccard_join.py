@@ -35,7 +35,7 @@ _MIX = np.random.RandomState(7).randint(1, 2**63 - 1, (2, HASHES), np.int64).ast
 _PLACE = np.random.RandomState(11).randint(1, 2**63 - 1, SHINGLE, np.int64).astype(np.uint64) | np.uint64(1)
 
 
-@functools.lru_cache(maxsize=500_000)
+@functools.lru_cache(maxsize=100_000)
 def _word_hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 

@@ -18,7 +18,7 @@ from tallyloom.llm.token_counts import Splitter
 #: Items that one best-fit run holds; a partition with more is packed run by run.
 ITEMS = 200_000
 #: Pre-tokens whose ids a worker remembers; beyond it the store starts afresh.
-HELD = 600_000
+HELD = 300_000
 END_ID = 0
 
 _MEMBER = "struct<doc_id: {key}, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint>"

@@ -18,7 +18,7 @@ from tallyloom.llm.phrases import SPAN, Parse, contents, first_in_text, parse
 #: Dictionary phrases with one trigger that are sorted in one task; the spans of more meet by their hash.
 HOT = 2_000
 #: Dictionary phrases whose spans are sorted at once.
-SORTED = 6_000
+SORTED = 3_000
 
 _PHRASE = "doc long, start long, spans int, trigger long, content long"
 _MARK = "doc long, start long, content long, first int, n int"
