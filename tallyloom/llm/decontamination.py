@@ -1,21 +1,17 @@
-"""Benchmark passages in training text: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Benchmark passages in training text: pairs of neighbouring words as seeds, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyloom.llm.common import by_batch, keep_rows, pick
 
-N = 3
-#: Of so many neighbouring n-grams of an item the rarest is a seed, so every stretch of an item has one.
-NEIGHBOURS = 3
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 #: Least alignment score as a share of the item's best possible one.
 LEAST = 0.5
@@ -29,54 +25,67 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Items:
-    """A block of benchmark items, their n-grams and where these stand."""
+    """A block of benchmark items and the places of all their pairs of neighbouring words.
+
+    An alignment that scores ``LEAST`` of an item's n words holds at least n / 3 - 1 such pairs with at
+    most one other word between the two. For say it matches m words, skips or changes d words of the item between
+    these and puts i words between: of its m - 1 - d pairs all but p have two or more words between, so
+    i >= 2 (m - 1 - d - p), and n / 2 <= m - d / 2 - i / 2 gives p >= n / 2 - 1 - d / 2, while
+    d <= n / 3 follows from m + d <= n. In an item of three words the outer two are a pair as well; an item of one word is
+    its own seed.
+    """
 
     def __init__(self, rows: list[tuple[object, list[str]]]):
         self.keys = [k for k, _ in rows]
         self.vocab: dict[str, int] = {}
         self.ids = [np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words], np.int64) for _, words in rows]
         self.size = len(self.vocab) + 1
-        self.places: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        self.lengths = np.array([len(own) for own in self.ids], np.int64)
+        self.least = np.maximum(1, (self.lengths - 1) // 3)
+        seeds, owners, places = [], [], []
         for i, own in enumerate(self.ids):
-            n = min(N, len(own))
-            for at, gram in enumerate(self.grams(own, n).tolist()):
-                self.places[n][gram].append((i, at))
-        self.sorted = {n: np.array(sorted(own)) for n, own in self.places.items()}
-
-    def grams(self, ids: np.ndarray, n: int) -> np.ndarray:
-        """A number for each n-gram; -1 where one of its words is in no item."""
-        if len(ids) < n or not n:
-            return np.empty(0, np.int64)
-        out, known = np.zeros(len(ids) - n + 1, np.int64), np.ones(len(ids) - n + 1, bool)
-        for j in range(n):
-            part = ids[j : len(ids) - n + 1 + j]
-            out, known = out * self.size + part, known & (part >= 0)
-        return np.where(known, out, -1)
+            found = [self.pairs(own, 1), self.pairs(own, 2)[: len(own) == 3]] if len(own) > 1 else [self.single(own)]
+            seeds += found
+            owners.append(np.full(sum(map(len, found)), i))
+            places += [np.arange(len(x)) for x in found]
+        seeds, owners, places = (np.concatenate(x) for x in (seeds, owners, places))
+        order = np.argsort(seeds, kind="stable")
+        self.owners, self.places = owners[order], places[order]
+        self.seeds, first = np.unique(seeds[order], return_index=True)
+        self.first = np.r_[first, len(order)]
+
+    def pairs(self, ids: np.ndarray, apart: int) -> np.ndarray:
+        """A number for every two words so far apart; -1 where one of them is in no item."""
+        left, right = ids[:-apart], ids[apart:]
+        return np.where((left >= 0) & (right >= 0), left * self.size + right, -1)
+
+    def single(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(ids >= 0, self.size * self.size + ids, -1)
 
     def read(self, text: str | None) -> np.ndarray:
         words = words_of(text)
         return np.fromiter(map(self.vocab.get, words, [-1] * len(words)), np.int64, len(words))
 
-    def hits(self, ids: np.ndarray, n: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and numbers of the n-grams of a text that are ``wanted`` (sorted)."""
-        grams = self.grams(ids, n)
-        if not len(grams) or not len(wanted):
-            return np.empty(0, np.int64), grams[:0]
-        at = np.minimum(np.searchsorted(wanted, grams), len(wanted) - 1)
-        found = np.flatnonzero(wanted[at] == grams)
-        return found, grams[found]
-
-    def seeds(self, counts: dict[tuple[int, int], int]) -> dict[int, np.ndarray]:
-        """The rarest of every ``NEIGHBOURS`` neighbouring n-grams of each item, by documents that have it."""
-        chosen: dict[int, set[int]] = defaultdict(set)
-        for own in self.ids:
-            n = min(N, len(own))
-            grams = self.grams(own, n).tolist()
-            rank = [(counts.get((n, g), 0), g) for g in grams]
-            for at in range(max(1, len(grams) - NEIGHBOURS + 1)):
-                if grams:
-                    chosen[n].add(min(rank[at : at + NEIGHBOURS])[1])
-        return {n: np.array(sorted(own)) for n, own in chosen.items()}
+    def near(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Every item with so many seeds in one stretch of a text that a copy may be there, and where it would begin by each."""
+        grams = [self.pairs(ids, 1), self.pairs(ids, 2)] + [self.single(ids)] * bool((self.lengths == 1).any())
+        at = np.concatenate([np.arange(len(x)) for x in grams])
+        grams = np.concatenate(grams)
+        spot = np.minimum(np.searchsorted(self.seeds, grams), len(self.seeds) - 1)
+        found = np.flatnonzero(self.seeds[spot] == grams)
+        spot, at = spot[found], at[found]
+        widths = self.first[spot + 1] - self.first[spot]
+        row = np.arange(widths.sum()) + np.repeat(self.first[spot] - np.cumsum(widths) + widths, widths)
+        items, starts = self.owners[row], np.repeat(at, widths) - self.places[row]
+        order = np.lexsort((starts, items))
+        items, starts = items[order], starts[order]
+        # what one alignment inserts and skips shifts its seeds by no more than the item's length
+        last = np.arange(len(items)) + self.least[items] - 1
+        full = np.flatnonzero(last < len(items))
+        last = last[full]
+        full = full[(items[last] == items[full]) & (starts[last] - starts[full] <= self.lengths[items[full]])]
+        for item in np.unique(items[full]).tolist():
+            yield item, starts[np.searchsorted(items, item) : np.searchsorted(items, item, "right")]
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
@@ -97,15 +106,10 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
     return best, end
 
 
-def passages(items: Items, seeds: dict[int, np.ndarray], ids: np.ndarray) -> Iterator[tuple[int, float, int, int, int]]:
+def passages(items: Items, ids: np.ndarray) -> Iterator[tuple[int, float, int, int, int]]:
     """(item, score, first word, last word, seeds) of the best alignment of every item that a text holds."""
-    near: dict[int, list[int]] = defaultdict(list)
-    for n, wanted in seeds.items():
-        for at, gram in zip(*(x.tolist() for x in items.hits(ids, n, wanted)), strict=True):
-            for item, place in items.places[n][gram]:
-                near[item].append(at - place)
-    for item, starts in sorted(near.items()):
-        own, starts = items.ids[item], sorted(starts)
+    for item, starts in items.near(ids):
+        own, starts = items.ids[item], starts.tolist()
         size, best = len(own), None
         least, need = LEAST * MATCH * size, Counter(own.tolist())
         begin = 0
@@ -114,12 +118,14 @@ def passages(items: Items, seeds: dict[int, np.ndarray], ids: np.ndarray) -> Ite
                 continue
             a, b = max(0, starts[begin] - size), starts[i - 1] + 2 * size
             hits, begin = i - begin, i
+            if hits < items.least[item]:
+                continue
             part = ids[a:b]
             have = Counter(part[part >= 0].tolist())
             if sum(min(k, have[w]) for w, k in need.items()) * MATCH < least:
                 continue  # no alignment can score more than its matching words
             score, end = align(own, part)
-            if score >= least and (best is None or score > best[1]):
+            if score >= least and (best is None or score / (MATCH * size) > best[1]):
                 back, length = align(own[::-1], part[:end][::-1])
                 best = (item, score / (MATCH * size), a + end - length, a + end - 1, hits)
         if best:
@@ -141,25 +147,11 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[Items]:
         yield Items(rows)
 
 
-def _seeds(texts: DataFrame, items: Items) -> dict[int, np.ndarray]:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[tuple[int, int]] = Counter()
-        for batch in batches:
-            for value in batch.column(0):
-                ids = items.read(value.as_py())
-                for n, wanted in items.sorted.items():
-                    total.update((n, g) for g in {*items.hits(ids, n, wanted)[1].tolist()})
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ([n for n, _ in total], [g for _, g in total], [*total.values()])], names=["n", "gram", "docs"])
-
-    rows = texts.mapInArrow(count, "n long, gram long, docs long").groupBy("n", "gram").agg(F.sum("docs").alias("docs")).collect()
-    return items.seeds({(r["n"], r["gram"]): r["docs"] for r in rows})
-
-
-def _search(items: Items, seeds: dict[int, np.ndarray], key: str) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+def _search(items: Items, key: str) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         who, found = [], []
         for i, value in enumerate(batch.column(1)):
-            for hit in passages(items, seeds, items.read(value.as_py())):
+            for hit in passages(items, items.read(value.as_py())):
                 who.append(i)
                 found.append(hit)
         columns = [batch.column(0).take(pa.array(who, pa.int64())), pa.array([items.keys[h[0]] for h in found], pa.int64()), pa.array([h[1] for h in found], pa.float64())]
@@ -172,22 +164,21 @@ def _search(items: Items, seeds: dict[int, np.ndarray], key: str) -> Callable[[p
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
     """Every document and benchmark item of which the document holds a copy, edited or not.
 
-    Words are runs of letters, digits and underscores in lower case. Document counts of all n-grams
-    of the items are taken over the whole training text; of neighbouring n-grams the rarest are
-    seeds, however common, so an item that stands in a third of the documents is still found. Around
-    the seeds of an item the text is aligned with it; a score of ``LEAST`` of the item's length is a leak.
+    Words are runs of letters, digits and underscores in lower case. All pairs of neighbouring words of an
+    item are seeds, however common, also where the text has one word between the two; an item with
+    too few of them in a stretch of a text can't be aligned well there (see :class:`Items`). Around
+    the others the text is aligned with the item; a score of ``LEAST`` of the item's length is a leak.
+    No alignment of that score is missed, save for items of two words, of which one word alone would do: both must stand.
 
-    The benchmark is held in blocks of ``BLOCK_WORDS`` words, each with two passes over the text, so
-    its size doesn't matter; documents are never shuffled. Null and empty texts and items hold
-    nothing. Items under three words have seeds as long as themselves. Each document row gives at
+    The benchmark is held in blocks of ``BLOCK_WORDS`` words, each with one pass over the text;
+    documents are never shuffled. Null and empty texts and items hold nothing. Each document row gives at
     most one row per item: the best alignment, the first of equals.
     """
     rows = pick(docs, key, text)
     form = f"{key} {dict(rows.dtypes)[key]}, item_id long, score double, first_word long, last_word long, n_seeds long"
     found = rows.sparkSession.createDataFrame([], form)
     for items in _blocks(benchmark, item, "text"):
-        seeds = _seeds(rows.select(text), items)
-        found = found.unionByName(rows.mapInArrow(by_batch(_search(items, seeds, key)), form))
+        found = found.unionByName(rows.mapInArrow(by_batch(_search(items, key)), form))
     return found
 
 
@@ -195,10 +186,9 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", ite
     """The documents, with all columns, in which :func:`find_leaks` finds nothing."""
     kept = docs
     for items in _blocks(benchmark, item, "text"):
-        seeds = _seeds(pick(docs, text), items)
 
-        def clean(texts: pa.Array, items: Items = items, seeds: dict[int, np.ndarray] = seeds) -> list[bool]:
-            return [next(passages(items, seeds, items.read(t.as_py())), None) is None for t in texts]
+        def clean(texts: pa.Array, items: Items = items) -> list[bool]:
+            return [next(passages(items, items.read(t.as_py())), None) is None for t in texts]
 
         kept = keep_rows(kept, text, clean)
     return kept

@@ -124,6 +124,43 @@ def test_alignment_cell_by_cell():
         assert dc.align(item, text)[0] == align_cells(item, text)
 
 
+def test_copies_without_three_words_in_a_row(spark, folder):
+    """Every 3rd, 4th or 5th word changed, left out or put in, with and without a whole copy elsewhere."""
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    items = [(r.item_id, dc.words_of(r.text)) for r in benchmark.collect()]
+    texts, wanted = [], set()
+    for every in (3, 4, 5):
+        for key, words in items:
+            changed = [f"q{i}" if i % every == every - 1 else w for i, w in enumerate(words)]
+            wider = [x for i, w in enumerate(words) for x in ([w, f"q{i}"] if i % every else [w])]
+            for own in (changed, wider):
+                if align_cells(np.array(words), np.array(own)) >= dc.LEAST * len(words):
+                    wanted.add((len(texts), key))
+                texts.append(f"{PROSE} {' '.join(own)} {PROSE}")
+    assert len(wanted) > 4 * len(items)
+    for more in ([], [" ".join(words) for _, words in items]):
+        got = {(r.doc_id, r.item_id) for r in dc.find_leaks(frame(spark, texts + more), benchmark).collect()}
+        assert wanted <= got
+
+
+def test_no_alignment_is_missed():
+    """All pairs of random items and texts of few words, against the alignment of every text as a whole."""
+    draw = np.random.RandomState(7)
+    found = 0
+    for vocabulary in (3, 8, 30):
+        rows = [(i, [str(w) for w in draw.randint(0, vocabulary, n)]) for i, n in enumerate([1, 3, 3, 4, 5, 6, 7, 9, 12, 14, 20])]
+        items = dc.Items(rows)
+        for _ in range(60):
+            words = [str(w) for w in draw.randint(0, vocabulary + 2, draw.randint(0, 40))]
+            own = rows[draw.randint(len(rows))][1]
+            own = [x for w in own for x in ([], [w], [w], [w], ["x"], [w, "x"], [w, "x"], ["x", w])[draw.randint(8)]]
+            ids = items.read(" ".join(words + own + words[::-1]))
+            wanted = {i for i, item in enumerate(items.ids) if align_cells(item, ids) >= dc.LEAST * len(item)}
+            assert {hit[0] for hit in dc.passages(items, ids)} == wanted
+            found += len(wanted)
+    assert found > 500
+
+
 def test_leaks_of_the_whole_table(spark, folder):
     """Every document that holds an item word for word, and no other."""
     items = {r.item_id: f" {' '.join(dc.words_of(r.text))} " for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
