@@ -25,6 +25,10 @@ _UNLIKELY = frozenset(
     "skip social sponsor sponsored subscribe subscription tags toolbar widget".split()
 )
 _UNLIKELY_PARTS = ("sidebar", "advert", "cookie", "comment", "newsletter", "breadcrumb", "sponsor", "navbar", "popup")
+#: Of these words those that page wrappers have too ("no-sidebar", "header-fixed"): they tell little where most of the text is.
+_LAYOUT = frozenset("banner footer header hidden masthead menu modal nav navbar navigation search sidebar skip toolbar widget".split())
+#: Characters; with less text outside, an element that holds most of a page is kept whatever it is called.
+SHORT = 250
 _LIKELY = frozenset("article body content entry main page post story text blog".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 _KEPT = frozenset(("html", "body", "article", "main"))
@@ -33,11 +37,12 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "score", "chars", "link_chars", "first", "last", "is_block")
+    __slots__ = ("tag", "parent", "score", "chars", "link_chars", "first", "last", "is_block", "place", "unlikely")
 
     def __init__(self, tag: str, parent: Node | None, first: int):
         self.tag, self.parent, self.first, self.last = tag, parent, first, first
         self.score, self.chars, self.link_chars, self.is_block = 0.0, 0, 0, tag in BLOCKS
+        self.place, self.unlikely = (0, 0), ""
 
     @property
     def link_density(self) -> float:
@@ -45,15 +50,23 @@ class Node:
 
 
 class _Page(HTMLParser):
-    """Reads a page into a tree whose nodes know which run of text blocks lies in them."""
+    """Reads a page into a tree whose nodes know which run of text blocks lies in them.
 
-    def __init__(self) -> None:
+    Elements with unlikely class or id words are dropped, but not those that begin at a place in
+    ``spared``; without ``spared`` all of them are read and marked.
+    """
+
+    def __init__(self, spared: frozenset[tuple[int, int]] | None = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[str] = []
         self.root = Node("html", None, 0)
         self.nodes = [self.root]
         self.stack = [self.root]
         self.lost: list[str] = []  # open elements inside one that is dropped, itself first
+        self.spared = spared
+        self.by_words = False  # the dropped element has unlikely words
+        self.lost_chars = self.most_lost = 0
+        self.lost_article = False
         self.links = 0
         self.held: list[str] = []
         self.held_links = 0
@@ -65,6 +78,7 @@ class _Page(HTMLParser):
         if self.lost:
             if tag not in VOID and tag == self.lost[0]:
                 self.lost.append(tag)
+            self.lost_article |= self.by_words and tag in ("article", "main")
             return
         if tag in VOID:
             if tag in ("br", "hr"):
@@ -76,13 +90,16 @@ class _Page(HTMLParser):
             self.end(tag, stop=("ul", "ol", "dl", "table"))
         if tag in BLOCKS:
             self.flush()
-        if self.is_dropped(tag, attrs):
+        dropped, unlikely = self.is_dropped(tag, attrs), unlikely_words(tag, attrs)
+        if dropped or unlikely and tag not in _KEPT and self.spared is not None and self.getpos() not in self.spared:
             self.flush()
             self.lost.append(tag)
+            self.by_words, self.lost_chars = not dropped, 0
             return
         if tag == "a":
             self.links += 1
         node = Node(tag, self.stack[-1], len(self.blocks))
+        node.place, node.unlikely = self.getpos(), unlikely
         self.bonus(node, attrs)
         self.stack.append(node)
         self.nodes.append(node)
@@ -98,8 +115,6 @@ class _Page(HTMLParser):
             value = (value or "").lower()
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in _ROLES or name == "style" and _HIDDEN.search(value):
                 return True
-            if name in ("class", "id") and (any(t in _UNLIKELY for t in _TOKENS.findall(value)) or any(p in value for p in _UNLIKELY_PARTS)) and not _LIKELY & {*_TOKENS.findall(value)} & {"article"}:
-                return True
         return False
 
     def bonus(self, node: Node, attrs: list[tuple[str, str | None]]) -> None:
@@ -139,7 +154,11 @@ class _Page(HTMLParser):
         del self.stack[i:]
 
     def handle_data(self, data: str) -> None:
-        if not self.lost:
+        if self.lost:
+            if self.by_words:
+                self.lost_chars += len(data.strip())
+                self.most_lost = max(self.most_lost, self.lost_chars)
+        else:
             self.held.append(data)
             if self.links:
                 self.held_links += len(data)
@@ -171,11 +190,82 @@ class _Page(HTMLParser):
             node.last = len(self.blocks)
 
 
-def main_text(html: str) -> str:
-    """The text of the best container and of the siblings that read like it; empty if there is none."""
-    page = _Page()
+def unlikely_words(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    """Whether class or id have words that article text seldom has: "words", "layout" if such of page wrappers alone, or ""."""
+    found: list[str] = []
+    if tag not in ("html", "body", "header"):
+        for name, value in attrs:
+            value = (value or "").lower()
+            tokens = _TOKENS.findall(value)
+            if name in ("class", "id") and "article" not in tokens:
+                found += [t for t in tokens if t in _UNLIKELY] + [p for p in _UNLIKELY_PARTS if p in value]
+    return "" if not found else "layout" if _LAYOUT.issuperset(found) else "words"
+
+
+def _read(html: str, spared: frozenset[tuple[int, int]] | None = frozenset()) -> _Page:
+    page = _Page(spared)
     page.feed(html)
     page.finish()
+    return page
+
+
+def _wrappers(page: _Page) -> frozenset[tuple[int, int]]:
+    """Places of the elements that are the page's frame, not clutter, though their words are unlikely.
+
+    From outside in: while no article or main is left, the element that holds a main, or the longest
+    article if less text than that is left outside; then what holds most of the page's text, mostly without
+    links, if less than ``SHORT`` is left outside or, while no article or main is left, if its words are
+    those of layout or it holds an h1.
+    """
+    over: dict[int, Node | None] = {}  # the innermost unlikely element that a node lies in or is
+    inner: dict[int, list[Node]] = {id(None): []}
+    longest: dict[int, int] = {}
+    with_h1: set[int] = set()
+    direct: set[int] = set()  # where an article or main lies, with no other unlikely element between
+    outside: dict[int, Node | None] = {}
+    for node in page.nodes:
+        above = over[id(node.parent)] if node.parent else None
+        unlikely = node.unlikely and node.tag not in _KEPT
+        over[id(node)] = node if unlikely else above
+        if unlikely:
+            outside[id(node)] = above
+            inner[id(above)].append(node)
+            inner[id(node)] = []
+        elif node.chars and not node.unlikely and node.tag in ("article", "main", "h1"):
+            up, chars = above, node.chars + page.root.chars * (node.tag == "main")
+            if node.tag != "h1":
+                direct.add(id(above))
+            while up is not None and (id(up) not in with_h1 if node.tag == "h1" else longest.get(id(up), 0) < chars):
+                if node.tag == "h1":
+                    with_h1.add(id(up))
+                else:
+                    longest[id(up)] = chars
+                up = outside[id(up)]
+    top, spared = inner[id(None)], set()
+    has_article, left = id(None) in direct, page.root.chars - sum(n.chars for n in top)
+    while top:
+        best = max(top, key=lambda n: longest.get(id(n), 0))
+        if has_article or longest.get(id(best), 0) <= left:
+            best = max(top, key=lambda n: n.chars)
+            if 2 * best.chars <= page.root.chars or best.link_density >= 0.25 or not (left < SHORT or not has_article and (best.unlikely == "layout" or id(best) in with_h1)):
+                break
+        spared.add(best.place)
+        has_article |= id(best) in direct
+        left += best.chars - sum(n.chars for n in inner[id(best)])
+        top = [n for n in top if n is not best] + inner[id(best)]
+    return frozenset(spared)
+
+
+def main_text(html: str) -> str:
+    """The text of the best container and of the siblings that read like it; empty if there is none.
+
+    Elements go by their class and id words only if they are clutter by what they hold: a page that loses an
+    article or most of its text to them is read again without them, and its wrappers are spared.
+    """
+    page = _read(html)
+    if page.lost_article or page.most_lost > page.root.chars:
+        spared = _wrappers(_read(html, None))
+        page = _read(html, spared) if spared else page
     containers = [n for n in page.nodes if n.is_block and n.tag not in PARAGRAPHS and n.last > n.first]
     if not containers:
         return " ".join(page.blocks)

@@ -41,6 +41,31 @@ def test_clutter_inside_the_article():
     assert main_text(f"<body><article>{inner}</article></body>") == WANTED
 
 
+WRAPPERS = ["class='content with-sidebar'", "id='page' class='header-fixed'", "class='overflow-hidden'", "class='no-sidebar'", "class='site comments-open has-ads'", "id='newsletter-4'"]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("box", ["<article>{}</article>", "<main>{}</main>", "<div class='post-body'>{}</div>", "<div>{}</div>", "{}"])
+def test_wrappers_with_unlikely_words(wrapper, box):
+    inner = f"<div {wrapper}>{box.format(BODY)}</div>"
+    assert main_text(f"<body>{inner}</body>") == WANTED
+    assert main_text(f"<body><div class='layout-menu'><section class='skip'>{inner}</section></div></body>") == WANTED
+    for clutter in CLUTTER[:9]:
+        assert main_text(f"<body>{clutter}{inner}</body>") == WANTED
+        assert main_text(f"<body><div {wrapper}>{clutter}{box.format(BODY)}{clutter}</div></body>") == WANTED
+
+
+def test_clutter_is_no_wrapper():
+    comments = f"<div id='comments'><article class='comment'><p>{PROSE * 20}</p></article></div>"
+    assert main_text(f"<body><div class='no-sidebar'>{BODY}{comments}</div></body>") == WANTED
+    teaser = f"<div class='sidebar'><article><p>{PROSE}</p></article></div>"
+    assert main_text(f"<body>{teaser}<div class='no-sidebar'><article>{BODY}</article></div></body>") == WANTED
+    assert main_text(f"<body><article>{BODY}</article>{teaser * 40}</body>") == WANTED
+    assert main_text(f"<body><div>{BODY}</div>{teaser}</body>") == WANTED
+    assert main_text(f"<body><article>{BODY}</article><div class='sidebar'><p>{PROSE * 30}</p></div></body>") == WANTED
+    assert main_text(f"<body><div>{BODY}</div><div id='cookie-consent'><p>{PROSE * 30}</p></div></body>") == WANTED
+
+
 def test_broken_markup():
     assert main_text(f"<body><article><p><b>One, two<br><p>{PROSE}</article><footer>foot") == f"One, two {PROSE.strip()}"
     assert main_text(f"<body><article><p>{PROSE}<nav><a>menu</a></article>") == PROSE.strip()
