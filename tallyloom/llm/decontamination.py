@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallyloom.llm.common import by_batch, keep_rows, pick
+from tallyloom.llm.common import by_batch, forget, keep_rows, pick, stored
 
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 #: Least alignment score as a share of the item's best possible one.
@@ -132,19 +132,19 @@ def passages(items: Items, ids: np.ndarray) -> Iterator[tuple[int, float, int, i
             yield best
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[Items]:
-    """All items in blocks of about ``BLOCK_WORDS`` words; an item is never split."""
+def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[tuple[Items, bool]]:
+    """All items in blocks of about ``BLOCK_WORDS`` words, and whether another block follows; an item is never split."""
     rows, held = [], 0
     for row in pick(benchmark, item, text).orderBy(item, text).toLocalIterator():
         words = words_of(row[1])
+        if words and held >= BLOCK_WORDS:
+            yield Items(rows), True
+            rows, held = [], 0
         if words:
             rows.append((row[0], words))
             held += len(words)
-        if held >= BLOCK_WORDS:
-            yield Items(rows)
-            rows, held = [], 0
     if rows:
-        yield Items(rows)
+        yield Items(rows), False
 
 
 def _search(items: Items, key: str) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
@@ -170,25 +170,34 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", te
     the others the text is aligned with the item; a score of ``LEAST`` of the item's length is a leak.
     No alignment of that score is missed, save for items of two words, of which one word alone would do: both must stand.
 
-    The benchmark is held in blocks of ``BLOCK_WORDS`` words, each with one pass over the text;
-    documents are never shuffled. Null and empty texts and items hold nothing. Each document row gives at
+    The benchmark is held in blocks of ``BLOCK_WORDS`` words, each with one pass over the text; what
+    a block finds is written before the next one is read, so neither the driver nor a plan holds more than one or two. Documents are never shuffled. Null and empty texts and items hold nothing. Each document row gives at
     most one row per item: the best alignment, the first of equals.
     """
     rows = pick(docs, key, text)
     form = f"{key} {dict(rows.dtypes)[key]}, item_id long, score double, first_word long, last_word long, n_seeds long"
     found = rows.sparkSession.createDataFrame([], form)
-    for items in _blocks(benchmark, item, "text"):
-        found = found.unionByName(rows.mapInArrow(by_batch(_search(items, key)), form))
+    for items, more in _blocks(benchmark, item, "text"):
+        own = rows.mapInArrow(by_batch(_search(items, key)), form)
+        found = found.unionByName(stored(own) if more else own)
     return found
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id") -> DataFrame:
-    """The documents, with all columns, in which :func:`find_leaks` finds nothing."""
-    kept = docs
-    for items in _blocks(benchmark, item, "text"):
+    """The documents, with all columns, in which :func:`find_leaks` finds nothing.
+
+    What is kept is written after every block of the benchmark but the last; only the newest of these tables stays.
+    """
+    kept, before = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), None
+    for items, more in _blocks(benchmark, item, "text"):
 
         def clean(texts: pa.Array, items: Items = items) -> list[bool]:
             return [next(passages(items, items.read(t.as_py())), None) is None for t in texts]
 
-        kept = keep_rows(kept, text, clean)
-    return kept
+        kept = keep_rows(kept, f"c{docs.columns.index(text)}", clean)
+        if more:
+            kept, old = stored(kept), before
+            before = kept
+            if old is not None:
+                forget(old)
+    return kept.toDF(*docs.columns)

@@ -161,6 +161,20 @@ def test_no_alignment_is_missed():
     assert found > 500
 
 
+def test_one_block_of_the_benchmark_at_a_time(spark, folder, monkeypatch, awkward):
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    whole = sorted(map(tuple, dc.find_leaks(docs, benchmark).collect()))
+    kept = sorted(r.doc_id for r in dc.drop_leaks(docs, benchmark).collect())
+    monkeypatch.setattr(dc, "BLOCK_WORDS", 250)
+    assert sum(1 for _ in dc._blocks(benchmark, "item_id", "text")) > 2
+    found, left = dc.find_leaks(docs, benchmark), dc.drop_leaks(docs, benchmark)
+    for df in (found, left):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, found.collect())) == whole and sorted(r.doc_id for r in left.collect()) == kept
+    assert dc.drop_leaks(awkward, benchmark).columns == awkward.columns and dc.drop_leaks(awkward, benchmark).count() == awkward.count()
+
+
 def test_leaks_of_the_whole_table(spark, folder):
     """Every document that holds an item word for word, and no other."""
     items = {r.item_id: f" {' '.join(dc.words_of(r.text))} " for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
