@@ -161,6 +161,41 @@ def test_no_alignment_is_missed():
     assert found > 500
 
 
+def test_passages_of_long_items():
+    draw = np.random.RandomState(9)
+    item = [f"w{x}" for x in draw.randint(0, 3000, 400)]
+    items = dc.Items([(7, item), (8, ["other"] * 3)])
+    noise = [f"n{i}" for i in range(200)]
+    for first in (0, 17, 100, 201, 250):
+        (hit,) = dc.passages(items, items.read(" ".join(noise + item[first : first + 150] + noise)))
+        assert hit[:4] == (0, 150 / 400, 200, 349)
+    for first in range(371):
+        (hit,) = dc.passages(items, items.read(" ".join(noise + item[first : first + 30] + noise)))
+        assert hit[2:4] == (200, 229)
+        assert not [*dc.passages(items, items.read(" ".join(noise + item[first : first + 14] + noise)))]
+    (hit,) = dc.passages(items, items.read(" ".join(noise + item + noise)))
+    assert hit[:4] == (0, 1.0, 200, 599)
+
+
+def test_no_alignment_of_a_long_item_is_missed(monkeypatch):
+    """As above for items of several parts, against whole alignments and those of every stretch."""
+    monkeypatch.setattr(dc, "RUN", 8)
+    draw = np.random.RandomState(11)
+    found = [0, 0]
+    for _ in range(250):
+        vocabulary = (6, 30)[draw.randint(2)]
+        words = [str(w) for w in draw.randint(0, vocabulary, draw.randint(9, 30))]
+        items = dc.Items([(1, words)])
+        own = words[draw.randint(len(words)) :] if draw.randint(2) else words
+        own = [x for w in own for x in ([], [w], [w], [w], ["x"], [w, "x"], [w, "x"], ["x", w])[draw.randint(8)]]
+        ids = items.read(" ".join(own + words[::-1]))
+        whole = align_cells(items.ids[0], ids) >= dc.LEAST * len(words)
+        wanted = whole or any(align_cells(items.ids[0][a : a + n], ids) >= dc.LEAST * n for a, n in dc.stretches(len(words)) if n == dc.RUN)
+        assert bool([*dc.passages(items, ids)]) == wanted
+        found[int(wanted)] += 1
+    assert min(found) > 15
+
+
 def test_one_block_of_the_benchmark_at_a_time(spark, folder, monkeypatch, awkward):
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
