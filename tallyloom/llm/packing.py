@@ -152,12 +152,12 @@ def _pack(level: int, capacity: int, schema: pa.Schema) -> Callable[[Iterator[pa
     return run
 
 
-def pack(pieces: DataFrame, capacity: int, *, key: str = "doc_id", slack: int = 8) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, *, key: str = "doc_id") -> DataFrame:
     """Places pieces of up to ``capacity`` tokens into sequences; adds ``sequence_id`` and ``offset``.
 
-    The first round packs every partition of the stored pieces for itself. Bins with at most
-    ``slack`` tokens of room are done; the others travel on as items with their members, into as many
-    partitions as runs of ``ITEMS`` are needed, until one run has held all or a round no longer joins bins. Nothing
+    The first round packs every partition of the stored pieces for itself. Bins with less room than the
+    emptiest bin fills can't be joined with any and are done; the others travel on as items with their members, into as many
+    partitions as runs of ``ITEMS`` are needed, until one run has held all or a round joins none. Nothing
     but open bins is ever shuffled, a task holds ``ITEMS`` items, and each round's bins are written,
     so a lost executor finds the same bins again.
     """
@@ -171,12 +171,13 @@ def pack(pieces: DataFrame, capacity: int, *, key: str = "doc_id", slack: int =
     level, done, before, last = 0, [], None, False
     while True:
         bins = stored(items.mapInArrow(_pack(level, capacity, schema), form))
-        open_bins = bins.filter(F.col("fill") < capacity - slack)
-        n = 0 if last else open_bins.count()
-        if n <= 1 or before is not None and n > 0.98 * before:
+        made, least = bins.agg(F.count("*"), F.min("fill")).first()
+        open_bins = bins.filter(F.col("fill") <= capacity - (least or 0))
+        n = 0 if last or made == before else open_bins.count()
+        if n <= 1:
             done.append(bins)
             break
-        done.append(bins.filter(F.col("fill") >= capacity - slack))
+        done.append(bins.filter(F.col("fill") > capacity - least))
         parts = -(-n // ITEMS)
         items, before, last, level = open_bins.repartition(parts, "sequence_id"), n, parts == 1, level + 1
     whole = functools.reduce(DataFrame.unionByName, done)

@@ -253,6 +253,13 @@ def test_packing_in_many_rounds(spark, folder, monkeypatch):
     assert sequences <= 1.03 * least
 
 
+@pytest.mark.parametrize("room", [1, 5, 8])
+def test_short_pieces_fill_nearly_full_bins(spark, room):
+    rows = spark.sparkContext.parallelize([(i, 0, 0, 30 if i < 20 else room, 0) for i in range(22)], 22)
+    packed = pk.pack(spark.createDataFrame(rows, "doc_id long, piece long, start long, length long, ids_crc32 long"), 30 + room).collect()
+    assert len(packed) == 22 and len({r.sequence_id for r in packed}) == 20
+
+
 def test_best_fit_takes_the_tightest_bin():
     bins, offsets, made = pk.best_fit(np.array([6, 7, 3, 4, 10, 1]), 10)
     assert made == 4 and bins[0] == bins[3] and bins[1] == bins[2] and offsets[3] == 6
