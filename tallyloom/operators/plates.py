@@ -1,7 +1,8 @@
 """Batches, plates and controls.
 
 Positions in a total order come from a range partitioning: each partition is sorted on its own and
-gets the number of rows in the partitions before it added. No task ever holds the whole list, and
+gets the number of rows in the partitions before it added. First rows are found by counting their
+keys (:mod:`.selection`), not by sorting. No task ever holds the whole list, and
 the partition layout is written out before it is counted, so both reads see the same one. Random
 choices order by a hash of the id and a seed, which is the same after any repartitioning or retry.
 """
@@ -9,11 +10,13 @@ choices order by a hash of the id and a seed, which is the same after any repart
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import materialise
+from .selection import first_rows
 from .shares import share
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
@@ -31,34 +34,11 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "posit
     placed = materialise(ordered.withColumn("_mid", F.monotonically_increasing_id()))
     part = F.shiftright("_mid", _ROW_BITS)
     index = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    # One row per range partition: the only window without a partition key.
-    earlier = Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(part.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    offsets = materialise(offsets)
-    return (
-        placed.withColumn("_part", part)
-        .join(offsets, "_part")
-        .withColumn(name, F.col("_offset") + index + 1)
-        .drop("_part", "_mid", "_offset")
-    )
-
-
-def first_rows(df: DataFrame, n: int, order: Sequence[Column | str], descending: int = 0) -> DataFrame:
-    """The first ``n`` rows of a total order, of which the first ``descending`` columns run downwards.
-
-    Only the order columns are ranked and written; the rows meet the ones in front by them. The
-    plan is the same for every ``n``, and no task merges the candidates of all others.
-    """
-    named = {f"_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)}
-    keyed = df.withColumns(named)
-    sort = [F.desc(name) if i < descending else F.asc(name) for i, name in enumerate(named)]
-    front = global_rank(keyed.select(*named), sort, "_position").filter(F.col("_position") <= n).select(*[F.col(c).alias(f"{c}_") for c in named])
-    same = [keyed[c].eqNullSafe(front[f"{c}_"]) for c in named]
-    return keyed.join(front, same, "left_semi").drop(*named)
+    # one count per range partition comes to the driver and goes back as an array of sums
+    counts = {r.part: r["count"] for r in placed.groupBy(part.alias("part")).count().collect()}
+    before = [0, *accumulate(counts.get(i, 0) for i in range(max(counts, default=0)))]
+    offset = F.get(F.lit(before).cast("array<bigint>"), part.cast("int"))
+    return placed.withColumn(name, offset + index + 1).drop("_mid")
 
 
 def next_batch(
@@ -68,7 +48,7 @@ def next_batch(
     pool = samples.select(*columns).distinct() if columns else samples.distinct()
     if exclude is not None:
         pool = pool.join(exclude.select(key), key, "left_anti")
-    return first_rows(pool, n, [newest, key], descending=1)
+    return first_rows(materialise(pool), n, [newest, key], descending=1)
 
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int, order: Column | None = None) -> DataFrame:
@@ -111,7 +91,7 @@ def allocate_controls(
         batch, column = match
         pool = pool.join(batch.select(column).distinct(), column, "left_semi")
     needed = plates // 2 if twice else plates
-    ranked = global_rank(first_rows(pool, needed, [order, F.col(key)]), [key], "_up")
+    ranked = global_rank(first_rows(materialise(pool), needed, [order, F.col(key)]), [key], "_up")
     drawn = ranked.count()
     if drawn < needed:
         raise ValueError(f"{needed} controls are needed for {plates} plates, there are {drawn}")

@@ -656,15 +656,15 @@ def _modular(key: str) -> Column:
     return (F.col(key) * 7919) % 10007
 
 
-def _batch(t) -> DataFrame:
-    tests = _samples(t).filter(F.col("negative_control") == "No")
+def _batch(samples: DataFrame) -> DataFrame:
+    tests = samples.filter(F.col("negative_control") == "No")
     earlier = plates.next_batch(tests, 500, "sample_id", "collected")
-    return materialise(plates.next_batch(tests, 900, "sample_id", "collected", exclude=earlier))
+    return plates.next_batch(tests, 900, "sample_id", "collected", exclude=earlier)
 
 
 @query
 def next_batch(t):
-    return _batch(t).withColumn("collected", F.col("collected").cast("string"))
+    return _batch(materialise(_samples(t))).withColumn("collected", F.col("collected").cast("string"))
 
 
 @query
@@ -681,22 +681,23 @@ def shuffle_plates(t):
 
 @query
 def seeded_sample(t):
-    return plates.seeded_sample(_samples(t).select("sample_id", "state"), 250, "sample_id", seed=7, order=_modular("sample_id"))
+    return plates.seeded_sample(materialise(_samples(t).select("sample_id", "state")), 250, "sample_id", seed=7, order=_modular("sample_id"))
 
 
-def _controls(t, batch: DataFrame) -> DataFrame:
-    pool = _samples(t).filter(F.col("negative_control") == "Yes")
+def _controls(samples: DataFrame, batch: DataFrame) -> DataFrame:
+    pool = samples.filter(F.col("negative_control") == "Yes")
     return plates.allocate_controls(pool, 10, "sample_id", _modular("sample_id"), match=(batch, "state"))
 
 
 @query
 def control_plates(t):
-    return _controls(t, _batch(t)).withColumn("collected", F.col("collected").cast("string"))
+    samples = materialise(_samples(t))
+    return _controls(samples, _batch(samples)).withColumn("collected", F.col("collected").cast("string"))
 
 
 @query
 def single_control_plates(t):
-    pool = _samples(t).filter(F.col("negative_control") == "Yes")
+    pool = materialise(_samples(t).filter(F.col("negative_control") == "Yes"))
     used = plates.allocate_controls(pool, 10, "sample_id", _modular("sample_id")).select("sample_id")
     chosen = plates.allocate_controls(pool, 9, "sample_id", _modular("sample_id"), exclude=used, twice=False)
     return chosen.select("sample_id", "state", "plate")
@@ -721,9 +722,10 @@ def control_volume(t):
 
 
 def _final(t) -> DataFrame:
-    batch = _batch(t)
+    samples = materialise(_samples(t))
+    batch = _batch(samples)
     tests = plates.allocate_plates(batch, 94, ["state", _modular("sample_id"), "sample_id"])
-    return plates.append_all(tests, _controls(t, batch), _positives(t))
+    return plates.append_all(tests, _controls(samples, batch), _positives(t))
 
 
 @query
@@ -733,12 +735,12 @@ def final_samples(t):
 
 @query
 def sample_qc(t):
-    return plates.sample_qc(_final(t), "sample_id", "collected")
+    return plates.sample_qc(materialise(_final(t)), "sample_id", "collected")
 
 
 @query
 def share_by_plate(t):
-    final = _final(t)
+    final = materialise(_final(t))
     by_plate = plates.share_by(final, "participant_id", "state", "plate")
     overall = plates.share_by(final, "participant_id", "state").withColumn("plate", F.lit(None).cast("int"))
     return rounded(by_plate.unionByName(overall), 6)
