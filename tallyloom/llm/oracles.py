@@ -9,6 +9,23 @@ def _lists(rows) -> str:
     return ", ".join(f"({i}, string_split('{text}', ' '), '{label}')" for i, (text, label) in enumerate(rows))
 
 
+# crc32 of a text as SQL: the table of 256 remainders, then one look-up per byte.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc_of
+  FROM range(256) AS b(i)
+)"""
+
+
+def _crc32(text: str) -> str:
+    byte = f"list_transform(range(0, octet_length(encode({text})), 1), lambda i: ('0x' || substr(hex(encode({text})), 2 * i::INTEGER + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {byte}), lambda c, b: xor(crc_of[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT)"
+
+
+def _words(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"list_filter(string_split_regex({lower}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+
 ORACLES: dict[str, str] = {
     "op2_suffix_array_dedup": """
 WITH d AS (
@@ -105,5 +122,34 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(labels, [])))), ','), '') AS labels,
        CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
 FROM t LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op12_importance_resampling": f"""
+WITH {_CRC_TABLE}, t AS (
+  SELECT doc_id, {_words("text")} AS w FROM documents
+), b AS (
+  SELECT {_words("text")} AS w FROM benchmark
+), words AS (
+  SELECT DISTINCT unnest(w) AS word FROM (SELECT w FROM t UNION ALL SELECT w FROM b)
+), coded AS (
+  SELECT word, {_crc32("word")} % 10000 AS bucket FROM words, crc_table
+), f AS (
+  SELECT doc_id, bucket FROM (SELECT doc_id, unnest(w) AS word FROM t) JOIN coded USING (word)
+), s AS (
+  SELECT bucket, count(*)::DOUBLE AS s FROM f GROUP BY bucket
+), g AS (
+  SELECT bucket, count(*)::DOUBLE AS t FROM (SELECT unnest(w) AS word FROM b) JOIN coded USING (word) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000) / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM g) + 10000))))::BIGINT AS gain
+  FROM s FULL JOIN g USING (bucket)
+), w AS (
+  SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS weight FROM f JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM t LEFT JOIN w USING (doc_id)
+), drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, rank FROM scored LEFT JOIN (SELECT doc_id, rank FROM drawn WHERE rank <= 10 * n // 100) USING (doc_id)
 """,
 }

@@ -15,6 +15,7 @@ from tallyloom.llm.main_text import extract_pages
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.quality_classifier import quality_scores
 from tallyloom.llm.quality_rules import quality_rules
+from tallyloom.llm.resampling import resample
 from tallyloom.llm.span_dedup import span_digest
 from tallyloom.llm.token_counts import token_counts
 from tallyloom.llm.url_filters import Rule, judge_urls
@@ -63,6 +64,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_license_scans,
         op10_quality_rules,
+        op12_importance_resampling,
     )
 }
