@@ -26,6 +26,27 @@ def _words(text: str) -> str:
     return f"list_filter(string_split_regex({lower}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
 
+def _way(state: str, cost: str, letter: str, row: str = "") -> str:
+    """The ways of edits of a state with one edit more; null where there is none."""
+    out = f"list_append({state}.o, {row})" if row else f"{state}.o"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'o': {out}}} END"
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _kept(state: str, initial: str) -> str:
+    return f"CASE WHEN NOT gone AND initial = '{initial}' THEN {_way(state, 'cut', 'K', 'role || chr(58) || text')} END"
+
+
+def _renamed(state: str, role: str) -> str:
+    return f"CASE WHEN NOT gone THEN {_way(state, '2 + cut', 'R', f'{chr(39)}{role}:{chr(39)} || text')} END"
+
+
+_NEW_USER = _least("u", *[_way(x, "2", "I", "'user:'") for x in ("z", "s", "a")])
+_NEW_ASSISTANT = _least("a", _way("u1", "2", "I", "'assistant:'"))
+
 ORACLES: dict[str, str] = {
     "op2_suffix_array_dedup": """
 WITH d AS (
@@ -151,5 +172,48 @@ WITH {_CRC_TABLE}, t AS (
   SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20
 )
 SELECT doc_id, n_features, weight, score, rank FROM scored LEFT JOIN (SELECT doc_id, rank FROM drawn WHERE rank <= 10 * n // 100) USING (doc_id)
+""",
+    "op11_conversation_repair": f"""
+WITH RECURSIVE {_CRC_TABLE}, raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS place FROM conversations
+), coded AS (
+  SELECT conv_id, turn, role, text, {_crc32("place")} % 20 AS kind FROM raw, crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM coded, (SELECT unnest([1, 2]) AS copy) WHERE kind <> 0 AND (copy = 1 OR kind = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown, left(role, 1) AS initial FROM damaged
+), faulty AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS two FROM placed
+), r AS (
+  SELECT conv_id, pos, role, text, turn, initial, two, shown = '' AS blank, shown <> '' AND again AS duplicate, shown = '' OR again AS gone,
+         (shown <> '' AND NOT again AND right(shown, 1) NOT IN ('.', '!', '?'))::BIGINT AS cut FROM faulty
+), dp AS (
+  SELECT conv_id, 0::BIGINT AS pos, {{'c': 0::BIGINT, 'a': '', 'o': []::VARCHAR[]}} AS z, NULL::STRUCT(c BIGINT, a VARCHAR, o VARCHAR[]) AS s,
+         NULL::STRUCT(c BIGINT, a VARCHAR, o VARCHAR[]) AS u, NULL::STRUCT(c BIGINT, a VARCHAR, o VARCHAR[]) AS a
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, pos, {_way("z", "3", "D")}, {_least(_way("s", "3", "D"), _kept("z", "s"))},
+         {_least(_way("u1", "3", "D"), *[f(x, y) for x in ("z", "s", "a1") for f, y in ((_kept, "u"), (_renamed, "user"))])},
+         {_least(_way("a1", "3", "D"), _kept("u1", "a"), _renamed("u1", "assistant"))}
+  FROM (SELECT *, {_NEW_ASSISTANT} AS a1 FROM (
+          SELECT dp.conv_id, r.pos, z, s, u, a, role, text, initial, gone, cut, {_NEW_USER} AS u1
+          FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.pos = dp.pos + 1))
+), last AS (
+  SELECT conv_id, unnest(arg_max([{{'z': z, 's': s, 'u': u, 'a': a}}], pos)) AS v FROM dp GROUP BY conv_id
+), ended AS (
+  SELECT conv_id, {_least("z", "a1")} AS best FROM (
+    SELECT *, {_NEW_ASSISTANT} AS a1 FROM (SELECT conv_id, z, a, {_NEW_USER} AS u1 FROM (SELECT conv_id, v.z AS z, v.s AS s, v.u AS u, v.a AS a FROM last)))
+), facts AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+         sum(cut)::BIGINT AS truncated, count(*) FILTER (WHERE two NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, best.c AS cost, best.a AS audit, sha256(array_to_string(best.o, chr(10))) AS repaired_sha256
+FROM ended e LEFT JOIN facts f ON e.conv_id IS NOT DISTINCT FROM f.conv_id
 """,
 }

@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.common import table
+from tallyloom.llm.conversations import repair
 from tallyloom.llm.decontamination import find_leaks
 from tallyloom.llm.jaccard_join import jaccard_classes
 from tallyloom.llm.license_scan import license_scan
 from tallyloom.llm.main_text import extract_pages
 from tallyloom.llm.packing import pack_documents
+from tallyloom.llm.personal_data import personal_data
 from tallyloom.llm.quality_classifier import quality_scores
 from tallyloom.llm.quality_rules import quality_rules
 from tallyloom.llm.resampling import resample
@@ -64,10 +66,18 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair(table(spark, folder, "conversations"))
+
+
 def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_license_scans,
         op10_quality_rules,
+        op11_conversation_repair,
         op12_importance_resampling,
+        op13_personal_data,
     )
 }
