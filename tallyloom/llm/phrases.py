@@ -12,6 +12,7 @@ _BYTES = np.random.RandomState(3).randint(1, 2**63 - 1, 256, np.int64).astype(np
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
+_PLACE, _PIECE = np.uint64(24), 1 << 23
 
 
 @dataclass
@@ -52,6 +53,20 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:-rest], out[rest:]) if rest else out
 
 
+def trigger_places(hashes: np.ndarray) -> np.ndarray:
+    """The place of each span's trigger: the least hash without its last ``_PLACE`` bits, the first of equals.
+
+    Long inputs go piece by piece, so that a place always fits into those bits and the choice
+    depends on the span's bytes alone.
+    """
+    width, out = SPAN - TRIGGER + 1, []
+    for at in range(0, len(hashes) - width + 1, _PIECE):
+        own = hashes[at : at + _PIECE + width - 1]
+        least = sliding_min((own >> _PLACE << _PLACE) | np.arange(len(own), dtype=np.uint64), width)
+        out.append((least & ((np.uint64(1) << _PLACE) - np.uint64(1))).astype(np.int64) + at)
+    return np.concatenate(out)
+
+
 def parse(texts: list[bytes]) -> Parse:
     """Cuts texts into phrases such that equal spans always lie in phrases with equal triggers.
 
@@ -70,9 +85,7 @@ def parse(texts: list[bytes]) -> Parse:
             return Parse(none, none, none, none, none)
         values = _BYTES[np.frombuffer(data, np.uint8)]
         hashes = rolling(values, TRIGGER)
-        bits = np.uint64(max(24, len(data).bit_length()))
-        least = sliding_min((hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64), SPAN - TRIGGER + 1)
-        place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        place = trigger_places(hashes)
         owner = np.repeat(np.arange(len(texts)), np.maximum(sizes - SPAN + 1, 0))
         at = np.arange(len(owner)) - np.repeat(np.cumsum(np.maximum(sizes - SPAN + 1, 0)) - np.maximum(sizes - SPAN + 1, 0), np.maximum(sizes - SPAN + 1, 0)) + begins[owner]
         place = place[at]
@@ -95,6 +108,14 @@ def contents(data: bytes, begin: np.ndarray, spans: np.ndarray) -> np.ndarray:
         return _contents(_BYTES[np.frombuffer(data, np.uint8)], begin, spans)
 
 
+def trigger_offsets(data: bytes, begin: np.ndarray, trigger: np.ndarray) -> np.ndarray:
+    """How far into each phrase its trigger stands."""
+    with np.errstate(over="ignore"):
+        hashes = rolling(_BYTES[np.frombuffer(data, np.uint8)], TRIGGER).view(np.int64)
+    near = begin[:, None] + np.arange(SPAN - TRIGGER + 1)
+    return np.argmax(hashes[near] == trigger[:, None], axis=1)
+
+
 def first_in_text(own: Parse) -> np.ndarray:
     """Whether no equal phrase stands before in the same text."""
     order = np.lexsort((own.start, own.content, own.trigger, own.text))

@@ -8,20 +8,20 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import by_batch, forget, pick, slices, stored
-from tallyloom.llm.links import groups
-from tallyloom.llm.phrases import SPAN, Parse, contents, first_in_text, parse
+from tallyloom.llm.phrases import SPAN, Parse, contents, first_in_text, parse, trigger_offsets
 
-#: Dictionary phrases with one trigger that are sorted in one task; the spans of more meet by their hash.
-HOT = 2_000
-#: Dictionary phrases whose spans are sorted at once.
-SORTED = 3_000
+#: Spans of a phrase are dealt into classes by how far into the span the trigger stands: so many offsets each.
+OFFSETS = 22
 
 _PHRASE = "doc long, start long, spans int, trigger long, content long"
-_MARK = "doc long, start long, content long, first int, n int"
+_CLASS = "core long, doc long, start long, content long, first int, n int, offset int, bytes binary"
+_SUFFIX = "core long, side int, rest binary, doc long, start long, content long, first int"
+_BORDER = f"part int, kind int, {_SUFFIX}"
 
 
 def _parses(column: pa.Array) -> Iterator[tuple[int, list[bytes], Parse]]:
@@ -47,91 +47,111 @@ def _triggers(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts.astype(np.int64))], names=["trigger", "n"])
 
 
-def _contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The bytes of the phrases wanted of each text; a text that isn't the one they come from has none."""
-    out: list[list] = [[] for _ in range(6)]
-    names = ("start", "spans", "trigger", "content", "hot")
+def _classes(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The classes of spans of the phrases wanted of each text; a text that isn't the one they come from has none.
+
+    All spans of one class hold the same bytes around the trigger, ``SPAN - OFFSETS + 1`` of them: equal spans
+    of different phrases have the same ``core``. ``offset`` is the first span's place in its class.
+    """
+    out: list[list] = [[] for _ in range(8)]
     for key, text, wanted in zip(*(batch.column(i) for i in range(3)), strict=True):
         data, items = text.as_py().encode(), wanted.values
-        start, spans, trigger, content, hot = (items.field(n).to_numpy(zero_copy_only=False) for n in names)
+        start, spans, trigger, content = (items.field(n).to_numpy(zero_copy_only=False) for n in ("start", "spans", "trigger", "content"))
         fits = np.flatnonzero(start + spans + SPAN - 1 <= len(data))
         fits = fits[contents(data, start[fits], spans[fits]) == content[fits]] if len(fits) else fits
-        out[0] += [key.as_py()] * len(fits)
-        for column, values in zip(out[1:5], (start, trigger, content, hot), strict=True):
-            column += values[fits].tolist()
-        out[5] += [data[a : a + n + SPAN - 1] for a, n in zip(start[fits].tolist(), spans[fits].tolist(), strict=True)]
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc", "start", "trigger", "content", "hot", "bytes"])
-
-
-def _spans(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All spans of some phrases as fixed-width strings, with their phrase and their place in it."""
-    sizes = np.fromiter((len(b.as_py()) for c in rows["bytes"].chunks for b in c), np.int64, rows.num_rows)
-    data = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8)
-    counts, begins = sizes - SPAN + 1, np.cumsum(sizes) - sizes
-    phrase = np.repeat(np.arange(len(sizes)), counts)
-    place = np.arange(len(phrase)) - np.repeat(np.cumsum(counts) - counts, counts)
-    views = np.lib.stride_tricks.sliding_window_view(data, SPAN)[begins[phrase] + place]
-    return np.ascontiguousarray(views).view(f"S{SPAN}").ravel(), phrase, place
-
-
-def _marks(rows: pa.Table, phrase: np.ndarray, place: np.ndarray, again: np.ndarray) -> pa.RecordBatch:
-    """Runs of neighbouring spans that stand earlier elsewhere."""
-    spots = np.flatnonzero(again)
-    new = np.r_[True, (np.diff(spots) != 1) | (np.diff(phrase[spots]) != 0)] if len(spots) else np.empty(0, bool)
-    heads = spots[new]
-    lengths = np.diff(np.r_[np.flatnonzero(new), len(spots)])
-    who = pa.array(phrase[heads])
-    own = [rows[c].combine_chunks().take(who) for c in ("doc", "start", "content")]
-    own = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in own]
-    return pa.RecordBatch.from_arrays([*own, pa.array(place[heads].astype(np.int32)), pa.array(lengths.astype(np.int32))], names=["doc", "start", "content", "first", "n"])
-
-
-def _suffix_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorts the spans of whole trigger groups; of equal neighbours all but the earliest are marked.
-
-    This is the dictionary's suffix array to the depth of a span. Phrases come in the order of
-    their earliest place in the parse and the sort is stable, so the first of equal spans is the earliest.
+        if not len(fits):
+            continue
+        start, spans, trigger, content = start[fits], spans[fits], trigger[fits], content[fits]
+        # the trigger stands at this offset of the first span, at one less of the next, and so on
+        for at, n, own, what, most in zip(start.tolist(), spans.tolist(), trigger.tolist(), content.tolist(), trigger_offsets(data, start, trigger).tolist(), strict=True):
+            place = at + most
+            for kind in range((most - n + 1) // OFFSETS, most // OFFSETS + 1):
+                high = min(most, kind * OFFSETS + OFFSETS - 1)
+                low = max(most - n + 1, kind * OFFSETS)
+                core = data[place - kind * OFFSETS : place - kind * OFFSETS + SPAN - OFFSETS + 1]
+                out[0].append(xxhash.xxh3_64_intdigest(core, own & (2**64 - 1) ^ kind) - 2**63)
+                out[1].append(key.as_py())
+                out[2].append(at)
+                out[3].append(what)
+                out[4].append(most - high)
+                out[5].append(high - low + 1)
+                out[6].append(high - kind * OFFSETS)
+                out[7].append(data[place - high : place - low + SPAN])
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=[f.split()[0] for f in _CLASS.split(", ")])
+
+
+def _suffixes(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Every span of some classes: its core, its offset, and the bytes that the core leaves out."""
+    columns = {n: batch.column(i) for i, n in enumerate(("core", "doc", "start", "content", "first", "n", "offset", "bytes"))}
+    n, offset, first = (columns[c].to_numpy() for c in ("n", "offset", "first"))
+    who = np.repeat(np.arange(batch.num_rows), n)
+    step = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
+    begins = np.cumsum([0, *(len(b.as_py()) for b in columns["bytes"])])[:-1]
+    data = np.frombuffer(b"".join(columns["bytes"].to_pylist()), np.uint8)
+    # to the left of the core lie as many bytes as the offset says, to the right the others
+    left = (offset[who] - step)[:, None]
+    place = np.arange(OFFSETS - 1)[None, :]
+    place = begins[who][:, None] + step[:, None] + np.where(place < left, place, place + SPAN - OFFSETS + 1)
+    rest = pa.Array.from_buffers(pa.binary(OFFSETS - 1), len(who), [None, pa.py_buffer(data[place].tobytes())]).cast(pa.binary())
+    taken = [columns[c].take(pa.array(who)) for c in ("core", "doc", "start", "content")]
+    return pa.RecordBatch.from_arrays(
+        [taken[0], pa.array(left.ravel().astype(np.int32)), rest, *taken[1:], pa.array((first[who] + step).astype(np.int32))],
+        names=[f.split()[0] for f in _SUFFIX.split(", ")],
+    )
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Marks every suffix of a sorted partition that equals the one before; the first one as unknown.
+
+    Each batch carries the last suffix of the one before. The first row of a partition, and the last
+    one, come out as borders, by which the partitions are compared.
     """
-
-    def work(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        rows = pa.concat_tables(held).combine_chunks()
-        rows = rows.take(pa.array(np.lexsort((rows["content"].to_numpy(), rows["start"].to_numpy(), rows["doc"].to_numpy()))))
-        same = np.ones(rows.num_rows - 1, bool)
-        for name in ("doc", "start", "content"):
-            same &= np.diff(rows[name].to_numpy()) == 0
-        rows = rows.filter(pa.array(np.r_[True, ~same]))  # a repeated row is one place
-        texts, phrase, place = _spans(rows)
-        order = np.argsort(texts, kind="stable")
-        ranked = texts[order]
-        again = np.zeros(len(order), bool)
-        again[order[1:]] = ranked[1:] == ranked[:-1]
-        if again.any():
-            yield _marks(rows, phrase, place, again)
-
-    held: list[pa.Table] = []
-    for rows in groups(batches, 1):
-        held.append(rows)
-        if sum(r.num_rows for r in held) >= SORTED:
-            yield from work(held)
-            held = []
-    if held:
-        yield from work(held)
-
-
-def _hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Every span of the phrases by its 128-bit hash."""
-    rows = pa.Table.from_batches([batch])
-    own, phrase, place = [], [], []
-    for i, data in enumerate(rows["bytes"].to_pylist()):
-        for j in range(len(data) - SPAN + 1):
-            own.append(xxhash.xxh3_128_digest(data[j : j + SPAN]))
-            phrase.append(i)
-            place.append(j)
-    who = pa.array(phrase, pa.int64())
-    columns = [rows[c].combine_chunks().take(who) for c in ("doc", "start", "content")]
-    columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
-    return pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), *columns, pa.array(place, pa.int32())], names=["span", "doc", "start", "content", "first"])
+    context = TaskContext.get()
+    part = context.partitionId() if context else 0
+    last: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        core, offset = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, OFFSETS - 1)
+        same = (np.diff(core) == 0) & (np.diff(offset) == 0) & (raw[1:] == raw[:-1]).all(axis=1)
+        head = (core[0], offset[0], raw[0].tobytes())
+        again = np.r_[last == head, same]
+        kind = np.where(again, 1, 0)
+        if last is None:
+            kind[0] = 2
+        places = np.flatnonzero(kind)
+        rows = batch.take(pa.array(places))
+        last = (core[-1], offset[-1], raw[-1].tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(places), part), pa.int32()), pa.array(kind[places], pa.int32()), *rows.columns], names=[f.split()[0] for f in _BORDER.split(", ")]
+        )
+    if last is not None:
+        end = [part, 3, *(x.item() if hasattr(x, "item") else x for x in last), None, None, None, None]
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(end, kinds, strict=True)], names=[f.split()[0] for f in _BORDER.split(", ")])
+
+
+def _sorted_marks(suffixes: DataFrame) -> DataFrame:
+    """(doc, start, content, first, n) of every suffix that stands earlier too.
+
+    The suffixes are sorted by a range partitioning over their bytes and places, so equal ones may
+    reach over any number of partitions: the first of all is the earliest, every other one is marked. A partition's first
+    row is judged by the last row of the partition before it, from a table of two rows a partition.
+    """
+    order = ["core", "side", "rest", "doc", "at"]
+    rows = stored(suffixes.withColumn("at", F.col("start") + F.col("first")))
+    columns = [f.split()[0] for f in _SUFFIX.split(", ")]
+    judged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns).mapInArrow(_neighbours, _BORDER)
+    judged = stored(judged)
+    forget(rows)
+    borders = judged.filter("kind >= 2")
+    before = Window.partitionBy(F.lit(0)).orderBy("part", "kind")
+    same = [F.lag(c).over(before) == F.col(c) for c in ("core", "side", "rest")]
+    heads = borders.withColumn("again", same[0] & same[1] & same[2]).filter("kind = 2 AND again")
+    marks = judged.filter("kind = 1").select("doc", "start", "content", "first", F.lit(1).alias("n"))
+    return marks.unionByName(heads.select("doc", "start", "content", "first", F.lit(1).alias("n")))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -143,9 +163,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     Texts are parsed into phrases. The distinct phrases are the dictionary, their occurrences the
     parse; an occurrence after the first of its phrase is marked as a whole. Spans of different
     phrases can only be equal if the phrases share their trigger, so phrases whose trigger is their
-    own are done. The rest of the dictionary is sorted by its spans, trigger by trigger, which gives
-    the corpus order to the depth of a span; among equal spans the earliest in the parse stays. A
-    trigger with more than ``HOT`` phrases is spread by the hash of its spans instead, with partial sums.
+    own are done. The spans of the others are dealt into classes by where the trigger stands in them:
+    equal spans lie in classes with an equal core of ``SPAN - OFFSETS + 1`` bytes. Of equal classes
+    all but the earliest are marked; classes whose core is their own are done. What is left is sorted by suffix
+    to the depth of a span (:func:`_sorted_marks`). Every trigger goes the same way, however many phrases it has.
     """
     docs = docs.filter("doc IS NOT NULL")
     counts = docs.mapInArrow(by_batch(_triggers), "trigger long, n long").groupBy("trigger").agg(F.sum("n").alias("n"))
@@ -160,19 +181,19 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     forget(shared, parsed)
 
     kinds = dictionary.groupBy("trigger").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    unclear = dictionary.join(kinds, "trigger").select("at.doc", F.struct("at.start", "spans", "trigger", "content", (F.col("kinds") > HOT).alias("hot")).alias("p"))
+    unclear = dictionary.join(kinds.select("trigger"), "trigger").select("at.doc", F.struct("at.start", "spans", "trigger", "content").alias("p"))
     wanted = unclear.groupBy("doc").agg(F.collect_list("p").alias("wanted"))
     found = docs.join(wanted, "doc").select("doc", "text", "wanted")
-    found = stored(found.mapInArrow(by_batch(_contexts), "doc long, start long, trigger long, content long, hot boolean, bytes binary"))
+    found = stored(found.mapInArrow(by_batch(_classes), _CLASS))
     forget(dictionary)
-    cold = found.filter("NOT hot").select("doc", "trigger", "start", "content", "bytes")
-    marks.append(stored(cold.repartition("trigger").sortWithinPartitions("trigger").mapInArrow(_suffix_sorted, _MARK)))
-    spans = found.filter("hot").mapInArrow(by_batch(_hashed), "span binary, doc long, start long, content long, first int")
-    spans = stored(spans)
-    earliest = spans.groupBy("span").agg(F.min(F.struct("doc", (F.col("start") + F.col("first")).alias("at"), "start", "content", "first")).alias("e"))
-    earliest = earliest.select("e.doc", "e.start", "e.content", "e.first")
-    marks.append(stored(spans.join(earliest, ["doc", "start", "content", "first"], "left_anti").select("doc", "start", "content", "first", F.lit(1).alias("n"))))
-    forget(found, spans)
+    at = F.struct("doc", (F.col("start") + F.col("first")).alias("at"), "start", "content", "first", "n")
+    equal = stored(found.groupBy("core", "offset", "bytes").agg(F.min(at).alias("e")))
+    known = equal.select("e.doc", "e.start", "e.content", "e.first")
+    marks.append(stored(found.select("doc", "start", "content", "first", "n").join(known, ["doc", "start", "content", "first"], "left_anti")))
+    forget(found)
+    cores = equal.groupBy("core").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("core")
+    open_classes = equal.join(cores, "core", "left_semi").select("core", "e.doc", "e.start", "e.content", "e.first", "e.n", "offset", "bytes")
+    marks.append(_sorted_marks(open_classes.mapInArrow(by_batch(_suffixes), _SUFFIX)))
     return marks[0].unionByName(marks[1]).unionByName(marks[2])
 
 

@@ -9,6 +9,7 @@ import pytest
 
 from tallyloom.llm import jaccard_join as jj
 from tallyloom.llm import links
+from tallyloom.llm import phrases
 from tallyloom.llm import span_dedup as sd
 from tallyloom.llm.phrases import SPAN, parse
 from tallyloom.llm.queries import QUERIES
@@ -128,11 +129,41 @@ def test_components(spark):
     assert links.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-@pytest.mark.parametrize("hot", [sd.HOT, 2])
-def test_spans(spark, monkeypatch, hot):
-    monkeypatch.setattr(sd, "HOT", hot)
-    monkeypatch.setattr(sd, "SORTED", 40)
-    texts = list(enumerate(corpus(hot) + ["ü" * 120 + "z", "ü" * 120, "x" * 99, "x" * 100, "x" * 101, "\x00" * 250, "a\x00" * 200]))
+@pytest.fixture(params=[1, 40])
+def partitions(spark, request):
+    """Adaptive execution is off, so that range partitions stay as many as are asked for."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+def test_one_trigger_with_most_phrases(spark, partitions):
+    """A passage in hundreds of texts, each time between other words: equal suffixes reach over range partitions."""
+    draw = random.Random(partitions)
+
+    def noise(n):
+        return "".join(draw.choice("abcdefghij klmnop") for _ in range(n))
+
+    passages = [noise(112), noise(101), noise(130)]
+    texts = [noise(draw.randrange(5, 60)) + passages[i % 7 % 3] + noise(draw.randrange(5, 60)) for i in range(400)]
+    texts += [noise(40) + passages[0][:70] + noise(60) + passages[0][40:] for _ in range(40)]
+    texts = list(enumerate(texts))
+    assert rows_of(sd.span_digest(frame(spark, [t for _, t in texts])), DIGEST) == digests(texts)
+
+
+def test_triggers_do_not_depend_on_neighbours(monkeypatch):
+    texts = [t.encode() for t in corpus(5)]
+    whole = phrases.parse(texts)
+    monkeypatch.setattr(phrases, "_PIECE", 130)
+    pieces = phrases.parse(texts)
+    assert all((getattr(whole, c) == getattr(pieces, c)).all() for c in ("text", "start", "spans", "trigger", "content"))
+
+
+@pytest.mark.parametrize("seed", [2_000, 2])
+def test_spans(spark, seed):
+    texts = list(enumerate(corpus(seed) + ["ü" * 120 + "z", "ü" * 120, "x" * 99, "x" * 100, "x" * 101, "\x00" * 250, "a\x00" * 200]))
     assert rows_of(sd.span_digest(frame(spark, [t for _, t in texts])), DIGEST) == digests(texts)
 
 
