@@ -20,13 +20,13 @@ PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption pre blockquot
 #: An open paragraph ends where one of these begins.
 ENDS_P = BLOCKS - {"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}
 _UNLIKELY = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies cta disqus footer gdpr header hidden legal login "
-    "masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related replies reply search share sharing shoutbox sidebar signup "
+    "ad ads adsbygoogle advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies cta discussion disqus footer gdpr header hidden legal login "
+    "masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related replies reply respond search share sharing shoutbox sidebar signup "
     "skip social sponsor sponsored subscribe subscription tags toolbar widget".split()
 )
 _UNLIKELY_PARTS = ("sidebar", "advert", "cookie", "comment", "newsletter", "breadcrumb", "sponsor", "navbar", "popup")
-#: Of these words those that page wrappers have too ("no-sidebar", "header-fixed"): they tell little where most of the text is.
-_LAYOUT = frozenset("banner footer header hidden masthead menu modal nav navbar navigation search sidebar skip toolbar widget".split())
+#: Words after which an unlikely one says what a page wrapper has or lacks ("no-sidebar").
+_ABOUT = frozenset("no non not with without has hide".split())
 #: Characters; with less text outside, an element that holds most of a page is kept whatever it is called.
 SHORT = 250
 _LIKELY = frozenset("article body content entry main page post story text blog".split())
@@ -42,7 +42,7 @@ class Node:
     def __init__(self, tag: str, parent: Node | None, first: int):
         self.tag, self.parent, self.first, self.last = tag, parent, first, first
         self.score, self.chars, self.link_chars, self.is_block = 0.0, 0, 0, tag in BLOCKS
-        self.place, self.unlikely = (0, 0), ""
+        self.place, self.unlikely = (0, 0), False
 
     @property
     def link_density(self) -> float:
@@ -190,16 +190,18 @@ class _Page(HTMLParser):
             node.last = len(self.blocks)
 
 
-def unlikely_words(tag: str, attrs: list[tuple[str, str | None]]) -> str:
-    """Whether class or id have words that article text seldom has: "words", "layout" if such of page wrappers alone, or ""."""
-    found: list[str] = []
-    if tag not in ("html", "body", "header"):
-        for name, value in attrs:
-            value = (value or "").lower()
-            tokens = _TOKENS.findall(value)
-            if name in ("class", "id") and "article" not in tokens:
-                found += [t for t in tokens if t in _UNLIKELY] + [p for p in _UNLIKELY_PARTS if p in value]
-    return "" if not found else "layout" if _LAYOUT.issuperset(found) else "words"
+def unlikely_words(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether class or id have words that article text seldom has."""
+    if tag in ("html", "body", "header"):
+        return False
+    for name, value in attrs:
+        tokens = _TOKENS.findall((value or "").lower())
+        if name not in ("class", "id") or "article" in tokens:
+            continue
+        for before, token in zip(["", *tokens], tokens, strict=False):
+            if before not in _ABOUT and (token in _UNLIKELY or any(part in token for part in _UNLIKELY_PARTS)):
+                return True
+    return False
 
 
 def _read(html: str, spared: frozenset[tuple[int, int]] | None = frozenset()) -> _Page:
@@ -214,8 +216,7 @@ def _wrappers(page: _Page) -> frozenset[tuple[int, int]]:
 
     From outside in: while no article or main is left, the element that holds a main, or the longest
     article if less text than that is left outside; then what holds most of the page's text, mostly without
-    links, if less than ``SHORT`` is left outside or, while no article or main is left, if its words are
-    those of layout or it holds an h1.
+    links, if less than ``SHORT`` is left outside or, while no article or main is left, if it holds an h1.
     """
     over: dict[int, Node | None] = {}  # the innermost unlikely element that a node lies in or is
     inner: dict[int, list[Node]] = {id(None): []}
@@ -247,7 +248,7 @@ def _wrappers(page: _Page) -> frozenset[tuple[int, int]]:
         best = max(top, key=lambda n: longest.get(id(n), 0))
         if has_article or longest.get(id(best), 0) <= left:
             best = max(top, key=lambda n: n.chars)
-            if 2 * best.chars <= page.root.chars or best.link_density >= 0.25 or not (left < SHORT or not has_article and (best.unlikely == "layout" or id(best) in with_h1)):
+            if 2 * best.chars <= page.root.chars or best.link_density >= 0.25 or not (left < SHORT or not has_article and id(best) in with_h1):
                 break
         spared.add(best.place)
         has_article |= id(best) in direct

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -12,11 +13,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import by_batch, pick, slices, stored
+from tallyloom.llm.common import by_batch, forget, pick, slices, stored
 from tallyloom.llm.token_counts import Splitter
 
 #: Items that one best-fit run holds; a partition with more is packed run by run.
 ITEMS = 200_000
+#: Shuffles of open bins at most. Only with more than ``ITEMS`` open bins can there be a second one; each
+#: brings other bins together, and after the first few hardly any two of them fit into one.
+ROUNDS = 12
 #: Pre-tokens whose ids a worker remembers; beyond it the store starts afresh.
 HELD = 300_000
 END_ID = 0
@@ -25,32 +29,68 @@ _MEMBER = "struct<doc_id: {key}, piece: int, start: bigint, length: bigint, ids_
 
 
 class Ids:
-    """Token ids of texts as little-endian 32-bit bytes, by the tokenizers library."""
+    """Token ids of texts, by the tokenizers library.
+
+    Each pre-token has a number; its ids lie in one array from its begin on. The texts of a run are looked up
+    by one pass over their pre-tokens, new ones go to the library in one call, and all ids come from one gather.
+    """
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+
         self.splitter = Splitter(path)
         self.special = {t.content: i for i, t in self.splitter.library.get_added_tokens_decoder().items()}
+        # the same model over lines, one pre-token each, whose bytes are written as the characters that the model has for them
+        self.words = Tokenizer(self.splitter.library.model)
+        self.words.pre_tokenizer = CharDelimiterSplit("\n")
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        self.chars = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
-        self.known: dict[str, bytes] = {}
-
-    def of_part(self, part: str) -> bytes:
-        if part in self.special:
-            ids = [self.special[part]]
-        else:
-            ids = [t.id for t in self.splitter.library.model.tokenize(part.encode().decode("latin-1").translate(self.chars))]
-        return np.array(ids, "<u4").tobytes()
-
-    def of_texts(self, texts: list[str]) -> Iterator[bytes]:
+        self.chars = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)} | {10: "\n"}
+        self.forget()
+
+    def forget(self) -> None:
+        """Only number 0 is known: what ends every text."""
+        self.known: dict[str, int] = {}
+        self.ids, self.begins = np.array([END_ID], np.uint32), np.array([0, 1], np.int64)
+
+    def _learn(self, parts: list[str]) -> None:
+        """The ids of ``parts``, which are in normal form and one pre-token each, behind those known."""
+        special = self.special
+        plain = "\n".join("" if p in special else p for p in parts)
+        encoded = self.words.encode(plain.encode().decode("latin-1").translate(self.chars), add_special_tokens=False)
+        ids, word = np.array(encoded.ids, np.uint32), np.array(encoded.word_ids, np.int64)
+        held = np.array([p not in special for p in parts])
+        sizes = np.ones(len(parts), np.int64)
+        sizes[held] = np.bincount(word, minlength=int(held.sum()))
+        new = np.empty(int(sizes.sum()), np.uint32)
+        mine = np.repeat(held, sizes)
+        new[mine] = ids
+        new[~mine] = [special[p] for p in parts if p in special]
+        self.ids = np.concatenate([self.ids, new])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes)])
+
+    def of_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each followed by the end id, and where each text's ids begin."""
         parts = [self.splitter.parts(text) for text in texts]
-        new = set().union(*parts) - self.known.keys()
-        if len(self.known) + len(new) > HELD:
-            self.known.clear()
-            new = set().union(*parts)
-        for part in new:
-            self.known[part] = self.of_part(part)
-        for own in parts:
-            yield b"".join(map(self.known.__getitem__, own))
+        if len(self.known) > HELD:
+            self.forget()
+        known, flat = self.known, list(chain.from_iterable(parts))
+        found = np.fromiter(map(known.get, flat, repeat(0)), np.int64, len(flat))
+        missing = np.flatnonzero(found == 0).tolist()
+        if missing:
+            new = list(dict.fromkeys(flat[i] for i in missing))
+            known.update(zip(new, range(len(known) + 1, len(known) + len(new) + 1), strict=True))
+            self._learn(new)
+            found[missing] = [known[flat[i]] for i in missing]
+        counts = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+        numbers = np.zeros(len(flat) + len(parts), np.int64)
+        words = np.ones(len(numbers), bool)
+        words[np.cumsum(counts) - 1] = False
+        numbers[words] = found
+        sizes = np.diff(self.begins)[numbers]
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[numbers] - ends + sizes, sizes)]
+        return ids, np.concatenate([[0], ends[np.cumsum(counts) - 1]]) if len(texts) else np.zeros(1, np.int64)
 
 
 @functools.lru_cache(maxsize=2)
@@ -63,18 +103,18 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int, *, key: str = "doc_id",
     rows = pick(docs, key, text)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        end, step = np.array([END_ID], "<u4").tobytes(), 4 * capacity
         who, piece, start, length, crc = [], [], [], [], []
         for first, texts in slices(batch.column(1)):
-            for i, ids in enumerate(_ids(vocabulary).of_texts(texts), first):
-                ids += end
-                for at in range(0, len(ids), step):
-                    own = ids[at : at + step]
+            ids, begins = _ids(vocabulary).of_texts(texts)
+            data, begins = memoryview(ids.astype("<u4").tobytes()), begins.tolist()
+            for i, (begin, end) in enumerate(pairwise(begins), first):
+                for at in range(begin, end, capacity):
+                    own = min(capacity, end - at)
                     who.append(i)
-                    piece.append(at // step)
-                    start.append(at // 4)
-                    length.append(len(own) // 4)
-                    crc.append(zlib.crc32(own))
+                    piece.append((at - begin) // capacity)
+                    start.append(at - begin)
+                    length.append(own)
+                    crc.append(zlib.crc32(data[4 * at : 4 * (at + own)]))
         return pa.RecordBatch.from_arrays(
             [batch.column(0).take(pa.array(who, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
             names=[key, "piece", "start", "length", "ids_crc32"],
@@ -157,9 +197,9 @@ def pack(pieces: DataFrame, capacity: int, *, key: str = "doc_id") -> DataFrame:
 
     The first round packs every partition of the stored pieces for itself. Bins with less room than the
     emptiest bin fills can't be joined with any and are done; the others travel on as items with their members, into as many
-    partitions as runs of ``ITEMS`` are needed, until one run has held all or a round joins none. Nothing
-    but open bins is ever shuffled, a task holds ``ITEMS`` items, and each round's bins are written,
-    so a lost executor finds the same bins again.
+    partitions as runs of ``ITEMS`` are needed, until one run has held all or a round joins none, ``ROUNDS``
+    times at most. Nothing but open bins is ever shuffled and a task holds ``ITEMS`` items. Each round's bins are
+    written, so a lost executor finds the same bins again; once the next ones stand, only the done are kept.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -168,18 +208,20 @@ def pack(pieces: DataFrame, capacity: int, *, key: str = "doc_id") -> DataFrame:
     member = F.struct(F.col(key).alias("doc_id"), "piece", "start", "length", "ids_crc32", F.lit(0).cast("bigint").alias("offset"))
     items = pieces.select(F.lit(0).cast("bigint").alias("sequence_id"), F.col("length").alias("fill"), F.array(member).alias("members"))
     schema = to_arrow_schema(pieces.sparkSession.createDataFrame([], form).schema)
-    level, done, before, last = 0, [], None, False
+    level, done, before, last, travelled = 0, [], None, False, None
     while True:
         bins = stored(items.mapInArrow(_pack(level, capacity, schema), form))
+        if travelled is not None:
+            forget(travelled)
         made, least = bins.agg(F.count("*"), F.min("fill")).first()
         open_bins = bins.filter(F.col("fill") <= capacity - (least or 0))
-        n = 0 if last or made == before else open_bins.count()
+        n = 0 if last or made == before or level == ROUNDS else open_bins.count()
         if n <= 1:
             done.append(bins)
             break
-        done.append(bins.filter(F.col("fill") > capacity - least))
+        done.append(stored(bins.filter(F.col("fill") > capacity - least)))
         parts = -(-n // ITEMS)
-        items, before, last, level = open_bins.repartition(parts, "sequence_id"), n, parts == 1, level + 1
+        items, before, last, level, travelled = open_bins.repartition(parts, "sequence_id"), n, parts == 1, level + 1, bins
     whole = functools.reduce(DataFrame.unionByName, done)
     return whole.select("sequence_id", F.explode("members").alias("m")).select(
         F.col("m.doc_id").alias(key), "m.piece", "m.start", "m.length", "m.ids_crc32", "sequence_id", "m.offset"

@@ -66,6 +66,20 @@ def test_clutter_is_no_wrapper():
     assert main_text(f"<body><div>{BODY}</div><div id='cookie-consent'><p>{PROSE * 30}</p></div></body>") == WANTED
 
 
+NAMES = ["sidebar", "menu", "footer", "widget", "header", "navbar", "toolbar", "banner", "modal", "hidden", "search", "comments", "discussion", "respond", "cookie", "adsbygoogle", "newsletter", "related", "share-bar"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("box", ["<article>{}</article>", "<main>{}</main>", "<div class='post-body'>{}</div>", "<div>{}</div>"])
+def test_clutter_that_is_longer_than_the_article(name, box):
+    for attribute in ("class", "id"):
+        clutter = f"<div {attribute}='{name}'><p>{PROSE * 30}</p><p>{PROSE * 9}</p></div>"
+        assert main_text(f"<body>{clutter}{box.format(BODY)}</body>") == WANTED
+        assert main_text(f"<body><div>{box.format(BODY)}</div>{clutter}{clutter}</body>") == WANTED
+        inner = BODY.replace("</p>", f"</p><div {attribute}='{name}'>BUY NOW, leave a reply. {PROSE * 9}</div>", 1)
+        assert main_text(f"<body>{box.format(inner)}</body>") == WANTED
+
+
 def test_broken_markup():
     assert main_text(f"<body><article><p><b>One, two<br><p>{PROSE}</article><footer>foot") == f"One, two {PROSE.strip()}"
     assert main_text(f"<body><article><p>{PROSE}<nav><a>menu</a></article>") == PROSE.strip()
