@@ -22,7 +22,7 @@ ITEMS = 200_000
 #: brings other bins together, and after the first few hardly any two of them fit into one.
 ROUNDS = 12
 #: Pre-tokens whose ids a worker remembers; beyond it the store starts afresh.
-HELD = 300_000
+HELD = 600_000
 END_ID = 0
 
 _MEMBER = "struct<doc_id: {key}, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint>"
@@ -32,20 +32,14 @@ class Ids:
     """Token ids of texts, by the tokenizers library.
 
     Each pre-token has a number; its ids lie in one array from its begin on. The texts of a run are looked up
-    by one pass over their pre-tokens, new ones go to the library in one call, and all ids come from one gather.
+    in one pass over their pre-tokens, new ones go to the library's model, and all ids come from one gather.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import CharDelimiterSplit
-
         self.splitter = Splitter(path)
         self.special = {t.content: i for i, t in self.splitter.library.get_added_tokens_decoder().items()}
-        # the same model over lines, one pre-token each, whose bytes are written as the characters that the model has for them
-        self.words = Tokenizer(self.splitter.library.model)
-        self.words.pre_tokenizer = CharDelimiterSplit("\n")
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        self.chars = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)} | {10: "\n"}
+        self.chars = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
         self.forget()
 
     def forget(self) -> None:
@@ -55,18 +49,10 @@ class Ids:
 
     def _learn(self, parts: list[str]) -> None:
         """The ids of ``parts``, which are in normal form and one pre-token each, behind those known."""
-        special = self.special
-        plain = "\n".join("" if p in special else p for p in parts)
-        encoded = self.words.encode(plain.encode().decode("latin-1").translate(self.chars), add_special_tokens=False)
-        ids, word = np.array(encoded.ids, np.uint32), np.array(encoded.word_ids, np.int64)
-        held = np.array([p not in special for p in parts])
-        sizes = np.ones(len(parts), np.int64)
-        sizes[held] = np.bincount(word, minlength=int(held.sum()))
-        new = np.empty(int(sizes.sum()), np.uint32)
-        mine = np.repeat(held, sizes)
-        new[mine] = ids
-        new[~mine] = [special[p] for p in parts if p in special]
-        self.ids = np.concatenate([self.ids, new])
+        tokenize, special, chars = self.splitter.library.model.tokenize, self.special, self.chars
+        new = [[special[p]] if p in special else [t.id for t in tokenize(p.encode().decode("latin-1").translate(chars))] for p in parts]
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(new), np.uint32, int(sizes.sum()))])
         self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes)])
 
     def of_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +69,7 @@ class Ids:
             self._learn(new)
             found[missing] = [known[flat[i]] for i in missing]
         counts = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
-        numbers = np.zeros(len(flat) + len(parts), np.int64)
+        numbers = np.zeros(len(found) + len(parts), np.int64)
         words = np.ones(len(numbers), bool)
         words[np.cumsum(counts) - 1] = False
         numbers[words] = found
