@@ -2,6 +2,10 @@
 
 All of them bring the input to one row per entity first. From there every count is a plain sum with
 map-side partial aggregation; several distinct counts in one query would instead multiply the rows.
+
+Where several tables are wanted of the same entities, :func:`flag_lattice` counts them once per set of
+flags. Every function here takes its rows in place of entities: a flag, a combination, an
+intersection or a region is then a sum over the sets that include it.
 """
 
 from __future__ import annotations
@@ -13,10 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import suppressed_count
+from ..runtime import materialise
 from .shares import fixed_table, position, share, total_and_share
 
 TOTAL_LABEL = "TOTAL PARTICIPANTS"
 ZERO_LABEL = "Participants with 0 Data Type(s)"
+#: How many entities a row stands for.
+ENTITIES = "_entities"
 
 
 def flag_matrix(base: DataFrame, entity: str, members: Mapping[str, DataFrame]) -> DataFrame:
@@ -42,12 +49,34 @@ def entity_flags(df: DataFrame, entity: str, flags: Sequence[str], unique: bool
     return clean if unique else clean.groupBy(entity).agg(*[F.max(f).alias(f) for f in flags])
 
 
+def flag_lattice(df: DataFrame, entity: str, flags: Sequence[str], members: Sequence[str] = (), unique: bool = False) -> DataFrame:
+    """Entities per set of flags and populations: written once, a row per set that occurs.
+
+    At most 2 to the number of flags and ``members`` rows, however many entities there are. The result
+    goes to the functions of this module as ``df``, filtered by a member for one population.
+    """
+    columns = list(dict.fromkeys([*flags, *members]))
+    people = entity_flags(df, entity, columns, unique)
+    return materialise(people.groupBy(*columns).agg(F.count(F.lit(1)).alias(ENTITIES)))
+
+
+def _weighted(df: DataFrame, entity: str, flags: Sequence[str], unique: bool) -> DataFrame:
+    """Flags, and the entities that a row stands for: one, or more in a lattice."""
+    if ENTITIES in df.columns:
+        return df.select(*flags, ENTITIES)
+    return entity_flags(df, entity, flags, unique).withColumn(ENTITIES, F.lit(1))
+
+
 def _is_set(flag: str) -> Column:
     return F.col(flag) == 1
 
 
-def _sum_of(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0)).cast("bigint")
+def _sum_of(condition: Column, weight: Column | int = 1) -> Column:
+    return F.coalesce(F.sum(F.when(condition, weight).otherwise(0)), F.lit(0)).cast("bigint")
+
+
+def _entities_with(condition: Column) -> Column:
+    return _sum_of(condition, F.col(ENTITIES))
 
 
 def _as_rows(sums: DataFrame, columns: Sequence[str], entries: Sequence[tuple], keep: Sequence[str] = ()) -> DataFrame:
@@ -62,12 +91,12 @@ def _as_rows(sums: DataFrame, columns: Sequence[str], entries: Sequence[tuple],
 
 def count_by_flag(df: DataFrame, entity: str, flags: Sequence[str], none: str = "None", unique: bool = False) -> DataFrame:
     """Entities per flag, and those without any, with their share of all. Sorted by count."""
-    people = entity_flags(df, entity, flags, unique)
+    people = _weighted(df, entity, flags, unique)
     empty = ~reduce(lambda a, b: a | b, map(_is_set, flags))
     sums = people.agg(
-        F.count(F.lit(1)).alias("_all"),
-        *[_sum_of(_is_set(f)).alias(f"_{i}") for i, f in enumerate(flags)],
-        _sum_of(empty).alias("_none"),
+        _entities_with(F.lit(True)).alias("_all"),
+        *[_entities_with(_is_set(f)).alias(f"_{i}") for i, f in enumerate(flags)],
+        _entities_with(empty).alias("_none"),
     )
     entries = [(f"_{i}", f) for i, f in enumerate(flags)] + [("_none", none)]
     rows = _as_rows(sums, ["data_type"], entries, keep=["_all"]).filter(F.col("n") > 0)
@@ -90,8 +119,8 @@ def count_by_n_flags(
     df: DataFrame, entity: str, flags: Sequence[str], unique: bool = False, total: str = TOTAL_LABEL, zero: str = ZERO_LABEL
 ) -> DataFrame:
     """Entities by the number of flags they have, with a total row."""
-    people = entity_flags(df, entity, flags, unique)
-    counts = people.groupBy(_n_set(flags).alias("n_flags")).agg(F.count(F.lit(1)).alias("n"))
+    people = _weighted(df, entity, flags, unique)
+    counts = people.groupBy(_n_set(flags).alias("n_flags")).agg(F.sum(ENTITIES).alias("n"))
     labelled = counts.withColumn("label", _n_flags_label(F.col("n_flags"), len(flags), zero))
     return total_and_share(labelled, "label", total)
 
@@ -106,22 +135,18 @@ def count_by_flag_combo(
     df: DataFrame, entity: str, flags: Sequence[str], unique: bool = False, total: str = TOTAL_LABEL, zero: str = ZERO_LABEL
 ) -> DataFrame:
     """Entities by the exact set of flags they have, with a total row."""
-    people = entity_flags(df, entity, flags, unique)
+    people = _weighted(df, entity, flags, unique)
     counts = people.groupBy(_n_set(flags).alias("n_flags"), combination(flags).alias("combo")).agg(
-        F.count(F.lit(1)).alias("n")
+        F.sum(ENTITIES).alias("n")
     )
     labelled = counts.withColumn("label", _n_flags_label(F.col("n_flags"), len(flags), zero))
     return total_and_share(labelled, "combo", total)
 
 
 def flag_tables(df: DataFrame, entity: str, flags: Sequence[str], unique: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three flag tables of one population; the entity rows are computed once per table read."""
-    people = entity_flags(df, entity, flags, unique)
-    return (
-        count_by_flag(people, entity, flags, unique=True),
-        count_by_n_flags(people, entity, flags, unique=True),
-        count_by_flag_combo(people, entity, flags, unique=True),
-    )
+    """The three flag tables of one population, read from one lattice."""
+    sets = df if ENTITIES in df.columns else flag_lattice(df, entity, flags, unique=unique)
+    return count_by_flag(sets, entity, flags), count_by_n_flags(sets, entity, flags), count_by_flag_combo(sets, entity, flags)
 
 
 def flag_counts_by_population(
@@ -132,13 +157,13 @@ def flag_counts_by_population(
     All flags of all populations are sums over one pass. Flags nobody has are left out.
     """
     members = [p for p in populations.values() if p]
-    people = entity_flags(df, entity, list(dict.fromkeys([*flags, *members])), unique)
+    people = _weighted(df, entity, list(dict.fromkeys([*flags, *members])), unique)
     sums, entries = [], []
     for p, (population, member) in enumerate(populations.items()):
         inside = _is_set(member) if member else F.lit(True)
-        sums.append(_sum_of(inside).alias(f"_all{p}"))
+        sums.append(_entities_with(inside).alias(f"_all{p}"))
         for i, flag in enumerate(flags):
-            sums.append(_sum_of(inside & _is_set(flag)).alias(f"_{p}_{i}"))
+            sums.append(_entities_with(inside & _is_set(flag)).alias(f"_{p}_{i}"))
             entries.append((f"_{p}_{i}", flag.replace("_", " "), population, p))
     totals = [f"_all{p}" for p in range(len(populations))]
     rows = _as_rows(people.agg(*sums), ["data_type", "population", "_p"], entries, keep=totals)
@@ -150,9 +175,9 @@ def overlap_regions(
     df: DataFrame, entity: str, flags: Sequence[str], min_cell: int = 20, unique: bool = False
 ) -> DataFrame:
     """Size of every exclusive overlap of the flags, empty ones included, small ones masked."""
-    people = entity_flags(df, entity, flags, unique)
+    people = _weighted(df, entity, flags, unique)
     region = F.concat(*[F.col(f).cast("string") for f in flags]).alias("region")
-    counts = people.groupBy(region).agg(F.count(F.lit(1)).alias("n"))
+    counts = people.groupBy(region).agg(F.sum(ENTITIES).alias("n"))
     code = F.lpad(F.bin("id"), len(flags), "0")
     regions = df.sparkSession.range(1, 1 << len(flags)).select(code.alias("region"))
     n = F.coalesce("n", F.lit(0)).cast("bigint")
@@ -169,15 +194,15 @@ def flag_intersections(
 ) -> DataFrame:
     """Entities that meet ``base`` and have all flags of a combination, for all combinations at once."""
     flags = sorted({f for combo in combos for f in combo})
-    used = [c for c in df.columns if c != entity]
-    people = entity_flags(df, entity, used, unique)
+    used = [c for c in df.columns if c not in (entity, ENTITIES)]
+    people = _weighted(df, entity, used, unique)
     missing = [f for f in flags if f not in used]
     if missing:
         raise ValueError(f"no such flags: {missing}")
     sums, entries = [], []
     for i, combo in enumerate(combos):
         condition = reduce(lambda a, b: a & b, map(_is_set, combo), base)
-        sums.append(_sum_of(condition).alias(f"_{i}"))
+        sums.append(_entities_with(condition).alias(f"_{i}"))
         entries.append((f"_{i}", " and ".join([base_name, *combo])))
     return _as_rows(people.agg(*sums), ["combination"], entries)
 

@@ -1,10 +1,10 @@
-"""Exact quantiles that never gather a group in one task.
+"""Exact quantiles by selection: counts by the leading bits of the values say where a rank lies.
 
-Rows are first reduced to one row per group and value, with map-side combine. These are sorted by a
-range partitioning, so a group of any size may reach over many partitions. Running counts within
-each partition, plus the counts of the group's earlier partitions from a short table, give every
-value its range of ranks; the values at the two ranks around a quantile are picked by an
-aggregation. There is one plan for all group sizes, and the result is the exact linear-interpolation quantile.
+Doubles become 64-bit numbers that sort as they do. Rows are counted by group and leading bits, with
+map-side combine; running counts over a group's buckets tell which bucket holds each wanted rank. A
+bucket with one value is the answer. Only rows of the other wanted buckets are read again and counted
+by further bits, at the third step by all of them. There is one plan for all group sizes: a group of any size is a
+bounded number of buckets, nothing is sorted but buckets, and the result is the exact linear-interpolation quantile.
 """
 
 from __future__ import annotations
@@ -16,8 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import materialise
+from .selection import double_key
 
 MOMENTS = ("n", "mean", "min", "max", "sd")
+#: Bits of a key that the buckets of each step leave out: sign, exponent and 12 bits first, all bits last.
+SHIFTS = (40, 16, 0)
 
 
 def values_of(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -27,55 +30,73 @@ def values_of(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return rows.filter(reduce(lambda a, b: a & b, present))
 
 
-def _moments() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("n"),
-        F.avg("_v").alias("mean"),
-        F.min("_v").alias("min"),
-        F.max("_v").alias("max"),
-        F.stddev_samp("_v").alias("sd"),
-    ]
-
-
 def describe_values(rows: DataFrame, keys: Sequence[str], probs: Sequence[float], distinct_values: bool = False) -> DataFrame:
     """``keys``, n, mean, min, max, sd and the array ``q`` (and n_distinct) of the ``_v`` column."""
-    keys = list(keys)
-    groups = rows.groupBy(*keys).agg(*_moments())
-    found = _join(groups, _quantiles(rows, keys, probs), keys)
-    return found.select(*keys, *MOMENTS, "q", *(["n_distinct"] if distinct_values else []))
-
-
-def _quantiles(rows: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    order = [*keys, "_v"]
-    placed = materialise(counts.repartitionByRange(*order).select(*order, "_c", F.spark_partition_id().alias("_part")))
-    # At most one row per group and partition: a group has more than one only if it is larger than a partition.
-    parts = placed.groupBy(*keys, "_part").agg(F.sum("_c").alias("_rows"), F.count(F.lit(1)).alias("_kinds"))
-    whole = Window.partitionBy(*(keys or [F.lit(1)]))
-    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(
-        *keys, "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"), F.sum("_rows").over(whole).alias("_n"), F.sum("_kinds").over(whole).alias("n_distinct")
+    group = list(keys) or ["_all"]
+    rows = rows if keys else rows.withColumn("_all", F.lit(1))
+    ranks = [r for p in probs for r in (F.floor((F.col("n") - 1) * F.lit(float(p))), F.ceil((F.col("n") - 1) * F.lit(float(p))))]
+    keyed = rows.withColumn("_k", double_key(F.col("_v")))
+    found = materialise(_wanted(_described(keyed, group), ranks))
+    parts, step = [], 1
+    while step < len(SHIFTS) and not found.filter("_lo < _hi").isEmpty():
+        parts.append(found.filter("_lo = _hi"))
+        found = materialise(_wanted(_closer(keyed, group, found.filter("_lo < _hi"), step), ranks))
+        step += 1
+    whole = reduce(DataFrame.unionByName, parts, found)
+    out = _picked(whole, list(keys), ranks, probs)
+    if not distinct_values:
+        return out
+    kinds = rows.groupBy(*keys).agg(F.count_distinct("_v").alias("n_distinct"))
+    return out.join(kinds, list(keys)) if keys else out.withColumn("n_distinct", kinds.scalar())
+
+
+def _described(keyed: DataFrame, group: list[str]) -> DataFrame:
+    """The first step's buckets with their first rank, and the group's size and moments beside each."""
+    buckets = keyed.groupBy(*group, F.shiftright("_k", SHIFTS[0]).alias("_b")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.avg("_v").alias("_m"), F.var_pop("_v").alias("_s")
     )
-    upto = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.withColumn("_upto", F.sum("_c").over(upto)).join(offsets, [*keys, "_part"])
-    first, last = F.col("_offset") + F.col("_upto") - F.col("_c"), F.col("_offset") + F.col("_upto") - 1
+    whole = Window.partitionBy(*group)
+    c, mean = F.col("_c"), F.col("mean")
+    buckets = buckets.withColumn("_first", _first(group, "_b")).withColumns({
+        "n": F.sum(c).over(whole), "_sum": F.sum(c * F.col("_m")).over(whole), "min": F.min("_lo").over(whole), "max": F.max("_hi").over(whole),
+    })
+    buckets = buckets.withColumn("mean", F.col("_sum") / F.col("n"))
+    spread = F.sum(c * (F.col("_s") + (F.col("_m") - mean) * (F.col("_m") - mean))).over(whole)
+    sd = F.when(F.col("n") > 1, F.sqrt(spread / (F.col("n") - 1)))
+    return buckets.withColumn("sd", sd).select(*group, "_b", "_c", "_lo", "_hi", "_first", *MOMENTS)
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when(F.floor(rank).between(first, last), F.col("_v")))
 
-    ranks = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
-    picks = [pick for i, r in enumerate(ranks) for pick in (at(r).alias(f"_a{i}"), at(F.ceil(r)).alias(f"_b{i}"))]
-    found = ranked.groupBy(*keys).agg(*picks, F.max("_n").alias("_n"), F.max("n_distinct").alias("n_distinct"))
+def _first(by: list[str], bucket: str) -> Column:
+    """How many rows of the same ``by`` lie in earlier buckets."""
+    return F.sum("_c").over(Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")
+
+
+def _wanted(buckets: DataFrame, ranks: list[Column]) -> DataFrame:
+    """The buckets in which a rank lies."""
+    return buckets.filter(reduce(lambda a, b: a | b, [_holds(r) for r in ranks]))
 
-    def between(i: int) -> Column:
-        a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
-        return F.when(a == b, a).otherwise((F.ceil(ranks[i]) - ranks[i]) * a + (ranks[i] - F.floor(ranks[i])) * b)
 
-    return found.select(*keys, F.array(*[between(i) for i in range(len(probs))]).alias("q"), "n_distinct")
+def _holds(rank: Column) -> Column:
+    return rank.between(F.col("_first"), F.col("_first") + F.col("_c") - 1)
 
 
-def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Join on the keys; without keys the right side is a single row and becomes scalar subqueries."""
-    if keys:
-        return left.join(right, keys)
-    return left.withColumns({c: right.select(c).scalar() for c in right.columns})
+def _closer(keyed: DataFrame, group: list[str], unclear: DataFrame, step: int) -> DataFrame:
+    """The unclear buckets, each cut into buckets by further bits."""
+    by = [*group, "_b"]
+    near = keyed.withColumn("_b", F.shiftright("_k", SHIFTS[step - 1])).join(unclear.select(*by), by, "left_semi")
+    cut = near.groupBy(*by, F.shiftright("_k", SHIFTS[step]).alias("_next")).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    cut = cut.withColumn("_skip", _first(by, "_next"))
+    joined = cut.join(unclear.select(*by, F.col("_first").alias("_start"), *MOMENTS), by)
+    return joined.select(*group, F.col("_next").alias("_b"), "_c", "_lo", "_hi", (F.col("_start") + F.col("_skip")).alias("_first"), *MOMENTS)
+
+
+def _picked(found: DataFrame, keys: list[str], ranks: list[Column], probs: Sequence[float]) -> DataFrame:
+    """One row per group: its moments, and the quantiles between the values at the ranks around them."""
+    values = [F.max(F.when(_holds(r), F.col("_lo"))).alias(f"_r{i}") for i, r in enumerate(ranks)]
+    rows = found.groupBy(*keys).agg(*[F.max(m).alias(m) for m in MOMENTS], *values)
+
+    def between(i: int) -> Column:
+        a, b, exact = F.col(f"_r{2 * i}"), F.col(f"_r{2 * i + 1}"), (F.col("n") - 1) * F.lit(float(probs[i]))
+        return F.when(a == b, a).otherwise((F.ceil(exact) - exact) * a + (exact - F.floor(exact)) * b)
+
+    return rows.select(*keys, F.coalesce("n", F.lit(0)).alias("n"), *MOMENTS[1:], F.array(*[between(i) for i in range(len(probs))]).alias("q"))

@@ -835,19 +835,19 @@ def id_set_ops(t):
 
 @query
 def population_alignment(t):
-    people = customer_flags(t)
-    whole = flags.count_by_flag_combo(people, "person_id", FLAGS, unique=True)
-    events = flags.count_by_flag_combo(people.filter("has_events = 1"), "person_id", FLAGS, unique=True)
+    sets = flags.flag_lattice(customer_flags(t), "person_id", FLAGS, unique=True)
+    whole = flags.count_by_flag_combo(sets, "person_id", FLAGS)
+    events = flags.count_by_flag_combo(sets.filter("has_events = 1"), "person_id", FLAGS)
     tables = {"Whole": whole.select("combo", "n", "ratio"), "Events": events.select("combo", "n", "ratio")}
     return crosstab.align_populations(tables, "combo", "Whole")
 
 
 @query
 def tables_side_by_side(t):
-    people = customer_flags(t)
+    sets = flags.flag_lattice(customer_flags(t), "person_id", FLAGS, ["in_asia"], unique=True)
     tables = {
-        name: flags.count_by_flag_combo(rows, "person_id", FLAGS, unique=True).withColumn("cell", count_pct(F.col("n"), F.col("ratio")))
-        for name, rows in (("whole", people), ("asia", people.filter("in_asia = 1")), ("events", people.filter("has_events = 1")))
+        name: flags.count_by_flag_combo(rows, "person_id", FLAGS).withColumn("cell", count_pct(F.col("n"), F.col("ratio")))
+        for name, rows in (("whole", sets), ("asia", sets.filter("in_asia = 1")), ("events", sets.filter("has_events = 1")))
     }
     return crosstab.side_by_side(tables, ["combo"], "cell")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import count_pct, suppressed_count_pct
 from ..operators.crosstab import by_row_total, cross_tab, domain_cross_tab, entity_matrix, group_cross_tab, side_by_side
 from ..operators.flags import (
-    combo_groups, count_by_flag, count_by_flag_combo, flag_counts_by_population, flag_intersections, flag_matrix,
+    combo_groups, count_by_flag, count_by_flag_combo, flag_counts_by_population, flag_intersections, flag_lattice, flag_matrix,
     overlap_regions,
 )
 from ..operators.history import cumulative_entities, first_seen, periods, years_of_data, years_stats
@@ -47,17 +47,17 @@ def population_flags(tables: Tables) -> DataFrame:
 def data_type_report(tables: Tables, combinations: bool = False) -> DataFrame:
     """Persons per data type (or per combination) for the whole data and both sub-populations.
 
-    The flags are written out once for the three tables.
+    All three are read from one lattice of data types and populations.
     """
-    people = materialise(population_flags(tables))
-    populations = {"Whole CDR": people, "AIAN": people.filter("AIAN = 1"), "WEAR": people.filter("WEAR = 1")}
+    sets = flag_lattice(population_flags(tables), "person_id", DATA_TYPES, ["AIAN", "WEAR"])
+    populations = {"Whole CDR": sets, "AIAN": sets.filter("AIAN = 1"), "WEAR": sets.filter("WEAR = 1")}
     keys = ["label", "combo"] if combinations else ["data_type"]
     cell = count_pct(F.col("n"), F.col("ratio")).alias("cell")
 
     def count(rows: DataFrame) -> DataFrame:
         if combinations:
-            return count_by_flag_combo(rows, "person_id", DATA_TYPES, True, fixed.ALL_PARTICIPANTS, fixed.NO_DATA_TYPES)
-        return count_by_flag(rows, "person_id", DATA_TYPES, unique=True)
+            return count_by_flag_combo(rows, "person_id", DATA_TYPES, total=fixed.ALL_PARTICIPANTS, zero=fixed.NO_DATA_TYPES)
+        return count_by_flag(rows, "person_id", DATA_TYPES)
 
     return side_by_side({name: count(rows).select(*keys, cell) for name, rows in populations.items()}, keys, "cell")
 

@@ -114,3 +114,22 @@ def test_position_by_part(spark):
     order = ["Woman", "Man", "None Of These"]
     assert rows(df.select("v", position(F.col("v"), order).alias("exact"), position(F.col("v"), order, exact=False).alias("part"))) == [
         ("Man", 2, 2), ("Woman", 1, 1), ("else", None, None), ("sex at birth none of these", None, 3)]
+
+
+def test_every_flag_table_reads_the_lattice(spark):
+    """A table of 2 ** n rows at most gives what the entities give."""
+    names = ["a", "b", "c"]
+    df = spark.range(300).selectExpr("id", "cast(id % 2 as int) a", "cast(id % 3 = 0 as int) b", "CASE WHEN id % 5 < 2 THEN 1 END AS c", "cast(id % 7 = 0 as int) m")
+    sets = flags.flag_lattice(df, "id", names, ["m"], unique=True)
+    assert sets.count() <= 16 and sets.columns == [*names, "m", flags.ENTITIES]
+    assert "Aggregate" not in sets._jdf.queryExecution().optimizedPlan().toString()
+    for part, whole in ((sets, df), (sets.filter("m = 1"), df.filter("m = 1"))):
+        for table in (flags.count_by_flag, flags.count_by_n_flags, flags.count_by_flag_combo, flags.overlap_regions):
+            assert rows(table(part, "id", names)) == rows(table(whole, "id", names, unique=True)), table
+    populations = {"all": None, "m": "m"}
+    assert rows(flags.flag_counts_by_population(sets, "id", names, populations)) == rows(flags.flag_counts_by_population(df, "id", names, populations, unique=True))
+    chosen, combos = F.col("m") == 1, [[], ["a"], ["a", "c"]]
+    assert rows(flags.flag_intersections(sets, "id", chosen, "m", combos)) == rows(flags.flag_intersections(df, "id", chosen, "m", combos, unique=True))
+    for got, want in zip(flags.flag_tables(df, "id", names, unique=True), flags.flag_tables(sets, "id", names), strict=True):
+        assert rows(got) == rows(want)
+    assert rows(flags.count_by_flag(sets.limit(0), "id", names)) == rows(flags.count_by_flag(df.limit(0), "id", names))
