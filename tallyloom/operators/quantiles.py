@@ -53,15 +53,16 @@ def describe_values(rows: DataFrame, keys: Sequence[str], probs: Sequence[float]
 def _described(keyed: DataFrame, group: list[str]) -> DataFrame:
     """The first step's buckets with their first rank, and the group's size and moments beside each."""
     buckets = keyed.groupBy(*group, F.shiftright("_k", SHIFTS[0]).alias("_b")).agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.avg("_v").alias("_m"), F.var_pop("_v").alias("_s")
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_v").alias("_sum"), F.var_pop("_v").alias("_s")
     )
     whole = Window.partitionBy(*group)
     c, mean = F.col("_c"), F.col("mean")
     buckets = buckets.withColumn("_first", _first(group, "_b")).withColumns({
-        "n": F.sum(c).over(whole), "_sum": F.sum(c * F.col("_m")).over(whole), "min": F.min("_lo").over(whole), "max": F.max("_hi").over(whole),
+        "n": F.sum(c).over(whole), "_total": F.sum("_sum").over(whole), "min": F.min("_lo").over(whole), "max": F.max("_hi").over(whole),
     })
-    buckets = buckets.withColumn("mean", F.col("_sum") / F.col("n"))
-    spread = F.sum(c * (F.col("_s") + (F.col("_m") - mean) * (F.col("_m") - mean))).over(whole)
+    buckets = buckets.withColumn("mean", F.col("_total") / F.col("n"))
+    off = F.col("_sum") / c - mean
+    spread = F.sum(c * (F.col("_s") + off * off)).over(whole)
     sd = F.when(F.col("n") > 1, F.sqrt(spread / (F.col("n") - 1)))
     return buckets.withColumn("sd", sd).select(*group, "_b", "_c", "_lo", "_hi", "_first", *MOMENTS)
 

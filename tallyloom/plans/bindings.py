@@ -251,6 +251,11 @@ def survey_tables(t: ParquetTables) -> dict[str, DataFrame]:
             F.col("has_urgent").alias("has_ppi_survey_data"), F.col("household").alias("has_physical_measurement_data"),
             F.col("has_events").alias("has_ehr_data"), F.col("high_balance").alias("has_fitbit"),
             F.col("high_value_order").alias("has_whole_genome_variant"), F.when(F.col("in_asia") == 1, 1).alias("has_array_data"),
+            (balance > 6000).cast("int").alias("has_lr_whole_genome_variant"),
+            F.when(F.col("c_mktsegment") == "BUILDING", 1).alias("has_structural_variant_data"),
+        ),
+        "person_ext": orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
+            F.col("o_custkey").alias("person_id"), _by_answer(CODES).alias("self_reported_category_source_value")
         ),
         "wear_study": people.select("person_id", F.when(balance > 8000, "Yes").otherwise("No").alias("resultsconsent_wear")),
         "ds_survey": orders.select(
@@ -311,3 +316,84 @@ def domain_tables(t: ParquetTables) -> dict[str, DataFrame]:
     tables["_cdr_metadata"] = t["lineitem"].agg(F.max("l_shipdate").alias("ehr_cutoff_date"))
     tables["person"] = t["customer"].select(F.col("c_custkey").alias("person_id"))
     return tables
+
+
+def headline_tables(t: ParquetTables) -> dict[str, DataFrame]:
+    """The record domains with self-brought sources, and what else the headline counts look at."""
+    tables, survey = domain_tables(t), survey_tables(t)
+    for name in [n for n in tables if n.endswith("_ext")]:
+        own = F.when(F.col("src_id") == "Portal", "Participant Mediated EHR").otherwise(F.col("src_id"))
+        tables[name] = tables[name].withColumn("src_id", own)
+    orders, events, number = t["orders"], t["events"], F.col("l_linenumber")
+    keys = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("person_id"))
+    education = F.col("question_concept_id") == fixed.QUESTIONS["education"]
+    question = F.when(education, fixed.SUBCATEGORY_QUESTIONS[0]).otherwise(F.col("question_concept_id"))
+    return tables | {
+        "ds_survey": survey["ds_survey"].withColumn("question_concept_id", question),
+        "wear_study": survey["wear_study"],
+        "measurement": t["lineitem"].filter(F.col("l_returnflag") == "A").join(keys, "l_orderkey").select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("measurement_id"), "person_id",
+            F.when(number <= 2, fixed.SELF_REPORTED_TYPE).alias("measurement_type_concept_id"),
+            F.when(number == 1, fixed.SELF_REPORTED_HEIGHT).otherwise(fixed.SELF_REPORTED_WEIGHT).alias("measurement_source_concept_id"),
+        ),
+        "person_ext": t["customer"].filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("person_id")),
+        "survey_conduct": events.select(
+            F.col("event_id").alias("survey_conduct_id"), F.col("user_id").alias("person_id"),
+            F.when(F.col("event_type") == "view", fixed.LIFE_FUNCTIONING_SURVEY).alias("survey_source_concept_id"),
+        ),
+        "survey_conduct_ext": events.select(
+            F.col("event_id").alias("survey_conduct_id"), F.when(F.col("event_type") == "click", "Portal TPC").otherwise("Portal").alias("src_id")
+        ),
+        "concept_ancestor": fixed_table(t.spark, [(fixed.LIFE_FUNCTIONING_SURVEY, 2)], "ancestor_concept_id bigint, descendant_concept_id bigint"),
+        "deaths": orders.filter(F.col("o_totalprice") > HIGH_VALUE).select(
+            F.col("o_custkey").alias("person_id"), F.when(F.col("o_orderstatus") == "F", "HealthPro form").otherwise("EHR").alias("src_id")
+        ),
+    }
+
+
+def person_tables(t: ParquetTables) -> tuple[DataFrame, DataFrame]:
+    """Age group and sex of most persons, ancestry of others: each table lacks some, and some values are missing."""
+    people, balance = customers(t), F.col("c_acctbal")
+    demographics = people.filter(F.col("r_name") != "AFRICA").select(
+        "person_id", F.when(balance < 3000, "young").otherwise("old").alias("age_group"),
+        F.when(balance.between(0, 5000), "Female").when(balance > 5000, "Male").alias("sex_at_birth"),
+    )
+    ancestry = people.filter(F.col("c_mktsegment") != "MACHINERY").select("person_id", F.col("r_name").alias("ancestry"))
+    return demographics, ancestry
+
+
+def phenotypes(t: ParquetTables) -> DataFrame:
+    """Wide yes/no columns per customer, named by concept id or code; two have cases only."""
+    orders = t["orders"]
+    return orders.groupBy(F.col("o_custkey").alias("person_id")).agg(
+        F.max(F.col("o_orderstatus") == "F").alias("101"),
+        F.max(F.when(F.col("o_orderpriority") == "1-URGENT", True)).alias("102"),
+        F.max(F.col("o_totalprice") > HIGH_VALUE).alias("NATION_3-CODE"),
+        F.max(F.when(F.col("o_orderpriority") == "5-LOW", True)).alias("104"),
+    )
+
+
+def measures(t: ParquetTables) -> DataFrame:
+    """Wide measure columns per customer, with gaps."""
+    spent = t["orders"].groupBy("o_custkey").agg(F.max("o_totalprice").alias("largest"))
+    return t["customer"].join(spent, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+        F.col("c_custkey").alias("person_id"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance"),
+        F.when(F.col("largest") > HIGH_VALUE, F.col("largest")).alias("largest_order"),
+    )
+
+
+def physical_tables(t: ParquetTables) -> dict[str, DataFrame]:
+    """Lines as physical measurements, named by their number, and the concepts of some."""
+    names = {1: "Weight", 2: "HEIGHT", 3: "Heart-Rate-Mean", 4: "blood-pressure-diastolic-mean"}
+    named = F.coalesce(*[F.when(F.col("l_linenumber") == n, name) for n, name in names.items()], F.lit("other"))
+    return {
+        "measurement": t["lineitem"].select((F.col("l_linenumber") + 100).cast("bigint").alias("measurement_concept_id"), named.alias("measurement_source_value")),
+        "concept": t["nation"].select((F.col("n_nationkey") + 100).cast("bigint").alias("concept_id"), F.col("n_name").alias("concept_name")),
+    }
+
+
+def family_tables(t: ParquetTables) -> dict[str, DataFrame]:
+    """Nations as questions with a stem and an end that the index leaves out."""
+    question = F.concat(F.lit("Including yourself, who in your family has had "), F.col("n_name"), F.lit("? Select all that apply."))
+    return {"concept": t["nation"].select((F.col("n_nationkey") + 100).cast("bigint").alias("concept_id"), question.alias("concept_name"))}

@@ -17,7 +17,7 @@ from ..operators.answers import recode_distinct
 from ..operators.shares import order_columns, position, share, share_of_sum
 from ..runtime import materialise, shared_folder
 from ..sources import files
-from . import extracts, fixed_values, reports
+from . import bindings, extracts, fixed_values, reports
 from .bindings import (
     FLAGS, HISTORY_DOMAINS, HIGH_BALANCE, HIGH_VALUE, ParquetTables, customer_flags, customers, cutoff, domain_tables,
     history_tables, lines, record_tables, survey_tables, typed_lines,
@@ -425,12 +425,7 @@ def class_share(t):
 
 @query
 def measure_counts(t):
-    spent = t["orders"].groupBy("o_custkey").agg(F.max("o_totalprice").alias("largest"))
-    wide = t["customer"].join(spent, F.col("c_custkey") == F.col("o_custkey"), "left").select(
-        F.col("c_custkey").alias("person_id"),
-        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance"),
-        F.when(F.col("largest") > HIGH_VALUE, F.col("largest")).alias("largest_order"),
-    )
+    wide = bindings.measures(t)
     attributes = customers(t).select("person_id", F.col("c_mktsegment").alias("segment"), F.col("r_name").alias("region"))
     return strata.measure_counts(
         wide, "person_id", ["balance", "largest_order"], attributes, [["segment"], ["region"], ["segment", "region"]],
@@ -991,3 +986,57 @@ def group_history_report(t):
     tables = domain_tables(t)
     survey = survey_tables(t)
     return reports.group_history_report(survey, reports.record_history(tables))
+
+
+@query
+def headline_report(t):
+    """Eleven headlines over surveys, seven record domains, deaths and consents."""
+    return reports.headline_report(bindings.headline_tables(t))
+
+
+@query
+def add_on_report(t):
+    return reports.add_on_report(survey_tables(t))
+
+
+@query
+def self_reported_race(t):
+    return extracts.self_reported_race(survey_tables(t))
+
+
+@query
+def case_control_report(t):
+    """All concept columns of a wide table, with their names."""
+    wide = bindings.phenotypes(t)
+    return reports.case_control_report(record_tables(t), wide, reports.person_strata(*bindings.person_tables(t)))
+
+
+@query
+def measure_report(t):
+    return reports.measure_report(bindings.measures(t), reports.person_strata(*bindings.person_tables(t)))
+
+
+@query
+def lab_report_sites(t):
+    return rounded(reports.lab_report(record_tables(t), [502, 503])["statistics"])
+
+
+@query
+def lab_report_people(t):
+    return rounded(reports.lab_report(record_tables(t), [502, 503])["people"], 7)  # means of eight prices end in a 5 at the fifth digit
+
+
+@query
+def family_history_index(t):
+    wide = bindings.phenotypes(t).drop("NATION_3-CODE")
+    return reports.family_history_index(bindings.family_tables(t), wide)
+
+
+@query
+def physical_measure_index(t):
+    return extracts.physical_measure_index(bindings.physical_tables(t))
+
+
+@query
+def lab_index(t):
+    return extracts.lab_index(extracts.concept_name_map(record_tables(t), [501]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bindings import ANSWERS, CODES, HIGH_BALANCE, HIGH_VALUE, QUESTION_OF, STATUSES
+from .fixed_values import HEADLINES
 
 FLAG_ROWS = f"""
 f AS (
@@ -776,3 +777,83 @@ z AS (SELECT diversity_category, domain, category, coalesce(n, 0) AS n FROM e LE
 a AS (SELECT * FROM z UNION ALL SELECT diversity_category, domain, 'TOTAL', sum(n)::BIGINT FROM z GROUP BY diversity_category, domain)
 SELECT *, {SUPPRESSED} AS label FROM (SELECT *, n / (SELECT count(*) FROM customer) AS ratio FROM a)""",
 }
+
+LINE_OWNERS = "lineitem JOIN orders ON l_orderkey = o_orderkey"
+HEADLINE_ROWS = {
+    "total": "SELECT c_custkey FROM customer",
+    "aian": "SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'",
+    "functioning": "SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '2%' AND o_orderstatus = 'O'",
+    "functioning_survey": "SELECT user_id FROM events WHERE event_type = 'view'",
+    "partner_survey": "SELECT user_id FROM events WHERE event_type = 'click'",
+    "wear": "SELECT c_custkey FROM customer WHERE c_acctbal > 8000",
+    "deceased": f"SELECT o_custkey FROM orders WHERE o_totalprice > {HIGH_VALUE} AND o_orderstatus = 'F'",
+    "height": f"SELECT o_custkey FROM {LINE_OWNERS} JOIN customer ON o_custkey = c_custkey WHERE l_returnflag = 'A' AND l_linenumber = 1 AND c_acctbal > 0",
+    "weight": f"SELECT o_custkey FROM {LINE_OWNERS} JOIN customer ON o_custkey = c_custkey WHERE l_returnflag = 'A' AND l_linenumber = 2 AND c_acctbal > 0",
+    "mediated": f"SELECT o_custkey FROM {LINE_OWNERS} WHERE l_linenumber = 7",
+    "subcategories": "SELECT o_custkey FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED'",
+}
+ADD_ONS = {
+    "Long Read WGS": "c_acctbal > 6000", "Structural Variant": "c_mktsegment = 'BUILDING'",
+    "WGS OR Array": "(\"WGS\" = 1 OR \"Array\" = 1)", "WGS AND Array": "(\"WGS\" = 1 AND \"Array\" = 1)",
+}
+PERSON_SETS = [["age_group"], ["sex_at_birth"], ["ancestry"], ["sex_at_birth", "ancestry"], ["age_group", "ancestry"]]
+PERSONS = """who AS (SELECT c_custkey AS person_id, c_acctbal, c_mktsegment, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+dg AS (SELECT person_id, CASE WHEN c_acctbal < 3000 THEN 'young' ELSE 'old' END AS age_group,
+  CASE WHEN c_acctbal BETWEEN 0 AND 5000 THEN 'Female' WHEN c_acctbal > 5000 THEN 'Male' ELSE 'NA' END AS sex_at_birth FROM who WHERE r_name <> 'AFRICA'),
+an AS (SELECT person_id, r_name AS ancestry FROM who WHERE c_mktsegment <> 'MACHINERY'),
+ps AS (SELECT person_id, age_group, sex_at_birth, ancestry FROM dg FULL JOIN an USING (person_id))"""
+YES_NO = f"""yn AS (SELECT o_custkey AS person_id, bool_or(o_orderstatus = 'F') AS a, max(CASE WHEN o_orderpriority = '1-URGENT' THEN true END) AS b,
+  bool_or(o_totalprice > {HIGH_VALUE}) AS c, max(CASE WHEN o_orderpriority = '5-LOW' THEN true END) AS d FROM orders GROUP BY 1),
+ph AS (SELECT person_id, '101' AS concept, a AS flag FROM yn UNION ALL SELECT person_id, '102', b FROM yn UNION ALL SELECT person_id, 'NATION_3-CODE', c FROM yn
+       UNION ALL SELECT person_id, '104', d FROM yn)"""
+
+
+def person_stratum(keys: list[str], by: str, over: list[str]) -> str:
+    """Counts of one breakdown of ``w`` among persons who are in all tables that it needs."""
+    picked = ", ".join(f"{k if k in keys else 'NULL'} AS {k}" for k in ("age_group", "sex_at_birth", "ancestry"))
+    return f"""SELECT '{" x ".join(keys)}' AS stratum, {by}, {picked}, count(*) AS n_pids, (sum(count(*)) OVER (PARTITION BY {", ".join(over)}))::BIGINT AS numerator
+  FROM w WHERE {" AND ".join(f"{k} IS NOT NULL" for k in keys)} GROUP BY {by}, {", ".join(keys)}"""
+
+
+LAB_ROWS = f"""{RECORDS},
+vals AS (SELECT c1.id, lower(c2.name) AS name FROM con c1 JOIN con c2 ON c1.name = c2.code WHERE c1.code = 'ANSWER'),
+ex AS (SELECT DISTINCT person_id, measurement_concept_id, cm.name AS concept, lower(ca.name) AS lab, value_as_number AS v, range_low, range_high, unit_concept_id,
+  lower(u.name) AS unit, value_as_concept_id, operator_concept_id, measurement_datetime, src_id, measurement_source_concept_id, unit_source_value
+  FROM meas JOIN con cm ON cm.id = measurement_concept_id JOIN con ca ON ca.id = ancestor_id LEFT JOIN con u ON u.id = unit_concept_id
+  WHERE lower(src_id) LIKE '%ehr%' AND ancestor_id IN (502, 503) AND value_as_number IS NOT NULL)"""
+BY_CONCEPT = " UNION ALL ".join(person_stratum(k, "concept, class", ["concept", "class"]) for k in PERSON_SETS)
+BY_MEASURE = " UNION ALL ".join(person_stratum(k, "measure", ["measure"] + (["ancestry"] if len(k) > 1 else [])) for k in PERSON_SETS)
+
+ORACLES |= {
+    "headline_report": "SELECT label, count(DISTINCT person_id) AS n FROM (" + " UNION ALL ".join(
+        f"SELECT '{HEADLINES[key]}' AS label, person_id FROM ({rows}) AS r(person_id)" for key, rows in HEADLINE_ROWS.items()) + ") GROUP BY 1",
+    "add_on_report": f"WITH {DEMOGRAPHICS}, p AS (SELECT * FROM ty JOIN customer ON person_id = c_custkey), k AS (" + " UNION ALL ".join(
+        f"SELECT '{flag}' AS data_type, '{name}' AS population, count(*) FILTER (WHERE {rule}) AS n, count(*) AS size FROM p WHERE {inside}"
+        for name, inside in POPULATION_FLAGS.items() for flag, rule in ADD_ONS.items()) + ") SELECT data_type, population, n, n / size AS ratio FROM k WHERE n > 0",
+    "self_reported_race": """SELECT DISTINCT o_custkey AS person_id, CASE o_orderstatus WHEN 'F' THEN 'White' WHEN 'O' THEN 'AIAN (American Indian or Alaska Native)' ELSE 'Skip' END AS self_reported_race
+FROM orders WHERE o_orderpriority = '1-URGENT'""",
+    "case_control_report": f"""WITH {PERSONS}, {YES_NO}, w AS (
+  SELECT concept, CASE WHEN flag THEN 'Cases' ELSE 'Controls' END AS class, age_group, sex_at_birth, ancestry FROM ph JOIN ps USING (person_id) WHERE flag IS NOT NULL),
+x AS ({percent_label(BY_CONCEPT)})
+SELECT x.*, n_name AS concept_name FROM x LEFT JOIN nation ON concept = CAST(n_nationkey + 100 AS VARCHAR) OR concept = n_name || '-CODE'""",
+    "measure_report": f"""WITH {PERSONS}, big AS (SELECT o_custkey AS person_id, max(o_totalprice) AS largest FROM orders GROUP BY 1),
+me AS (SELECT person_id, 'balance' AS measure FROM who WHERE c_acctbal >= 0 UNION ALL SELECT person_id, 'largest_order' FROM big WHERE largest > {HIGH_VALUE}),
+w AS (SELECT measure, age_group, sex_at_birth, ancestry FROM me JOIN ps USING (person_id))
+{percent_label(BY_MEASURE)}""",
+    "lab_report_sites": f"WITH {LAB_ROWS} SELECT lab, replace(src_id, 'EHR site ', '#') AS site, {MOMENTS}, {QUANTILES} FROM ex GROUP BY ALL",
+    "lab_report_people": f"""WITH {LAB_ROWS},
+a AS (SELECT lab, person_id, {f"{MOMENTS}, {QUANTILES}".replace('count(v) AS n, ', '').replace(', 4)', ', 7)')}, count(DISTINCT v) AS values_count FROM ex GROUP BY ALL),
+n AS (SELECT * FROM ex QUALIFY rank() OVER (PARTITION BY lab, person_id ORDER BY measurement_datetime DESC) = 1),
+b AS (SELECT lab, person_id, string_agg({number_text('v')}, ', ' ORDER BY v, unit NULLS FIRST) AS latest_value,
+             string_agg(coalesce(unit, 'NA'), ', ' ORDER BY v, unit NULLS FIRST) AS latest_value_unit FROM n GROUP BY ALL)
+SELECT * FROM a JOIN b USING (lab, person_id)""",
+    "family_history_index": f"""WITH {YES_NO}, c AS (SELECT concept, count(flag) AS n FROM ph GROUP BY 1)
+SELECT concept AS concept_id, 'including yourself, who in your family has had ' || lower(n_name) || '? select all that apply.' AS concept_name, n AS n_pids,
+       ' ' || lower(n_name) || '? ' AS short_name, 'pfhh_survey_' || concept || '_summary' AS report_name
+FROM c JOIN nation ON concept = CAST(n_nationkey + 100 AS VARCHAR)""",
+    "physical_measure_index": """SELECT DISTINCT CAST(m.id AS BIGINT) AS measurement_concept_id, m.name AS measurement_source_value, lower(n_name) AS concept_name,
+       replace(m.name, '-', '_') || '_summary' AS report_name
+FROM (VALUES (101, 'weight', 1), (102, 'height', 2), (103, 'heart-rate-mean', 3), (104, 'blood-pressure-diastolic-mean', 4)) m(id, name, number)
+JOIN lineitem ON l_linenumber = m.number JOIN nation ON n_nationkey = m.number""",
+    "lab_index": f"SELECT *, 'measurement_' || measurement_concept_id AS report_name FROM ({ORACLES['concept_name_map']})",
+}

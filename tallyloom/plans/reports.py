@@ -18,6 +18,7 @@ from ..operators.shares import fixed_table, position
 from ..runtime import materialise
 from ..operators.stats import box_stats, describe_by, entity_summary, pretty_histogram
 from ..operators.strata import case_control_counts, measure_counts
+from ..sources.files import concept_columns
 from . import extracts, fixed_values as fixed
 
 Tables = Mapping[str, DataFrame]
@@ -183,7 +184,7 @@ def case_control_report(tables: Tables, phenotypes: DataFrame, strata: DataFrame
 
     A person counts in a breakdown if it is in the tables the breakdown needs.
     """
-    concepts = [c for c in phenotypes.columns if c != "person_id"]
+    concepts = concept_columns(phenotypes)
     counts = case_control_counts(phenotypes, "person_id", concepts, strata, STRATA, known_only=True)
     ids = fixed_table(phenotypes.sparkSession, [(c,) for c in concepts], "concept string")
     return counts.join(extracts.concept_names(tables, ids, "concept"), "concept", "left")
@@ -191,7 +192,7 @@ def case_control_report(tables: Tables, phenotypes: DataFrame, strata: DataFrame
 
 def measure_report(measures: DataFrame, strata: DataFrame) -> DataFrame:
     """Persons with a value of every measure by the five breakdowns."""
-    columns = [c for c in measures.columns if c != "person_id"]
+    columns = concept_columns(measures)
     of = {
         "age_group": "measure", "sex_at_birth": "measure", "ancestry": "measure",
         "sex_at_birth x ancestry": ["ancestry"], "age_group x ancestry": ["ancestry"],
