@@ -51,7 +51,8 @@ def _classes(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The classes of spans of the phrases wanted of each text; a text that isn't the one they come from has none.
 
     All spans of one class hold the same bytes around the trigger, ``SPAN - OFFSETS + 1`` of them: equal spans
-    of different phrases have the same ``core``. ``offset`` is the first span's place in its class.
+    of different phrases have the same ``core``. ``offset`` is the first span's place in its class, ``bytes``
+    what its spans hold to the left and to the right of the core.
     """
     out: list[list] = [[] for _ in range(8)]
     for key, text, wanted in zip(*(batch.column(i) for i in range(3)), strict=True):
@@ -68,15 +69,15 @@ def _classes(batch: pa.RecordBatch) -> pa.RecordBatch:
             for kind in range((most - n + 1) // OFFSETS, most // OFFSETS + 1):
                 high = min(most, kind * OFFSETS + OFFSETS - 1)
                 low = max(most - n + 1, kind * OFFSETS)
-                core = data[place - kind * OFFSETS : place - kind * OFFSETS + SPAN - OFFSETS + 1]
-                out[0].append(xxhash.xxh3_64_intdigest(core, own & (2**64 - 1) ^ kind) - 2**63)
+                begin, end = place - kind * OFFSETS, place - kind * OFFSETS + SPAN - OFFSETS + 1
+                out[0].append(xxhash.xxh3_64_intdigest(data[begin:end], own & (2**64 - 1) ^ kind) - 2**63)
                 out[1].append(key.as_py())
                 out[2].append(at)
                 out[3].append(what)
                 out[4].append(most - high)
                 out[5].append(high - low + 1)
                 out[6].append(high - kind * OFFSETS)
-                out[7].append(data[place - high : place - low + SPAN])
+                out[7].append(data[place - high : begin] + data[end : place - low + SPAN])
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=[f.split()[0] for f in _CLASS.split(", ")])
 
@@ -89,14 +90,13 @@ def _suffixes(batch: pa.RecordBatch) -> pa.RecordBatch:
     step = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
     begins = np.cumsum([0, *(len(b.as_py()) for b in columns["bytes"])])[:-1]
     data = np.frombuffer(b"".join(columns["bytes"].to_pylist()), np.uint8)
-    # to the left of the core lie as many bytes as the offset says, to the right the others
-    left = (offset[who] - step)[:, None]
-    place = np.arange(OFFSETS - 1)[None, :]
-    place = begins[who][:, None] + step[:, None] + np.where(place < left, place, place + SPAN - OFFSETS + 1)
+    # a span has as many bytes to the left of the core as its offset says, and the next ones to the right
+    left = offset[who] - step
+    place = begins[who][:, None] + step[:, None] + np.arange(OFFSETS - 1)
     rest = pa.Array.from_buffers(pa.binary(OFFSETS - 1), len(who), [None, pa.py_buffer(data[place].tobytes())]).cast(pa.binary())
     taken = [columns[c].take(pa.array(who)) for c in ("core", "doc", "start", "content")]
     return pa.RecordBatch.from_arrays(
-        [taken[0], pa.array(left.ravel().astype(np.int32)), rest, *taken[1:], pa.array((first[who] + step).astype(np.int32))],
+        [taken[0], pa.array(left.astype(np.int32)), rest, *taken[1:], pa.array((first[who] + step).astype(np.int32))],
         names=[f.split()[0] for f in _SUFFIX.split(", ")],
     )
 
