@@ -2,26 +2,51 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import count_text, number_text, round_half_even
+from ..runtime import materialise
 from .shares import share
 
+#: Columns of a wide table that are summed in one pass, few enough for generated code.
+BLOCK = 100
+
+
+def column_sums(
+    wide: DataFrame, keys: Sequence[str], columns: Sequence[str], sums: Mapping[str, Callable[[Column], Column]], name: str
+) -> DataFrame:
+    """``keys``, the column's name and, for every condition in ``sums``, its number of rows that meet it.
+
+    A wide table is never made long: blocks of columns are summed by ``keys`` with map-side combine, each reading
+    its own columns alone, and only the sums are turned into rows. A table with several blocks is written first.
+    """
+    wide = wide.select(*keys, *[F.col(f"`{c}`") for c in columns])
+    if len(columns) > BLOCK:
+        wide = materialise(wide)
+    parts = []
+    for at in range(0, len(columns), BLOCK):
+        block = columns[at : at + BLOCK]
+        counts = [F.sum(F.when(met(F.col(f"`{c}`")), 1).otherwise(0)).alias(f"_{i}_{s}") for i, c in enumerate(block) for s, met in sums.items()]
+        rows = [F.struct(F.lit(c).alias(name), *[F.col(f"_{i}_{s}").alias(s) for s in sums]) for i, c in enumerate(block)]
+        summed = wide.select(*keys, *[F.col(f"`{c}`") for c in block]).groupBy(*keys).agg(*counts)
+        parts.append(summed.select(*keys, F.explode(F.array(*rows)).alias("_row")).select(*keys, "_row.*"))
+    return reduce(DataFrame.unionByName, parts)
+
 
 def _by_sets(
-    long: DataFrame, fixed: Sequence[str], sets: Sequence[Sequence[str]], sums: Mapping[str, Column], known_only: bool
+    finest: DataFrame, fixed: Sequence[str], sets: Sequence[Sequence[str]], sums: Sequence[str], known_only: bool
 ) -> DataFrame:
     """Sums for every set of attributes, with the set's name in ``stratum``.
 
-    The rows are summed once by all attributes together; the sets are then formed from that short
+    The rows are sums by all attributes together; the sets are formed from that short
     table, so entity rows are not copied once per set. An unknown attribute is a category of its
     own (``grouping`` tells it from one left out), or with ``known_only`` keeps a row out of the set.
     """
     strata = list(dict.fromkeys(c for s in sets for c in s))
-    finest = long.groupBy(*fixed, *strata).agg(*[F.sum(value).alias(name) for name, value in sums.items()])
     left_out = [F.grouping(c).alias(f"_off_{c}") for c in strata]
     grouped = finest.groupingSets([[*fixed, *s] for s in sets], *fixed, *strata).agg(
         *[F.sum(name).alias(name) for name in sums], *left_out
@@ -33,11 +58,6 @@ def _by_sets(
     return grouped.withColumn("stratum", name).drop(*[f"_off_{c}" for c in strata])
 
 
-def long_form(wide: DataFrame, entity: str, columns: Sequence[str], keep: Sequence[str] = (), name: str = "name") -> DataFrame:
-    """Wide to long without the nulls."""
-    return wide.unpivot([entity, *keep], list(columns), name, "value").filter(F.col("value").isNotNull())
-
-
 def with_percent(counts: DataFrame, n: str = "n_pids", of: str = "numerator") -> DataFrame:
     """Add ``pct`` (two decimals) and a '1,234 (5.6%)' label."""
     pct = round_half_even(share(F.col(n), F.col(of)) * 100, 2)
@@ -55,15 +75,16 @@ def case_control_counts(
 ) -> DataFrame:
     """Cases and controls by attribute set, for every concept column, with their class totals.
 
-    ``wide`` and ``attributes`` have one row per entity. They are joined before the wide table is
-    made long, so the join does not grow with the number of concepts.
+    ``wide`` and ``attributes`` have one row per entity. They are joined once, whatever the number of
+    concepts, and every concept's cases and controls are conditional sums of the joined rows.
     """
     strata = list(dict.fromkeys(c for s in sets for c in s))
     joined = wide.join(attributes.select(entity, *strata).distinct(), entity)
-    long = long_form(
-        joined.select(entity, *strata, *[F.col(c).cast("boolean").alias(c) for c in concepts]), entity, concepts, strata, "concept"
-    ).withColumn("class", F.when(F.col("value"), "Cases").otherwise("Controls"))
-    counts = _by_sets(long, ["concept", "class"], sets, {"n_pids": F.lit(1)}, known_only)
+    classes = {"Cases": lambda c: c.cast("boolean"), "Controls": lambda c: ~c.cast("boolean")}
+    both = [F.struct(F.lit(name).alias("class"), F.col(name).alias("n_pids")) for name in classes]
+    summed = column_sums(joined, strata, concepts, classes, "concept")
+    finest = summed.select(*strata, "concept", F.explode(F.array(*both)).alias("_class")).select(*strata, "concept", "_class.*")
+    counts = _by_sets(finest.filter(F.col("n_pids") > 0), ["concept", "class"], sets, ["n_pids"], known_only)
     total = F.sum("n_pids").over(Window.partitionBy("stratum", "concept", "class"))
     return with_percent(counts.withColumn("numerator", total)).select(
         "stratum", "concept", *strata, "class", "n_pids", "numerator", "pct", "label"
@@ -86,10 +107,9 @@ def measure_counts(
     are named in the order in which the sets first mention them: 'sex x ancestry'.
     """
     strata = list(dict.fromkeys(c for s in sets for c in s))
-    joined = wide.join(attributes.select(entity, *strata).distinct(), entity).select(entity, *strata, *measures)
-    with_nulls = joined.unpivot([entity, *strata], list(measures), "measure", "value")
-    flagged = with_nulls.select("measure", *strata, F.col("value").isNotNull().cast("int").alias("_has"))
-    grouped = _by_sets(flagged, ["measure"], sets, {"n_pids": F.col("_has"), "_all": F.lit(1)}, known_only)
+    joined = wide.join(attributes.select(entity, *strata).distinct(), entity)
+    finest = column_sums(joined, strata, measures, {"n_pids": lambda c: c.isNotNull(), "_all": lambda _: F.lit(True)}, "measure")
+    grouped = _by_sets(finest, ["measure"], sets, ["n_pids", "_all"], known_only)
     numerator = F.lit(None).cast("bigint")
     for stratum, of in denominators.items():
         if of == "overall":

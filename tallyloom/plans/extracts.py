@@ -17,7 +17,7 @@ from ..functions import answer_text, any_of, band, clean_answer, clean_answer_st
 from ..operators.answers import recode_distinct
 from ..operators.flags import multi_answer_columns
 from ..operators.shares import fixed_table
-from ..operators.strata import long_form
+from ..operators.strata import column_sums
 from ..runtime import materialise
 from . import fixed_values as fixed
 
@@ -410,9 +410,7 @@ def phenotype_index(
     columns = [c for c in phenotypes.columns if c != entity]
     ids = fixed_table(phenotypes.sparkSession, [(c,) for c in columns], f"`{by}` string")
     concept = tables["concept"].select(F.col(by).cast("string").alias(by), F.lower("concept_name").alias("concept_name"))
-    people = long_form(
-        phenotypes.select(entity, *[F.col(f"`{c}`").cast("string").alias(c) for c in columns]), entity, columns, name=by
-    ).groupBy(by).agg(F.count(F.lit(1)).alias("n_pids"))
+    people = column_sums(phenotypes, [], columns, {"n_pids": lambda c: c.isNotNull()}, by)
     index = ids.join(concept.distinct(), by).join(people, by, "left").na.fill({"n_pids": 0})
     short = strip_parts(F.col("concept_name"), name_parts)
     return index.withColumn("short_name", short).withColumn("report_name", report_name(kind, F.col(by)))
