@@ -878,7 +878,7 @@ def flat_file_round_trip(t):
 
 @query
 def concept_files(t):
-    """Lines written as one folder of files per ship mode under a stamped name, text with quotes and separators in it, and read back."""
+    """Lines written as one folder of files per line number under a stamped name, text with quotes and separators in it, and read back."""
     note = F.concat(F.lit('a "'), F.col("l_returnflag"), F.lit('", of '), F.col("l_linestatus"))
     rows = t["lineitem"].select("l_orderkey", F.col("l_quantity").cast("double").alias("quantity"), note.alias("note"), F.col("l_linenumber").alias("concept"))
     path = files.write_by_concept(rows, files.stamped(f"{shared_folder(t.spark)}/tallyloom/{uuid.uuid4().hex}", "today.time"), "concept")
