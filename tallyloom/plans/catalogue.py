@@ -454,9 +454,12 @@ def hot_group_statistics(t):
 
 @query
 def approximate_statistics(t):
-    """Sketched quantiles, checked by the share of rows below and up to them."""
+    """Sketched quantiles, checked by the share of rows below and up to them.
+
+    The sketches are written first: the rows then meet a table of known size instead of being dealt and sorted by a few flags.
+    """
     flag, price = "l_returnflag", "l_extendedprice"
-    sketched = stats.describe_by(t["lineitem"], [flag], price, exact=False)
+    sketched = materialise(stats.describe_by(t["lineitem"], [flag], price, exact=False))
     names = [stats.quantile_name(p) for p in stats.REPORT_PROBS]
     rows = t["lineitem"].select(flag, price).join(sketched.select(flag, *names), flag)
     part = lambda condition: F.sum(condition.cast("int")) / F.count(price)

@@ -86,6 +86,36 @@ def test_small_limits_are_broadcast_by_their_size_and_large_ones_are_not(spark,
         assert "BroadcastHashJoin" not in plan_of(measures.drop_extremes(df, ["segment"], "v", max_pct=0))
 
 
+@pytest.fixture(scope="module")
+def orders_folder(spark, tmp_path_factory):
+    """Lines and orders of some size beside short suppliers and nations; one flag holds all lines but a few."""
+    folder = str(tmp_path_factory.mktemp("orders"))
+
+    def write(name, df):
+        df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+    write("lineitem", spark.range(40_000).selectExpr(
+        "id % 10000 AS l_orderkey", "id % 700 AS l_partkey", "id % 2000 AS l_suppkey", "CAST(id % 7 AS int) + 1 AS l_linenumber",
+        "CAST(id % 50 AS double) AS l_quantity", "CAST(xxhash64(id) % 1000000 AS double) / 7 AS l_extendedprice", "0.05D AS l_discount", "0.01D AS l_tax",
+        "CASE WHEN id % 1000 = 0 THEN 'A' WHEN id % 1000 < 900 THEN 'N' END AS l_returnflag", "IF(id % 2 = 0, 'O', 'F') AS l_linestatus",
+        "date_add(date'1995-01-01', CAST(id % 900 AS int)) AS l_shipdate",
+    ))
+    write("orders", spark.range(10_000).selectExpr("id AS o_orderkey", "xxhash64(id) % 3000 AS o_custkey"))
+    write("supplier", spark.range(2_000).selectExpr("id AS s_suppkey", "CAST(id % 25 AS int) AS s_nationkey"))
+    write("nation", spark.range(25).selectExpr("CAST(id AS int) AS n_nationkey", "concat('NATION_', id) AS n_name", "CAST(id % 5 AS int) AS n_regionkey"))
+    write("region", spark.range(5).selectExpr("CAST(id AS int) AS r_regionkey", "concat('REGION ', id) AS r_name"))
+    return folder
+
+
+def test_rows_meet_their_sketches_without_being_dealt_by_flag(spark, orders_folder):
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "100000", "spark.sql.adaptive.enabled": "false"}):
+        table = queries()["approximate_statistics"](spark, orders_folder)
+        assert count(plan_of(table), "SortMergeJoin") == 0, "no task sorts all rows of a flag"
+    got = {r.l_returnflag: r for r in table.collect()}
+    assert {flag: r.n for flag, r in got.items()} == {"A": 40, "N": 40_000 * 899 // 1000}
+    assert all(v for r in got.values() for name, v in r.asDict().items() if name.endswith("_in_rank"))
+
+
 STURDY = [
     "flag_counts", "overlap_regions", "category_cross_tab", "combo_groups", "periods", "years_stats", "diversity_cross_tab", "site_vocabulary_matrix",
     "case_control_five_sets", "hot_group_statistics", "box_stats", "histogram", "latest_with_unit_list", "entity_summary", "drop_extremes", "trim",
