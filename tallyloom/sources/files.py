@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..runtime import delete, new_place
+
 SEPARATORS = {"csv": ",", "tsv": "\t"}
 #: One set of rules for all readers and writers here: quotes are doubled inside quoted fields.
 QUOTES = {"header": True, "quote": '"', "escape": '"'}
@@ -82,12 +85,21 @@ def write_stamped(df: DataFrame, path: str, stamp: str = "today", kind: str = "c
     return write_flat(df, f"{stamped(path, stamp, now)}.{kind}", kind=kind)
 
 
-def write_by_concept(df: DataFrame, path: str, concept: str, mode: str = "error", rows_per_file: int = 5_000_000, kind: str = "csv") -> str:
+def write_by_concept(
+    df: DataFrame, path: str, concept: str, mode: str = "error", rows_per_file: int = 5_000_000, kind: str = "csv",
+    rows_per_task: int = 1_000_000,
+) -> str:
     """One folder per concept in one job, in files of ``rows_per_file`` rows at most.
 
-    Rows are rebalanced by concept: adaptive execution splits a concept that is larger than a
-    partition should be over as many tasks as its size asks for, and merges small ones.
+    The writer sorts all rows of a task by concept, so a task gets ``rows_per_task`` rows or so, however large a concept is:
+    rows are dealt by ranges of concept and place. Places must not change, so the rows are written out first, for the time of the job.
     """
-    writer = df.hint("rebalance", concept).write.mode(mode).partitionBy(concept).options(**QUOTES, sep=SEPARATORS[kind])
+    spark, pinned = df.sparkSession, new_place(df.sparkSession)
+    df.write.parquet(pinned)
+    rows = spark.read.schema(df.schema).parquet(pinned)
+    tasks = max(1, math.ceil(rows.count() / rows_per_task))
+    dealt = rows.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(tasks, concept, "_place").drop("_place")
+    writer = dealt.write.mode(mode).partitionBy(concept).options(**QUOTES, sep=SEPARATORS[kind])
     writer.option("maxRecordsPerFile", rows_per_file).csv(path)
+    delete(spark, pinned)
     return path

@@ -1,8 +1,11 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from tallyloom.runtime import shared_folder
 from tallyloom.sources import files
 
 
@@ -60,6 +63,20 @@ def test_one_folder_per_concept(spark, tmp_path):
     assert len(list((tmp_path / "measurements" / "concept_id=2").glob("*.csv"))) >= 3
 
 
+def test_a_task_writes_few_rows_of_a_large_concept(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("id % 90 AS person_id", "CASE WHEN id % 10 < 8 THEN 1 WHEN id % 10 = 8 THEN 2 END AS concept_id", "id % 3 * 0.5 AS value")
+    before = {p for p in Path(shared_folder(spark)).glob("tallyloom/*")}
+    path = files.write_by_concept(df, f"{tmp_path}/large", "concept_id", rows_per_task=1_000)
+    back = files.read_flat(spark, path, "person_id BIGINT, value DOUBLE, concept_id INT", kind="csv")
+    sizes = [r["count"] for r in back.groupBy(F.input_file_name().alias("file")).count().collect()]
+    assert max(sizes) < 3_000 and len(sizes) < 30, "no task sorts a whole concept, and no concept is cut finer than that"
+    columns = ["person_id", "concept_id", "value"]
+    assert rows(back.groupBy(*columns).count()) == rows(df.groupBy(*columns).count())
+    assert {p for p in Path(shared_folder(spark)).glob("tallyloom/*")} == before, "the pinned rows are deleted"
+    assert files.read_flat(spark, files.write_flat(df.limit(0), f"{tmp_path}/none.csv"), df.schema).count() == 0
+    files.write_by_concept(df.limit(0), f"{tmp_path}/empty", "concept_id")
+
+
 def test_line_breaks(spark, tmp_path):
     df = spark.createDataFrame([(1, 'two\nlines "and" quotes'), (2, "x")], "person_id long, note string")
     path = files.write_flat(df, f"{tmp_path}/notes.csv")
