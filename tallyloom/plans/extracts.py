@@ -309,6 +309,11 @@ def descendants(tables: Tables, ancestors: Sequence[int], name: str = "measureme
     return materialise(closure.select("ancestor_concept_id", F.col("descendant_concept_id").alias(name)).distinct())
 
 
+def _measured_under(records: DataFrame, tree: DataFrame) -> DataFrame:
+    """Records of the concepts of a tree. Unlike a semi join, the condition moves below the joins that the records are made of."""
+    return records.filter(F.col("measurement_concept_id").isin(tree.select("measurement_concept_id")))
+
+
 def _used_concepts(tables: Tables, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Names of the concepts that occur in the rows: a table as short as the code lists in use.
 
@@ -327,7 +332,7 @@ def _role(names: DataFrame, concept_id: str, name: str) -> DataFrame:
 
 def measurement_extract(tables: Tables, ancestors: Sequence[int]) -> DataFrame:
     """Measurements under the ancestors, from care sites."""
-    records = tables["measurement"].join(descendants(tables, ancestors), "measurement_concept_id", "left_semi")
+    records = _measured_under(tables["measurement"], descendants(tables, ancestors))
     source = tables["measurement_ext"].select("measurement_id", "src_id").filter(F.col("src_id").contains("EHR"))
     return records.join(source, "measurement_id").select(
         "person_id", "measurement_concept_id", "measurement_source_concept_id",
@@ -337,33 +342,48 @@ def measurement_extract(tables: Tables, ancestors: Sequence[int]) -> DataFrame:
 
 
 def lab_extract(tables: Tables, ancestors: Sequence[int]) -> DataFrame:
-    """The full extract: numeric measurements with the names of their concepts in every role."""
+    """The full extract: numeric measurements with the names of their concepts in every role.
+
+    Distinct rows are found and written with ids alone, so no name is shuffled and the measurements are read once. A name
+    belongs to an id that is itself a column, and every lookup has distinct rows: what is joined to distinct rows stays distinct.
+    """
     tree = descendants(tables, ancestors)
-    records = tables["measurement"].filter(F.col("value_as_number").isNotNull()).join(tree, "measurement_concept_id")
+    records = _measured_under(tables["measurement"].filter(F.col("value_as_number").isNotNull()), tree)
+    source = tables["measurement_ext"].select("measurement_id", "src_id").filter(F.lower("src_id").contains("ehr"))
+    rows = materialise(
+        records.join(source, "measurement_id").select(
+            "person_id", "measurement_concept_id", "value_as_number", "range_low", "range_high", "unit_concept_id",
+            "value_as_concept_id", "operator_concept_id", "measurement_datetime", "src_id", "measurement_source_concept_id",
+            F.lower("measurement_source_value").alias("measurement_source_value"),
+            F.lower("unit_source_value").alias("unit_source_value"),
+        ).distinct()
+    )
     roles = ["measurement_concept_id", "ancestor_concept_id", "operator_concept_id", "unit_concept_id"]
-    names = _used_concepts(tables, records, roles)
+    names = _used_concepts(tables, rows.join(tree, "measurement_concept_id"), roles)
+    measured = materialise(
+        tree.join(_role(names, "measurement_concept_id", "measurement_concept_name"), "measurement_concept_id")
+        .join(_role(names, "ancestor_concept_id", "ancestor_concept_name"), "ancestor_concept_id")
+        .select("measurement_concept_id", "measurement_concept_name", "ancestor_concept_name").distinct()
+    )
     answer, coded = tables["concept"].alias("c1"), tables["concept"].alias("c2")
     values = materialise(
         answer.filter(F.col("c1.domain_id") == "Meas Value")
         .join(coded, F.col("c1.concept_name") == F.col("c2.concept_code"))
         .select(F.col("c1.concept_id").alias("value_as_concept_id"), F.lower("c2.concept_name").alias("value_as_concept_name"))
+        .distinct()
     )
-    source = tables["measurement_ext"].select("measurement_id", "src_id").filter(F.lower("src_id").contains("ehr"))
     full = (
-        records.join(source, "measurement_id")
-        .join(_role(names, "measurement_concept_id", "measurement_concept_name"), "measurement_concept_id")
-        .join(_role(names, "ancestor_concept_id", "ancestor_concept_name"), "ancestor_concept_id")
+        rows.join(measured, "measurement_concept_id")
         .join(values, "value_as_concept_id", "left")
-        .join(_role(names, "operator_concept_id", "operator_concept_name"), "operator_concept_id", "left")
-        .join(_role(names, "unit_concept_id", "unit_concept_name"), "unit_concept_id", "left")
+        .join(_role(names, "operator_concept_id", "operator_concept_name").distinct(), "operator_concept_id", "left")
+        .join(_role(names, "unit_concept_id", "unit_concept_name").distinct(), "unit_concept_id", "left")
     )
     return full.select(
         "person_id", "measurement_concept_id", "measurement_concept_name", "ancestor_concept_name", "value_as_number",
         "range_low", "range_high", "unit_concept_id", "unit_concept_name", "value_as_concept_id", "value_as_concept_name",
         "operator_concept_id", "operator_concept_name", "measurement_datetime", "src_id", "measurement_source_concept_id",
-        F.lower("measurement_source_value").alias("measurement_source_value"),
-        F.lower("unit_source_value").alias("unit_source_value"),
-    ).distinct()
+        "measurement_source_value", "unit_source_value",
+    )
 
 
 def concept_name_map(tables: Tables, ancestors: Sequence[int]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from tallyloom.operators import crosstab, flags, measures, strata
-from tallyloom.plans import bindings
+from tallyloom.plans import bindings, extracts
 
 
 def plan_of(df):
@@ -116,6 +116,22 @@ def test_rows_meet_their_sketches_without_being_dealt_by_flag(spark, orders_fold
     assert all(v for r in got.values() for name, v in r.asDict().items() if name.endswith("_in_rank"))
 
 
+def test_measurements_are_chosen_before_they_are_joined(spark, orders_folder):
+    tables = bindings.record_tables(bindings.ParquetTables(spark, orders_folder))
+    plan = extracts.measurement_extract(tables, [502])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner, (l_orderkey") < plan.index("Join LeftSemi"), "the choice of concepts lies below the join with the orders"
+
+
+def test_names_are_no_part_of_distinct_rows(spark, orders_folder):
+    tables = bindings.record_tables(bindings.ParquetTables(spark, orders_folder))
+    full = extracts.lab_extract(tables, [502, 503])
+    first = full._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert not first.startswith("Aggregate"), "rows are made distinct before they get names"
+    assert full.count() == full.distinct().count() == tables["measurement"].filter("value_as_number IS NOT NULL").join(
+        tables["measurement_ext"].filter("src_id LIKE 'EHR%'"), "measurement_id"
+    ).filter("(measurement_concept_id - 100) % 5 IN (2, 3)").drop("measurement_id").distinct().count() > 10_000
+
+
 STURDY = [
     "flag_counts", "overlap_regions", "category_cross_tab", "combo_groups", "periods", "years_stats", "diversity_cross_tab", "site_vocabulary_matrix",
     "case_control_five_sets", "hot_group_statistics", "box_stats", "histogram", "latest_with_unit_list", "entity_summary", "drop_extremes", "trim",

@@ -122,6 +122,31 @@ def test_lab_extracts(tables):
     assert rows(extracts.concept_name_map(tables, [11])) == [(10, "hematocrit", 5, "hct", 20, "percent", None, None)]
 
 
+def test_lab_extract_is_distinct_when_concepts_repeat(spark, tables):
+    """Ids that occur twice with one name, with two, under two ancestors of one name, and rows that differ in nothing."""
+    schema = tables["concept"].schema
+    more = spark.createDataFrame([
+        (10, "HEMATOCRIT", "hct2", "LOINC", "Measurement"), (20, "percent", "%", "UCUM", "Unit"), (20, "Ratio", "%", "UCUM", "Unit"),
+        (12, "Blood panel", "bp2", "LOINC", "Measurement"), (62, "LA2", "LA1", "LOINC", "Answer"), (60, "LA1", "la1", "LOINC", "Meas Value"),
+    ], schema)
+    twice = {"concept": tables["concept"].union(more), "measurement": tables["measurement"].union(tables["measurement"])}
+    twice["concept_ancestor"] = tables["concept_ancestor"].union(spark.createDataFrame([(12, 10), (11, 10)], tables["concept_ancestor"].schema))
+    got = rows(extracts.lab_extract({**tables, **twice}, [11, 12]))
+    single = extracts.lab_extract(tables, [11])
+    place = {c: i for i, c in enumerate(single.columns)}
+    wanted = set()
+    for r in single.collect():
+        units = ["percent", "ratio"] if r.unit_concept_name == "percent" else [r.unit_concept_name]
+        answers = ["positive", "la2"] if r.value_as_concept_name == "positive" else [r.value_as_concept_name]
+        for unit in units:
+            for answer in answers:
+                row = list(r)
+                row[place["unit_concept_name"]], row[place["value_as_concept_name"]] = unit, answer
+                wanted.add(tuple(row))
+    assert got and len(got) == len(set(got)) and set(got) == wanted
+
+
+
 def test_indexes(spark, tables):
     wide = spark.createDataFrame([(1, True, None), (2, False, True)], "person_id long, `J11` boolean, `rx` boolean")
     index = extracts.phenotype_index(tables, wide, "concept_code", "mcc2_phecode")
