@@ -116,6 +116,13 @@ def test_rows_meet_their_sketches_without_being_dealt_by_flag(spark, orders_fold
     assert all(v for r in got.values() for name, v in r.asDict().items() if name.endswith("_in_rank"))
 
 
+def test_only_orders_are_joined_by_shuffling_lines(spark, orders_folder):
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "30000", "spark.sql.adaptive.enabled": "false"}):
+        rows = bindings.lines(bindings.ParquetTables(spark, orders_folder))
+        assert count(plan_of(rows), "SortMergeJoin") == 1, "suppliers and nations are broadcast by their own sizes"
+    assert rows.count() == 40_000 and rows.filter("site = 'NATION_3'").count() == 1_600
+
+
 def test_measurements_are_chosen_before_they_are_joined(spark, orders_folder):
     tables = bindings.record_tables(bindings.ParquetTables(spark, orders_folder))
     plan = extracts.measurement_extract(tables, [502])._jdf.queryExecution().optimizedPlan().toString()
